@@ -1,0 +1,4 @@
+"""No streaming operator exists: every source of a link aggregation is a finite set of files.
+
+The package is kept as the place for one, should a source ever be unbounded.
+"""
