@@ -32,7 +32,7 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 # Line boundaries besides \n, \r and \r\n (those are already gone when lines are read).
-EXTRA_LINE_BREAKS = r"[\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+EXTRA_LINE_BREAKS = "\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 
 # ---- metadata and resolution --------------------------------------------------------------
 METADATA_COLUMNS = ["beacon_uri", "beacon_harvest_timestamp"]

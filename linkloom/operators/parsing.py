@@ -8,6 +8,9 @@ with a partial aggregate per file, never by sorting or windowing the data.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,32 +43,31 @@ def file_headers(lines: DataFrame) -> DataFrame:
     non-empty value of a key wins. One row per file is small beside the lines of the files, but
     it is not assumed to be: stage it, and the join in :func:`parse_links` follows its size.
     """
-    lines = _located(lines)
+    lines = with_kind(_with_block(lines))
     starts = _first_position(lines.where(F.col("kind") == "text"), "data")
     entries = (
         lines.where(F.col("kind") == "mark")
         .select(
-            "source_file",
-            "block",
-            "ord",
+            F.col("source_file").alias("entry_file"),
+            F.struct("block", "ord").alias("position"),
             header_key(F.col("line")).alias("key"),
             header_value(F.col("line")).alias("value"),
         )
         .where(F.col("key").isin(HEADER_KEYS) & F.col("value").isNotNull())
-        .join(starts, "source_file")
-        .where(_before("data"))
     )
-    position = F.struct("block", "ord")
-    values = entries.groupBy("source_file").agg(
-        *[
-            F.max_by(
-                F.when(F.col("key") == key, F.col("value")),
-                F.when(F.col("key") == key, position),
-            ).alias(key)
-            for key in HEADER_KEYS
-        ]
+    in_header = F.col("position") < F.struct(
+        F.col("data_block").alias("block"), F.col("data_ord").alias("ord")
+    )
+    return (
+        starts.join(entries, (F.col("source_file") == F.col("entry_file")) & in_header, "left")
+        .groupBy("source_file", "data_block", "data_ord")
+        .agg(
+            *[
+                F.max_by("value", F.when(F.col("key") == key, F.col("position"))).alias(key)
+                for key in HEADER_KEYS
+            ]
+        )
     )
-    return starts.join(values, "source_file", "left")
 
 
 def parse_links(
@@ -77,7 +79,7 @@ def parse_links(
     the result of :func:`file_headers`, staged when the input is large. ``count=9`` gives the
     widest form of a record.
     """
-    lines = _located(lines)
+    lines = with_kind(_with_block(lines))
     if headers is None:
         headers = file_headers(lines)
     parts = fields(F.col("line"), count)
@@ -94,51 +96,67 @@ def parse_links(
     )
 
 
-def raw_parts(lines: DataFrame) -> DataFrame:
+def header_ends(lines: DataFrame) -> DataFrame:
+    """Where the raw header of a file ends: source_file, end_block, end_ord.
+
+    The raw header ends at the first line that does not begin with ``#``, be it blank. Files
+    that are all header are absent.
+    """
+    return _first_position(_in_pieces(lines).where(F.col("first_other") > 0), "end")
+
+
+def raw_parts(lines: DataFrame, ends: DataFrame | None = None) -> DataFrame:
     """Header lines as they are, and data lines with all their fields, unstripped and uncapped.
 
     Columns: source_file, block, ord, part_of_line, is_header, raw, parts (NULL for header
-    lines). Here a blank line ends the header, and every Unicode line boundary ends a line.
+    lines). Every Unicode line boundary ends a line here. ``ends`` is the result of
+    :func:`header_ends`, staged when the input is large.
     """
-    lines = _located(lines).drop("kind")
-    pieces = F.split("line", EXTRA_LINE_BREAKS, -1)
-    broken = lines.withColumn("pieces", pieces).withColumn(
-        "first_other",
-        F.array_position(
-            F.transform("pieces", lambda piece: piece.startswith(HEADER_MARK)), F.lit(False)
-        ),
-    )
-    ends = _first_position(broken.where(F.col("first_other") > 0), "end")
-    piece_header = F.col("piece").startswith(HEADER_MARK) & (
-        F.col("end_ord").isNull()
-        | _before("end")
-        | (
-            (F.col("block") == F.col("end_block"))
-            & (F.col("ord") == F.col("end_ord"))
-            & (F.col("part_of_line") < F.col("first_other") - 1)
-        )
-    )
+    if ends is None:
+        ends = header_ends(lines)
+    inside = F.col("part_of_line") < F.col("first_other") - 1
+    at_end = (F.col("block") == F.col("end_block")) & (F.col("ord") == F.col("end_ord"))
+    is_header = F.col("end_ord").isNull() | _before("end") | (at_end & inside)
     return (
-        broken.join(ends, "source_file", "left")
-        .select("*", F.posexplode("pieces").alias("part_of_line", "piece"))
+        _in_pieces(lines)
+        .join(ends, "source_file", "left")
+        .select("*", F.posexplode("pieces").alias("part_of_line", "raw"))
         .select(
-            "source_file",
-            "block",
-            "ord",
-            "part_of_line",
-            piece_header.alias("is_header"),
-            F.col("piece").alias("raw"),
+            "source_file", "block", "ord", "part_of_line", is_header.alias("is_header"), "raw"
         )
         .where(F.col("is_header") | (strip(F.col("raw")) != ""))
         .withColumn("parts", F.when(~F.col("is_header"), all_fields(F.col("raw"))))
     )
 
 
-def _located(lines: DataFrame) -> DataFrame:
+def _in_pieces(lines: DataFrame) -> DataFrame:
+    """Lines cut at the remaining line boundaries; where the first piece without # is (0: none).
+
+    Hardly any line has such a boundary, so the others are not taken apart.
+    """
+    line = F.col("line")
+    cut = reduce(or_, [F.contains(line, F.lit(mark)) for mark in EXTRA_LINE_BREAKS])
+    pieces = F.split(line, f"[{EXTRA_LINE_BREAKS}]", -1)
+    marks = F.transform(pieces, lambda piece: piece.startswith(HEADER_MARK))
+    first_other = (
+        F.when(~line.startswith(HEADER_MARK), 1)
+        .when(~cut, 0)
+        .otherwise(F.array_position(marks, F.lit(False)))
+    )
+    return _with_block(lines).select(
+        "source_file",
+        "block",
+        "ord",
+        F.when(cut, pieces).otherwise(F.array(line)).alias("pieces"),
+        first_other.alias("first_other"),
+    )
+
+
+def _with_block(lines: DataFrame) -> DataFrame:
     """Lines that come from a table rather than from file splits are all in block 0."""
-    if "block" not in lines.columns:
-        lines = lines.withColumn("block", F.lit(0).cast("bigint"))
-    return with_kind(lines)
+    if "block" in lines.columns:
+        return lines
+    return lines.withColumn("block", F.lit(0).cast("bigint"))
 
 
 def _first_position(lines: DataFrame, name: str) -> DataFrame:

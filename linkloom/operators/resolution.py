@@ -26,7 +26,7 @@ def resolve_links(records: DataFrame) -> DataFrame:
 
     Harvest metadata columns follow if the records have them, and ``slice`` comes last.
     """
-    sliced = with_slice(records).where(F.col("slice").isin(RESOLVABLE_SLICES))
+    sliced = _resolvable(records)
     templated = F.col("slice").startswith("target-notnull")
     three = F.col("slice").endswith("col1-2-3")
     link = F.when(three, F.col("col3")).otherwise(F.col("col2"))
@@ -45,6 +45,22 @@ def resolve_links(records: DataFrame) -> DataFrame:
     )
 
 
+def _resolvable(records: DataFrame) -> DataFrame:
+    """Records of the five slices that have a rule.
+
+    A stored slice column prunes partitions. Otherwise the test is put in terms of the fields,
+    which a Parquet scan can evaluate, rather than of the label made from them.
+    """
+    if "slice" in records.columns:
+        return records.where(F.col("slice").isin(RESOLVABLE_SLICES))
+    has = {c: F.col(c).isNotNull() for c in ("TARGET", "col1", "col2", "col3")}
+    return with_slice(
+        records.where(has["col1"])
+        .where(has["TARGET"] | has["col2"])
+        .where(has["col2"] | ~has["col3"])
+    )
+
+
 def align(df: DataFrame, schema: StructType) -> DataFrame:
     """Columns of ``schema``, cast and in its order; extra ones dropped, a missing one an error."""
     missing = [name for name in schema.names if name not in df.columns]

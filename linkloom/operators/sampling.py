@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from linkloom.fixed_values import PREVIEW_ROWS, SAMPLE_ROWS, SAMPLE_SEED, SLICES
 from linkloom.functions import sample_key
-from linkloom.operators.slices import with_slice
+from linkloom.operators.slices import rows_of_slice
 
 
 def preview(df: DataFrame, n: int = PREVIEW_ROWS, order_by: Sequence[str] = ()) -> DataFrame:
@@ -40,8 +40,7 @@ def sample_per_slice(records: DataFrame, n: int = SAMPLE_ROWS, seed: int = SAMPL
     whole slices, of which there are only six. On a table partitioned by slice each branch reads
     its own partition, so the six branches together scan the table once.
     """
-    sliced = with_slice(records)
-    samples = [random_sample(sliced.where(F.col("slice") == name), n, seed) for name in SLICES]
+    samples = [random_sample(rows_of_slice(records, name), n, seed) for name in SLICES]
     return reduce(DataFrame.unionAll, samples)
 
 

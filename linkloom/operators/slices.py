@@ -12,21 +12,22 @@ from pyspark.sql import functions as F
 from linkloom.fixed_values import SLICES
 
 
-def slice_name() -> Column:
-    """Slice of a record, or NULL if its fields fit none of the six patterns."""
+def slice_tests() -> dict[str, Column]:
+    """For every slice, the NULL tests that make it; a Parquet scan can evaluate them."""
     present = {c: F.col(c).isNotNull() for c in ("TARGET", "col1", "col2", "col3")}
     shapes = [
         present["col1"] & ~present["col2"] & ~present["col3"],
         present["col1"] & present["col2"] & ~present["col3"],
         present["col1"] & present["col2"] & present["col3"],
     ]
-    conditions = [t & s for t in (~present["TARGET"], present["TARGET"]) for s in shapes]
-    first, *rest = zip(conditions, SLICES, strict=True)
-    return reduce(
-        lambda case, branch: case.when(branch[0], F.lit(branch[1])),
-        rest,
-        F.when(first[0], F.lit(first[1])),
-    )
+    tests = [t & s for t in (~present["TARGET"], present["TARGET"]) for s in shapes]
+    return dict(zip(SLICES, tests, strict=True))
+
+
+def slice_name() -> Column:
+    """Slice of a record, or NULL if its fields fit none of the six patterns."""
+    branches = [F.when(test, F.lit(name)) for name, test in slice_tests().items()]
+    return F.coalesce(*branches)
 
 
 def with_slice(records: DataFrame) -> DataFrame:
@@ -36,9 +37,19 @@ def with_slice(records: DataFrame) -> DataFrame:
     return records.withColumn("slice", slice_name())
 
 
+def rows_of_slice(records: DataFrame, name: str) -> DataFrame:
+    """The records of one slice, labelled: its partition if stored so, else by its NULL tests."""
+    if "slice" in records.columns:
+        return records.where(F.col("slice") == name)
+    return records.where(slice_tests()[name]).withColumn("slice", F.lit(name))
+
+
 def split_slices(records: DataFrame) -> DataFrame:
     """The records that are in a slice, labelled; write with ``write_slices``."""
-    return with_slice(records).where(F.col("slice").isNotNull())
+    if "slice" in records.columns:
+        return records.where(F.col("slice").isNotNull())
+    gap = F.col("col2").isNull() & F.col("col3").isNotNull()
+    return with_slice(records.where(F.col("col1").isNotNull() & ~gap))
 
 
 def slice_counts(records: DataFrame) -> DataFrame:

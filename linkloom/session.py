@@ -10,6 +10,11 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Where every partition of the smaller side of a shuffle join turns out to fit this size,
+    # hash it instead of sorting both sides: the larger one is the whole record table.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128MB",
+    # A writer per slice, which saves sorting the table by slice before it is written.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     # Timestamps in harvest metadata are UTC.
     "spark.sql.session.timeZone": "UTC",
     # A rerun of one harvest replaces that run's partition and no other.

@@ -1,0 +1,233 @@
+"""Parse rules on literal lines and on files."""
+
+from __future__ import annotations
+
+import gzip
+
+import pytest
+from pyspark.sql import functions as F
+
+from linkloom.operators.parsing import (
+    file_headers,
+    header_ends,
+    normalize_schema,
+    parse_links,
+    raw_parts,
+)
+from linkloom.sources import read_lines, stage, with_kind
+
+COLS = ["col1", "col2", "col3", "col4", "col5"]
+
+
+def lines_of(spark, **files):
+    rows = [(name, i, line) for name, lines in files.items() for i, line in enumerate(lines)]
+    return spark.createDataFrame(rows, "source_file string, ord bigint, line string")
+
+
+def parse(spark, *lines, columns=COLS, **options):
+    rows = parse_links(lines_of(spark, f=list(lines)), **options).collect()
+    return sorted((tuple(r[c] for c in columns) for r in rows), key=repr)
+
+
+def header(spark, *lines):
+    rows = parse_links(lines_of(spark, f=[*lines, "1"])).collect()
+    assert len({(r.TARGET, r.NAME, r.FEED, r.TIMESTAMP) for r in rows}) == 1
+    return rows[0]
+
+
+def test_header_keys_are_case_insensitive_and_values_keep_later_colons(spark):
+    assert header(spark, "#target: http://x/{ID}").TARGET == "http://x/{ID}"
+    assert header(spark, "#  Feed  :  http://f:80/ ").FEED == "http://f:80/"
+
+
+def test_last_non_empty_value_wins(spark):
+    row = header(spark, "#NAME: a", "#NAME: b", "#NAME:", "#NAME")
+    assert row.NAME == "b"
+    assert row.TARGET is None
+
+
+def test_other_header_lines_are_ignored(spark):
+    row = header(spark, "# ", "#", "#nokv", "#FORMAT: BEACON", "#:", "#: x", "#TIMESTAMP: 2025-01-01")
+    assert (row.TARGET, row.NAME, row.FEED, row.TIMESTAMP) == (None, None, None, "2025-01-01")
+
+
+def test_blank_lines_do_not_end_the_header(spark):
+    assert header(spark, "", "#NAME: a", " \t\xa0", "#TARGET: t").TARGET == "t"
+
+
+def test_mark_after_data_is_data(spark):
+    rows = parse_links(lines_of(spark, f=["#NAME: a", "1", "#NAME: b", "", "#late: x|y"])).collect()
+    assert {(r.NAME, r.col1, r.col2) for r in rows} == {
+        ("a", "1", None),
+        ("a", "#NAME: b", None),
+        ("a", "#late: x", "y"),
+    }
+
+
+def test_mark_must_be_in_the_first_column(spark):
+    assert parse(spark, " #x: y", "#z: 1", columns=["col1"]) == [("#x: y",), ("#z: 1",)]
+
+
+def test_fields_are_stripped_and_absent_ones_null(spark):
+    assert parse(spark, "118|5| http://y/z \u2003") == [("118", "5", "http://y/z", None, None)]
+
+
+def test_blank_field_is_empty_not_null(spark):
+    assert parse(spark, "a||c") == [("a", "", "c", None, None)]
+    assert parse(spark, "a|") == [("a", "", None, None, None)]
+    assert parse(spark, "|") == [("", "", None, None, None)]
+
+
+def test_fields_beyond_the_fifth_are_dropped(spark):
+    assert parse(spark, "1|2|3|4|5|6|7|8|9|10") == [("1", "2", "3", "4", "5")]
+
+
+def test_wide_form_has_nine_fields(spark):
+    wide = [f"col{i}" for i in range(1, 10)]
+    got = parse(spark, "1|2|3|4|5|6|7|8|9|10", "a|b", columns=wide, count=9)
+    assert got == [tuple("123456789"), ("a", "b", *[None] * 7)]
+
+
+def test_files_without_data_give_nothing(spark):
+    lines = lines_of(spark, only_header=["#NAME: a", ""], blank=[" ", ""], data=["1"])
+    assert [r.source_file for r in parse_links(lines).collect()] == ["data"]
+
+
+def test_header_values_stay_with_their_file(spark):
+    lines = lines_of(spark, a=["#NAME: a", "1"], b=["#NAME: b", "2"], c=["3"])
+    got = {(r.source_file, r.NAME, r.col1) for r in parse_links(lines).collect()}
+    assert got == {("a", "a", "1"), ("b", "b", "2"), ("c", None, "3")}
+
+
+def test_order_is_by_block_then_line(spark):
+    rows = [("f", 100, 0, "#NAME: late"), ("f", 0, 7, "1"), ("f", 0, 5, "#NAME: first")]
+    lines = spark.createDataFrame(rows, "source_file string, block bigint, ord bigint, line string")
+    got = {(r.NAME, r.col1) for r in parse_links(lines).collect()}
+    assert got == {("first", "1"), ("first", "#NAME: late")}
+
+
+def test_raw_parts(spark):
+    lines = lines_of(
+        spark,
+        f=["#A: 1", "#B", "", "#C", " x | y|", "  ", "|||||||||||"],
+        only_header=["#A", "#B"],
+    )
+    rows = raw_parts(lines).orderBy("source_file", "ord").collect()
+    assert [(r.source_file, r.is_header, r.raw, r.parts) for r in rows] == [
+        ("f", True, "#A: 1", None),
+        ("f", True, "#B", None),
+        ("f", False, "#C", ["#C"]),
+        ("f", False, " x | y|", [" x ", " y", ""]),
+        ("f", False, "|" * 11, [""] * 12),
+        ("only_header", True, "#A", None),
+        ("only_header", True, "#B", None),
+    ]
+
+
+def test_raw_parts_cuts_at_every_line_boundary(spark):
+    breaks = "\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+    body = ["#A" + b + "#B" + b + b + "#C" for b in breaks] + ["p|q\x1fr"]
+    for line in body:
+        got = raw_parts(lines_of(spark, f=[line, "#D"])).orderBy("ord", "part_of_line").collect()
+        text = line + "\n#D"
+        want, in_header = [], True
+        for piece in text.splitlines():
+            in_header = in_header and piece.startswith("#")
+            if in_header or piece.strip():
+                want.append((in_header, piece))
+        assert [(r.is_header, r.raw) for r in got] == want
+
+
+def test_staged_steps_equal_the_lazy_ones(spark):
+    lines = lines_of(spark, a=["#NAME: a", "1|2", "#x", ""], b=["", "#FEED: f", "3"])
+    staged = stage(with_kind(lines), "lines")
+    eager = parse_links(staged, stage(file_headers(staged), "headers"))
+    assert sorted(eager.collect(), key=repr) == sorted(parse_links(lines).collect(), key=repr)
+    eager = raw_parts(staged, stage(header_ends(staged), "ends"))
+    assert sorted(eager.collect(), key=repr) == sorted(raw_parts(lines).collect(), key=repr)
+
+
+def test_normalize_schema(spark):
+    odd = spark.createDataFrame([(1, "x", 2.5)], "col2 int, extra string, TARGET double")
+    got = normalize_schema(odd)
+    assert {f.dataType.simpleString() for f in got.schema.fields} == {"string"}
+    assert got.collect() == [(None, "2.5", None, None, None, None, "1", None, None, None)]
+
+
+# ---- files ---------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def folder(tmp_path):
+    directory = tmp_path / "dumps"
+    directory.mkdir()
+    return directory
+
+
+def read(spark, folder, **options):
+    return parse_links(read_lines(spark, str(folder), source_dir="d", **options))
+
+
+def test_byte_order_mark_is_dropped(spark, folder):
+    (folder / "a.txt").write_bytes("\ufeff#TARGET: http://x/{ID}\n1\n".encode())
+    assert read(spark, folder).head().TARGET == "http://x/{ID}"
+
+
+def test_line_ends(spark, folder):
+    for name, end in (("n", "\n"), ("r", "\r"), ("rn", "\r\n")):
+        (folder / name).write_bytes(end.join(["#NAME: a", "1|x", "", "2|y"]).encode())
+    rows = read(spark, folder).collect()
+    for name in ("n", "r", "rn"):
+        assert {(r.NAME, r.col1, r.col2) for r in rows if r.source_file == f"d/{name}"} == {
+            ("a", "1", "x"),
+            ("a", "2", "y"),
+        }
+
+
+def test_names_are_restored_and_json_and_folders_skipped(spark, folder):
+    names = ["0000_a b%20é+.txt", "no_suffix", "x.JSON"]
+    for name in names:
+        (folder / name).write_text("1\n")
+    (folder / "meta.json").write_text("[]\n")
+    (folder / "empty.txt").write_text("")
+    (folder / "sub").mkdir()
+    (folder / "sub" / "inner.txt").write_text("9\n")
+    assert {r.source_file for r in read(spark, folder).collect()} == {f"d/{n}" for n in names}
+    assert {
+        r.source_file for r in read(spark, folder, skip_suffixes=(".txt", ".JSON", ".json")).collect()
+    } == {"d/no_suffix"}
+
+
+def test_default_source_file_is_the_path(spark, folder):
+    (folder / "a.txt").write_text("1\n")
+    row = parse_links(read_lines(spark, f"{folder}/")).head()
+    assert row.source_file == f"{folder}/a.txt"
+
+
+def test_gzip_is_read_and_listed_without_its_suffix(spark, folder):
+    (folder / "a.txt.gz").write_bytes(gzip.compress(b"#NAME: z\n1\n"))
+    row = read(spark, folder).head()
+    assert (row.source_file, row.NAME, row.col1) == ("d/a.txt", "z", "1")
+
+
+def test_bytes_that_are_not_utf8_are_replaced(spark, folder):
+    (folder / "a.txt").write_bytes(b"a\xff|b\xc3\n")
+    row = read(spark, folder).head()
+    assert (row.col1, row.col2) == ("a�", "b�")
+
+
+@pytest.mark.parametrize("split_bytes", ["16b", "100b", "1mb"])
+def test_splits_of_a_file_keep_its_order(spark, folder, settings, split_bytes):
+    head = ["#NAME: one", "", "#NAME: two", "#TARGET: t"]
+    data = [f"{i}|x" for i in range(300)]
+    (folder / "a.txt").write_text("\n".join([*head, *data, "#NAME: three", *data]))
+    (folder / "b.txt").write_text("\n".join(["1", "#NAME: four", *data]))
+    settings(spark__sql__files__maxPartitionBytes=split_bytes, spark__sql__files__openCostInBytes="1b")
+    rows = read(spark, folder)
+    assert rows.rdd.getNumPartitions() > 0
+    counts = {
+        (r.source_file, r.NAME, r.TARGET): r.n
+        for r in rows.groupBy("source_file", "NAME", "TARGET").agg(F.count("*").alias("n")).collect()
+    }
+    assert counts == {("d/a.txt", "two", "t"): 601, ("d/b.txt", None, None): 302}
+    assert rows.where(F.col("col1").startswith("#")).count() == 2
