@@ -12,7 +12,7 @@ from linkloom.functions.links import (
     url_path,
     without_gz,
 )
-from linkloom.functions.sampling import sample_key
+from linkloom.functions.sampling import is_orderable, sample_key
 from linkloom.functions.text import all_fields, fields, header_key, header_value, line_kind, strip
 
 __all__ = [
@@ -24,6 +24,7 @@ __all__ = [
     "header_key",
     "header_value",
     "indexed_prefix",
+    "is_orderable",
     "landed_name",
     "last_segment",
     "line_kind",

@@ -7,24 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from linkloom.fixed_values import PREVIEW_ROWS, SAMPLE_ROWS, STATS_ROWS
+from linkloom.functions import is_orderable
 from linkloom.operators.counts import row_count
 from linkloom.operators.sampling import preview, random_sample, spread_limit
 
 STATS_MODES = ("none", "sample", "full")
 
 
-def is_orderable(data_type: DataType) -> bool:
-    """Whether Spark can take the minimum of a column of this type."""
-    if isinstance(data_type, ArrayType):
-        return is_orderable(data_type.elementType)
-    if isinstance(data_type, StructType):
-        return all(is_orderable(field.dataType) for field in data_type.fields)
-    return not isinstance(data_type, MapType | VariantType)
-
-
 def describe_table(df: DataFrame) -> DataFrame:
     """One row per column: ordinal, column_name, data_type, and the rows of the table."""
     rows = [

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.fixed_values import PREVIEW_ROWS, SAMPLE_ROWS, SAMPLE_SEED, SLICES
-from linkloom.functions import sample_key
+from linkloom.functions import is_orderable, sample_key
 from linkloom.operators.slices import rows_of_slice
 
 
@@ -29,7 +29,7 @@ def random_sample(df: DataFrame, n: int = SAMPLE_ROWS, seed: int | None = None)
     """
     if seed is None:
         return df.orderBy(F.rand()).limit(n)
-    ties = [F.asc_nulls_first(f"`{c}`") for c in df.columns]
+    ties = [F.asc_nulls_first(f"`{f.name}`") for f in df.schema.fields if is_orderable(f.dataType)]
     return df.orderBy(sample_key(df.columns, seed), *ties).limit(n)
 
 

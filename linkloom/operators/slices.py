@@ -26,8 +26,10 @@ def slice_tests() -> dict[str, Column]:
 
 def slice_name() -> Column:
     """Slice of a record, or NULL if its fields fit none of the six patterns."""
-    branches = [F.when(test, F.lit(name)) for name, test in slice_tests().items()]
-    return F.coalesce(*branches)
+    case = F
+    for name, test in slice_tests().items():
+        case = case.when(test, F.lit(name))
+    return case
 
 
 def with_slice(records: DataFrame) -> DataFrame:

@@ -1,0 +1,167 @@
+"""Authority types on literal dumps, against a plain Python model."""
+
+from __future__ import annotations
+
+import random
+import re
+
+from linkloom.operators.authority import (
+    attach_types,
+    authority_types,
+    candidate_ids,
+    enrich_types,
+    examples_per_source,
+    match_coverage,
+)
+from linkloom.schemas import AUTHORITY_DUMP
+
+ORDER = ["Person", "CorporateBody", "Work", "SubjectHeading", "PlaceOrGeographicName", "Family"]
+
+
+def bare(text):
+    """Id without prefixes."""
+    if text is None:
+        return None
+    text = re.sub(r"^https?://d-nb\.info/gnd/", "", text)
+    return re.sub(r"^\([a-zA-Z]{2}-[0-9]{3}[a-zA-Z]?\)", "", text)
+
+
+def records(spark, *ids):
+    return spark.createDataFrame(
+        [(f"u{i % 3}", a) for i, a in enumerate(ids)], "beacon_uri string, authority_id string"
+    )
+
+
+def dump(spark, *entries):
+    return spark.createDataFrame([(i, None, t, o) for i, t, o in entries], AUTHORITY_DUMP)
+
+
+def test_current_and_old_ids(spark):
+    d = dump(
+        spark,
+        ("https://d-nb.info/gnd/1", ["Person", "A"], ["(DE-588)2", "(DE-588a)3", None]),
+        ("https://d-nb.info/gnd/4", None, []),
+        ("https://d-nb.info/gnd/5", ["Work"], None),
+        (None, ["Family"], ["6"]),
+    )
+    got = {r.gnd: (r.gnd_type, r.gnd_type_list) for r in authority_types(d).collect()}
+    person = ("Person", ["A", "Person"])
+    assert got == {
+        "1": person,
+        "2": person,
+        "3": person,
+        "4": ("Other", None),
+        "5": ("Work", ["Work"]),
+        "6": ("Family", ["Family"]),
+    }
+
+
+def test_current_id_goes_before_old_and_lists_are_not_lost(spark):
+    d = dump(
+        spark,
+        ("a", ["Work"], ["x"]),
+        ("b", ["Person"], ["x"]),
+        ("x", None, None),
+        ("c", ["Family"], ["y"]),
+        ("d", ["Person"], ["y"]),
+    )
+    got = {r.gnd: (r.gnd_type, r.gnd_type_list) for r in authority_types(d).collect()}
+    assert got["x"] == ("Other", ["Work"])
+    assert got["y"] == ("Family", ["Family"])
+
+
+def test_null_types_sort_last(spark):
+    row = authority_types(dump(spark, ("a", ["b", None, "a"], None))).head()
+    assert row.gnd_type_list == ["a", "b", None]
+
+
+def test_candidates(spark):
+    df = records(spark, "1", "1", None, "(DE-588)1", "https://d-nb.info/gnd/2")
+    assert {r.gnd for r in candidate_ids(df).collect()} == {
+        "1",
+        "(DE-588)1",
+        "https://d-nb.info/gnd/2",
+    }
+    assert {r.gnd for r in candidate_ids(df, normalize=True).collect()} == {"1", "2"}
+
+
+def test_prefixed_ids_need_a_bare_twin_unless_normalized(spark):
+    d = dump(spark, ("1", ["Person"], None), ("2", ["Work"], None))
+    df = records(spark, "1", "(DE-588)1", "https://d-nb.info/gnd/2", None, "9")
+    got = sorted(enrich_types(df, d).select("authority_id", "gnd_type").collect(), key=repr)
+    types = {r.authority_id: r.gnd_type for r in got}
+    assert types == {
+        "1": "Person",
+        "(DE-588)1": "Person",
+        "https://d-nb.info/gnd/2": None,
+        None: None,
+        "9": None,
+    }
+    both = enrich_types(df, d, normalize_candidates=True)
+    assert {r.authority_id: r.gnd_type for r in both.collect()} == {
+        **types,
+        "https://d-nb.info/gnd/2": "Work",
+    }
+    assert {tuple(r.gnd_type_list) for r in both.collect() if r.gnd_type is None} == {()}
+
+
+def test_enrichment_equals_a_model_with_a_hot_id(spark, settings):
+    """A third of all records carry one id; joins shuffle, and the hot key is split."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="2KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="2KB",
+    )
+    draw = random.Random(3)
+    forms = ["{}", "(DE-588){}", "http://d-nb.info/gnd/{}", "https://d-nb.info/gnd/{}"]
+    ids = [draw.choice(forms).format(draw.randint(0, 400)) for _ in range(4000)]
+    ids += ["77"] * 2000
+    entries = [
+        (
+            f"https://d-nb.info/gnd/{n}",
+            draw.choice([None, [], draw.sample([*ORDER, "Z"], 2)]),
+            draw.choice([None, [], [f"(DE-588){draw.randint(200, 500)}" for _ in range(3)]]),
+        )
+        for n in range(300)
+    ]
+    raw = set(ids)
+    per_id = {}
+    for id_, types, old in entries:
+        for rank, gnd in [(0, bare(id_)), *((1, bare(o)) for o in old or [])]:
+            per_id.setdefault(gnd, []).append((rank, id_, types))
+    model = {}
+    for gnd, found in per_id.items():
+        if gnd in raw:
+            found.sort(key=lambda e: e[:2])
+            kind = next((t for t in ORDER if t in (found[0][2] or [])), "Other")
+            model[gnd] = (kind, next((sorted(t) for _, _, t in found if t is not None), []))
+    want = sorted((a, *model.get(bare(a), (None, []))) for a in ids)
+    enriched = enrich_types(records(spark, *ids), dump(spark, *entries))
+    got = sorted((r.authority_id, r.gnd_type, r.gnd_type_list) for r in enriched.collect())
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_coverage(spark):
+    df = spark.createDataFrame([("a",), (None,), ("b",)], "gnd_type string")
+    assert match_coverage(df).head() == (3, 2, 1)
+    assert match_coverage(df.limit(0)).head() == (0, 0, 0)
+
+
+def test_examples(spark):
+    df = attach_types(
+        records(spark, "3", "9", "1", "1", "8", "2"), authority_types(dump(spark, ("1", ["Work"], None)))
+    )
+    matched = examples_per_source(df, matched=True).collect()
+    assert [tuple(r) for r in matched] == [
+        ("1", "Work", ["Work"], "u0"),
+        ("1", "Work", ["Work"], "u2"),
+    ]
+    unmatched = examples_per_source(df, matched=False).collect()
+    assert [tuple(r) for r in unmatched] == [
+        ("3", None, [], "u0"),
+        ("8", None, [], "u1"),
+        ("2", None, [], "u2"),
+    ]
+    assert examples_per_source(df, matched=False, n=2).count() == 2
