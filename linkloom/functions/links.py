@@ -37,7 +37,7 @@ def percent_decode(text: Column) -> Column:
     """Percent-decode as UTF-8. A plus stays a plus, a stray percent sign stays as it is."""
     guarded = F.replace(text, F.lit("+"), F.lit("%2B"))
     guarded = F.regexp_replace(guarded, "%(?![0-9A-Fa-f]{2})", "%25")
-    return F.url_decode(guarded)
+    return F.when(F.contains(text, F.lit("%")), F.url_decode(guarded)).otherwise(text)
 
 
 def landed_name(url: Column, prefix: Column | None = None) -> Column:
@@ -59,8 +59,9 @@ def landed_name(url: Column, prefix: Column | None = None) -> Column:
 
 def without_gz(name: Column) -> Column:
     """Drop a trailing ``.gz``; a name that is nothing else becomes the default name."""
-    bare = F.regexp_replace(name, r"(?i)[.]gz\z", "")
-    return F.when(bare == "", F.lit(DEFAULT_FILE_NAME)).otherwise(bare)
+    packed = F.lower(name.substr(-3, 3)) == ".gz"
+    bare = name.substr(F.lit(1), F.length(name) - 3)
+    return F.when(~packed, name).when(bare == "", F.lit(DEFAULT_FILE_NAME)).otherwise(bare)
 
 
 def indexed_prefix(index: Column, url: Column) -> Column:

@@ -22,14 +22,15 @@ def read_lines(
     One scan covers every file, and big files are cut into splits. ``source_file`` is
     ``source_dir`` (by default the directory as given) plus the file name, the form under
     which harvest metadata lists it. Sub-folders and files starting with ``.`` or ``_`` are not
-    read; gzip files are read decompressed and listed without ``.gz``. Bytes that are not
+    read; files ending in ``.gz`` are read decompressed, each by one task, and listed without it. Bytes that are not
     UTF-8 become U+FFFD.
     """
     prefix = (source_dir if source_dir is not None else directory).rstrip("/")
     scan = spark.read.text(directory)
     for suffix in skip_suffixes:
         scan = scan.where(~F.col("_metadata.file_name").endswith(suffix))
-    name = without_gz(percent_decode(F.col("_metadata.file_name")))
+    name = percent_decode(F.col("_metadata.file_name"))
+    name = F.when(name.endswith(".gz"), without_gz(name)).otherwise(name)
     return scan.select(
         F.concat(F.lit(prefix + "/"), name).alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
