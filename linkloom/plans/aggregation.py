@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from linkloom.fixed_values import SAMPLE_ROWS, SAMPLE_SEED, SKIPPED_SUFFIXES
 from linkloom.operators.matching import match_sources
-from linkloom.operators.metadata import attach_metadata
+from linkloom.operators.metadata import attach_metadata, key_uniqueness
 from linkloom.operators.parsing import file_headers, normalize_schema, parse_links
 from linkloom.operators.resolution import resolve_links
 from linkloom.operators.sampling import sample_per_slice
 from linkloom.sources import (
+    broadcast_if_small,
     read_harvest_metadata,
     read_lines,
     read_source_list,
@@ -43,10 +44,10 @@ def ingest(
 
     Lines are staged with their kind: the passes that look for the end of each header then
     read a few narrow columns instead of the text, and the order of lines is settled. The header
-    table is staged too, so that its size decides how it is joined to the data lines.
+    table is staged too, so that its size decides whether the data lines have to be shuffled.
     """
     lines = stage(with_kind(read_lines(spark, dumps_dir, skip_suffixes)), "lines")
-    headers = stage(file_headers(lines), "headers")
+    headers = broadcast_if_small(stage(file_headers(lines), "headers", plain=True))
     records = normalize_schema(parse_links(lines, headers))
     write_records(records, records_path, run_id)
     return _records_of_run(spark, records_path, run_id)
@@ -75,17 +76,23 @@ def aggregate(
     out_dir: str,
     run_id: str,
     source_list_path: str | None = None,
+    check_metadata: bool = False,
 ) -> Aggregation:
     """Parse, attach metadata, resolve, merge; then sample every slice and match the source list.
 
     The merged table is written once, partitioned by slice. It serves as the resolved slices
-    and, read without the slice column, as their merge.
+    and, read without the slice column, as their merge. ``check_metadata`` refuses metadata
+    that lists a path twice, which would double the records of that file.
     """
     out_dir = out_dir.rstrip("/")
     records_path = f"{out_dir}/records"
     merged_path = f"{out_dir}/merged/{run_id}"
+    metadata = read_harvest_metadata(spark, metadata_path).select("path", "url", "download_time_utc")
+    metadata = stage(metadata.where(F.col("path").isNotNull()), "metadata", plain=True)
+    if check_metadata and not key_uniqueness(metadata, "path").head().is_unique:
+        raise ValueError("harvest metadata lists a path more than once")
     records = ingest(spark, dumps_dir, records_path, run_id)
-    metadata = read_harvest_metadata(spark, metadata_path)
+    metadata = broadcast_if_small(metadata)
     resolved = resolve_links(attach_metadata(records, metadata))
     write_slices(resolved, merged_path)
 

@@ -13,7 +13,7 @@ from linkloom.operators.authority import (
     examples_per_source,
     match_coverage,
 )
-from linkloom.sources import read_authority_dump, stage, write_table
+from linkloom.sources import broadcast_if_small, read_authority_dump, stage, write_table
 
 
 @dataclass(frozen=True)
@@ -35,14 +35,15 @@ def enrich(
 ) -> Enrichment:
     """Add entity types to a merged table and write it.
 
-    The type table is staged: only then does Spark know whether it can be broadcast, which
-    spares the shuffle of the whole merged table.
+    The type table is staged, so that its size decides whether the merged table has to be
+    shuffled to meet it.
     """
     merged = spark.read.parquet(merged_path)
     if "slice" in merged.columns:
         merged = merged.drop("slice")
     candidates = None if normalize_candidates else candidate_ids(merged)
-    types = stage(authority_types(read_authority_dump(spark, dump_path), candidates), "types")
+    types = authority_types(read_authority_dump(spark, dump_path), candidates)
+    types = broadcast_if_small(stage(types, "types", plain=True))
     write_table(attach_types(merged, types), out_path)
     enriched = spark.read.parquet(out_path)
     return Enrichment(

@@ -6,7 +6,7 @@ from linkloom.sources.json_files import (
     read_source_list,
 )
 from linkloom.sources.link_dumps import read_lines, with_kind
-from linkloom.sources.staging import stage, staging_dir
+from linkloom.sources.staging import broadcast_if_small, stage, staged_bytes, staging_dir
 from linkloom.sources.tables import (
     read_tables,
     samples_path,
@@ -18,6 +18,7 @@ from linkloom.sources.tables import (
 )
 
 __all__ = [
+    "broadcast_if_small",
     "read_authority_dump",
     "read_harvest_metadata",
     "read_lines",
@@ -25,6 +26,7 @@ __all__ = [
     "read_tables",
     "samples_path",
     "stage",
+    "staged_bytes",
     "staging_dir",
     "with_kind",
     "write_records",

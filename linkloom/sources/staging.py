@@ -1,9 +1,8 @@
 """Tables written between steps, in the folder the cluster shares for that purpose.
 
-A staged table does three things a lazy plan cannot: it is computed once however often it is
-read, it survives the loss of the executors that wrote it, and it has a size Spark knows, so
-that the choice between a broadcast and a shuffle join rests on the real number of bytes
-(``spark.sql.autoBroadcastJoinThreshold``) rather than on a hint.
+A staged table is computed once however often it is read, and it survives the loss of the
+executors that wrote it. It also has a known size, which is what :func:`broadcast_if_small`
+goes by.
 """
 
 from __future__ import annotations
@@ -12,6 +11,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def staging_dir(spark: SparkSession) -> str:
@@ -26,9 +28,33 @@ def staging_dir(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return the written table."""
+def stage(df: DataFrame, name: str, plain: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and return the written table.
+
+    ``plain`` leaves out compression and dictionaries, for tables that may be broadcast: their
+    files then tell how much memory the rows need. Compressed ones can be fifty times smaller.
+    """
     spark = df.sparkSession
     path = f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(
+        **{
+            "compression": "uncompressed" if plain else "zstd",
+            "parquet.enable.dictionary": str(not plain).lower(),
+        }
+    ).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_bytes(staged: DataFrame) -> int:
+    """Size of the files of a staged table."""
+    files = staged.select("_metadata.file_path", "_metadata.file_size").distinct()
+    return files.agg(F.coalesce(F.sum("file_size"), F.lit(0)).alias("total")).head().total
+
+
+def broadcast_if_small(staged: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Ask for a broadcast of a plainly staged table if its files are within ``limit``.
+
+    Beyond the limit the table is returned as it is, and Spark joins it by a shuffle. The hash
+    table of a broadcast takes four to five times the bytes of the files.
+    """
+    return F.broadcast(staged) if staged_bytes(staged) <= limit else staged

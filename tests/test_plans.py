@@ -132,6 +132,17 @@ def test_enrichment(spark, workspace, aggregation, symmetric):
     assert [r.authority_id for r in result.examples_without_type.collect()] == ["2"]
 
 
+def test_metadata_that_lists_a_path_twice_can_be_refused(spark, workspace, tmp_path):
+    twice = json.loads((workspace / "dumps" / "harvest.json").read_text())[:1] * 2
+    path = tmp_path / "harvest.json"
+    path.write_text(json.dumps(twice))
+    job = (spark, f"{workspace}/dumps", str(path), str(tmp_path / "out"), "r")
+    with pytest.raises(ValueError, match="more than once"):
+        aggregate(*job, check_metadata=True)
+    doubled = spark.read.parquet(aggregate(*job).merged_path)
+    assert doubled.count() == 6 + 3
+
+
 def test_a_folder_without_data_adds_no_run(spark, tmp_path):
     folder = tmp_path / "dumps"
     folder.mkdir()

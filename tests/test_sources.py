@@ -13,12 +13,14 @@ from linkloom.operators.counts import latest_run
 from linkloom.operators.slices import split_slices
 from linkloom.schemas import RECORDS
 from linkloom.sources import (
+    broadcast_if_small,
     read_authority_dump,
     read_harvest_metadata,
     read_source_list,
     read_tables,
     samples_path,
     stage,
+    staged_bytes,
     staging_dir,
     write_records,
     write_report,
@@ -153,3 +155,15 @@ def test_staged_tables_go_to_the_shared_folder_and_have_a_size(spark, tmp_path):
     assert staged.schema.names == df.schema.names
     assert all(f.startswith(f"file://{folder}/thing-") for f in staged.inputFiles())
     assert staged.count() == 1000
+
+
+def test_the_size_of_a_plainly_staged_table_decides_about_a_broadcast(spark, settings, plan):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    same = spark.range(20_000).select("id", F.lit("the same text over and over").alias("s"))
+    plain = stage(same, "plain", plain=True)
+    assert staged_bytes(plain) > 20_000 * 27
+    assert staged_bytes(stage(same, "packed")) < 20_000 * 9
+    assert staged_bytes(stage(same.limit(0), "none", plain=True)) < 2000
+    other = spark.range(10)
+    assert "BroadcastHashJoin" in plan(other.join(broadcast_if_small(plain), "id"))
+    assert "SortMergeJoin" in plan(other.join(broadcast_if_small(plain, limit=1000), "id"))
