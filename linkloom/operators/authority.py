@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.fixed_values import EXAMPLE_ROWS
 from linkloom.functions import bare_id, entity_type
+from linkloom.operators.joining import shuffled_anew
 
 
 def candidate_ids(records: DataFrame, normalize: bool = False) -> DataFrame:
@@ -30,23 +31,26 @@ def dump_ids(dump: DataFrame) -> DataFrame:
     )
 
 
-def authority_types(
-    dump: DataFrame, candidates: DataFrame | None = None
-) -> DataFrame:
+def authority_types(dump: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
     """One type and one sorted type list per bare id: gnd, gnd_type, gnd_type_list.
 
     Where several entries carry the same id, a current id goes before an old one, then the
     smaller entry id; the list is that of the first entry that has one. ``candidates`` limits
-    the result to ids in use, before anything is grouped.
+    the result to ids in use. Ids are grouped before they meet the candidates: both sides then
+    lie partitioned by id with one row each, so the join moves nothing and has no hot key.
     """
-    ids = dump_ids(dump).where(F.col("gnd").isNotNull())
-    if candidates is not None:
-        ids = ids.join(candidates, "gnd", "left_semi")
     entry = F.struct("rank", "id", "types")
-    best = ids.groupBy("gnd").agg(
-        F.min(entry).alias("first"),
-        F.min(F.when(F.col("types").isNotNull(), entry)).alias("listed"),
+    best = (
+        dump_ids(dump)
+        .where(F.col("gnd").isNotNull())
+        .groupBy("gnd")
+        .agg(
+            F.min(entry).alias("first"),
+            F.min(F.when(F.col("types").isNotNull(), entry)).alias("listed"),
+        )
     )
+    if candidates is not None:
+        best = best.join(candidates.select("gnd").distinct(), "gnd")
     return best.select(
         "gnd",
         entity_type(F.col("first.types")).alias("gnd_type"),
@@ -59,7 +63,8 @@ def attach_types(records: DataFrame, types: DataFrame) -> DataFrame:
 
     ``types`` has one row per id, so the number of rows stays. The strategy is left to Spark:
     a small type table is broadcast, otherwise both sides are shuffled on the bare id and
-    the ids that hold most of the records are split over several tasks.
+    the ids that hold most of the records are split over several tasks. For the split
+    ``types`` must be a stored table or ``shuffled_anew``.
     """
     keyed = records.withColumn("bare_authority_id", bare_id(F.col("authority_id")))
     types = types.select(F.col("gnd"), "gnd_type", "gnd_type_list")
@@ -82,7 +87,7 @@ def enrich_types(
     on both sides; limiting the dump then changes no result and is left out.
     """
     candidates = None if normalize_candidates else candidate_ids(records)
-    return attach_types(records, authority_types(dump, candidates))
+    return attach_types(records, shuffled_anew(authority_types(dump, candidates)))
 
 
 def match_coverage(enriched: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.fixed_values import RESOLVABLE_SLICES, SAFE_PREFIX_LENGTH
 from linkloom.functions import safe_prefix
+from linkloom.operators.joining import shuffled_anew
 
 
 def match_sources(source_list: DataFrame, sliced: DataFrame) -> DataFrame:
@@ -24,7 +25,7 @@ def match_sources(source_list: DataFrame, sliced: DataFrame) -> DataFrame:
     names = sliced.select("slice", "source_file").where(F.col("source_file").isNotNull()).distinct()
     found = (
         names.select("slice", F.explode(_prefix_candidates(F.col("source_file"))).alias("safe_prefix"))
-        .join(wanted, "safe_prefix")
+        .join(shuffled_anew(wanted), "safe_prefix")
         .distinct()
     )
     place = F.array_position(F.lit(RESOLVABLE_SLICES), F.col("slice"))
@@ -32,7 +33,7 @@ def match_sources(source_list: DataFrame, sliced: DataFrame) -> DataFrame:
         F.array_sort(F.collect_set(F.struct(place.alias("place"), "slice"))).alias("places")
     )
     return (
-        entries.join(lists, "safe_prefix", "left")
+        entries.join(shuffled_anew(lists), "safe_prefix", "left")
         .withColumn(
             "matched_parquets",
             F.coalesce(F.col("places.slice"), F.array().cast("array<string>")),

@@ -22,6 +22,7 @@ from linkloom.fixed_values import (
     RECORD_FIELDS,
 )
 from linkloom.functions import all_fields, fields, header_key, header_value, strip
+from linkloom.operators.joining import shuffled_anew
 from linkloom.sources.link_dumps import with_kind
 
 
@@ -81,7 +82,7 @@ def parse_links(
     """
     lines = with_kind(_with_block(lines))
     if headers is None:
-        headers = file_headers(lines)
+        headers = shuffled_anew(file_headers(lines))
     parts = fields(F.col("line"), count)
     data = (
         lines.where(F.col("kind") != "blank")
@@ -113,7 +114,7 @@ def raw_parts(lines: DataFrame, ends: DataFrame | None = None) -> DataFrame:
     :func:`header_ends`, staged when the input is large.
     """
     if ends is None:
-        ends = header_ends(lines)
+        ends = shuffled_anew(header_ends(lines))
     inside = F.col("part_of_line") < F.col("first_other") - 1
     at_end = (F.col("block") == F.col("end_block")) & (F.col("ord") == F.col("end_ord"))
     is_header = F.col("end_ord").isNull() | _before("end") | (at_end & inside)

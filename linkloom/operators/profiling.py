@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -142,5 +143,5 @@ def inspect(
 def _scans_files(df: DataFrame) -> bool:
     try:
         return bool(df.select("_metadata").schema)
-    except Exception:  # noqa: BLE001 - the column is simply not there
+    except AnalysisException:
         return False

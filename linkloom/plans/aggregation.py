@@ -20,6 +20,7 @@ from linkloom.sources import (
     read_lines,
     read_source_list,
     stage,
+    staging_area,
     with_kind,
     write_records,
     write_report,
@@ -46,10 +47,11 @@ def ingest(
     read a few narrow columns instead of the text, and the order of lines is settled. The header
     table is staged too, so that its size decides whether the data lines have to be shuffled.
     """
-    lines = stage(with_kind(read_lines(spark, dumps_dir, skip_suffixes)), "lines")
-    headers = broadcast_if_small(stage(file_headers(lines), "headers", plain=True))
-    records = normalize_schema(parse_links(lines, headers))
-    write_records(records, records_path, run_id)
+    with staging_area(spark) as area:
+        lines = with_kind(read_lines(spark, dumps_dir, skip_suffixes))
+        lines = stage(lines, "lines", area=area)
+        headers = broadcast_if_small(stage(file_headers(lines), "headers", plain=True, area=area))
+        write_records(normalize_schema(parse_links(lines, headers)), records_path, run_id)
     return _records_of_run(spark, records_path, run_id)
 
 
@@ -87,14 +89,15 @@ def aggregate(
     out_dir = out_dir.rstrip("/")
     records_path = f"{out_dir}/records"
     merged_path = f"{out_dir}/merged/{run_id}"
-    metadata = read_harvest_metadata(spark, metadata_path).select("path", "url", "download_time_utc")
-    metadata = stage(metadata.where(F.col("path").isNotNull()), "metadata", plain=True)
+    metadata = read_harvest_metadata(spark, metadata_path)
     if check_metadata and not key_uniqueness(metadata, "path").head().is_unique:
         raise ValueError("harvest metadata lists a path more than once")
     records = ingest(spark, dumps_dir, records_path, run_id)
-    metadata = broadcast_if_small(metadata)
-    resolved = resolve_links(attach_metadata(records, metadata))
-    write_slices(resolved, merged_path)
+    with staging_area(spark) as area:
+        metadata = metadata.select("path", "url", "download_time_utc")
+        metadata = broadcast_if_small(stage(metadata, "metadata", plain=True, area=area))
+        resolved = resolve_links(attach_metadata(records, metadata))
+        write_slices(resolved, merged_path)
 
     merged = spark.read.schema(resolved.schema).parquet(merged_path)
     samples = write_samples(

@@ -13,7 +13,13 @@ from linkloom.operators.authority import (
     examples_per_source,
     match_coverage,
 )
-from linkloom.sources import broadcast_if_small, read_authority_dump, stage, write_table
+from linkloom.sources import (
+    broadcast_if_small,
+    read_authority_dump,
+    stage,
+    staging_area,
+    write_table,
+)
 
 
 @dataclass(frozen=True)
@@ -43,8 +49,9 @@ def enrich(
         merged = merged.drop("slice")
     candidates = None if normalize_candidates else candidate_ids(merged)
     types = authority_types(read_authority_dump(spark, dump_path), candidates)
-    types = broadcast_if_small(stage(types, "types", plain=True))
-    write_table(attach_types(merged, types), out_path)
+    with staging_area(spark) as area:
+        types = broadcast_if_small(stage(types, "types", plain=True, area=area))
+        write_table(attach_types(merged, types), out_path)
     enriched = spark.read.parquet(out_path)
     return Enrichment(
         enriched=enriched,

@@ -6,7 +6,7 @@ from linkloom.sources.json_files import (
     read_source_list,
 )
 from linkloom.sources.link_dumps import read_lines, with_kind
-from linkloom.sources.staging import broadcast_if_small, stage, staged_bytes, staging_dir
+from linkloom.sources.staging import broadcast_if_small, stage, staged_bytes, staging_area, staging_dir
 from linkloom.sources.tables import (
     read_tables,
     samples_path,
@@ -27,6 +27,7 @@ __all__ = [
     "samples_path",
     "stage",
     "staged_bytes",
+    "staging_area",
     "staging_dir",
     "with_kind",
     "write_records",

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,14 +30,27 @@ def staging_dir(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
-def stage(df: DataFrame, name: str, plain: bool = False) -> DataFrame:
-    """Write ``df`` to the shared folder and return the written table.
+@contextmanager
+def staging_area(spark: SparkSession) -> Iterator[str]:
+    """A new folder for the staged tables of one job, removed with them when the job is done.
+
+    Frames that read them must have been written or counted by then. A job that fails leaves
+    the folder behind, for a look.
+    """
+    area = f"{staging_dir(spark)}/linkloom-{uuid.uuid4().hex}"
+    yield area
+    path = spark._jvm.org.apache.hadoop.fs.Path(area)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stage(df: DataFrame, name: str, plain: bool = False, area: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, or the area in it, and return the written table.
 
     ``plain`` leaves out compression and dictionaries, for tables that may be broadcast: their
     files then tell how much memory the rows need. Compressed ones can be fifty times smaller.
     """
     spark = df.sparkSession
-    path = f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{area or staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.options(
         **{
             "compression": "uncompressed" if plain else "zstd",

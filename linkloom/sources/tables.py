@@ -13,10 +13,12 @@ def read_tables(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def write_table(df: DataFrame, path: str, compression: str = "zstd") -> None:
-    """Parquet with dictionary encoding."""
+def write_table(
+    df: DataFrame, path: str, compression: str = "zstd", dictionary: bool = True
+) -> None:
+    """Parquet, by default with zstd compression and dictionary encoding."""
     df.write.mode("overwrite").option("compression", compression).option(
-        "parquet.enable.dictionary", "true"
+        "parquet.enable.dictionary", str(dictionary).lower()
     ).parquet(path)
 
 

@@ -105,7 +105,7 @@ def test_prefixed_ids_need_a_bare_twin_unless_normalized(spark):
     assert {tuple(r.gnd_type_list) for r in both.collect() if r.gnd_type is None} == {()}
 
 
-def test_enrichment_equals_a_model_with_a_hot_id(spark, settings):
+def test_enrichment_equals_a_model_with_a_hot_id(spark, settings, plan):
     """A third of all records carry one id; joins shuffle, and the hot key is split."""
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",
@@ -138,9 +138,10 @@ def test_enrichment_equals_a_model_with_a_hot_id(spark, settings):
             kind = next((t for t in ORDER if t in (found[0][2] or [])), "Other")
             model[gnd] = (kind, next((sorted(t) for _, _, t in found if t is not None), []))
     want = sorted((a, *model.get(bare(a), (None, []))) for a in ids)
-    enriched = enrich_types(records(spark, *ids), dump(spark, *entries))
+    enriched = enrich_types(records(spark, *ids).repartition(8), dump(spark, *entries))
     got = sorted((r.authority_id, r.gnd_type, r.gnd_type_list) for r in enriched.collect())
     assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert "skew=true" in plan(enriched)
 
 
 def test_coverage(spark):

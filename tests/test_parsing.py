@@ -5,6 +5,9 @@ from __future__ import annotations
 import gzip
 
 import pytest
+from hypothesis import given
+from hypothesis import settings as hypothesis_settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from linkloom.operators.parsing import (
@@ -154,6 +157,61 @@ def test_normalize_schema(spark):
     assert got.collect() == [(None, "2.5", None, None, None, None, "1", None, None, None)]
 
 
+# ---- a model of the rules ---------------------------------------------------------------------
+
+
+def model(lines):
+    """Records of one file by a plain walk over its lines."""
+    found = dict.fromkeys(("TARGET", "NAME", "FEED", "TIMESTAMP"))
+    body = list(lines)
+    while body and (body[0].startswith("#") or not body[0].strip()):
+        key, colon, value = body.pop(0)[1:].strip().partition(":")
+        key, value = key.strip().upper(), value.strip()
+        if colon and value and key in found:
+            found[key] = value
+    for line in filter(str.strip, body):
+        parts = [p.strip() for p in line.split("|")][:5]
+        yield (*found.values(), *parts, *[None] * (5 - len(parts)))
+
+
+PIECES = ["#", "#", "NAME", "target", " ", "\t", "\xa0", "\u2003", ":", ":", "|", "|", "a", "{ID}", "\u00e9"]
+FILES = st.lists(st.lists(st.lists(st.sampled_from(PIECES), max_size=7), max_size=9), min_size=30, max_size=60)
+
+
+@given(FILES)
+@hypothesis_settings(max_examples=6, deadline=None)
+def test_parse_equals_the_model(spark, files):
+    texts = {f"f{i}": ["".join(pieces) for pieces in lines] for i, lines in enumerate(files)}
+    got = sorted((tuple(r) for r in parse_links(lines_of(spark, **texts)).collect()), key=repr)
+    want = sorted(((name, *row) for name, lines in texts.items() for row in model(lines)), key=repr)
+    assert got == want
+
+
+def test_the_lines_of_a_hot_file_are_split(spark, settings, plan):
+    """Half of all lines are in one file; the lazy form has to shuffle them to their header."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="2KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="2KB",
+    )
+    lines = spark.range(0, 6000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("f"), F.col("id") % 50)).alias("source_file"),
+        F.col("id").alias("ord"),
+        F.when(F.col("id") < 100, F.concat(F.lit("#NAME: "), F.col("id")))
+        .otherwise(F.concat("id", F.lit("|"), F.sha2(F.col("id").cast("string"), 256)))
+        .alias("line"),
+    )
+    for parsed in (parse_links(lines), raw_parts(lines)):
+        rows = parsed.collect()
+        assert "skew=true" in plan(parsed)
+        assert sum(r.source_file == "hot" for r in rows) == (2950 if "NAME" in parsed.columns else 3000)
+    names = {r.source_file: r.NAME for r in parse_links(lines).collect()}
+    assert names["hot"] == "98"
+    assert names["f1"] == "51"
+
+
 # ---- files ---------------------------------------------------------------------------------
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import gzip
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from linkloom.sources import (
     samples_path,
     stage,
     staged_bytes,
+    staging_area,
     staging_dir,
     write_records,
     write_report,
@@ -167,3 +169,15 @@ def test_the_size_of_a_plainly_staged_table_decides_about_a_broadcast(spark, set
     other = spark.range(10)
     assert "BroadcastHashJoin" in plan(other.join(broadcast_if_small(plain), "id"))
     assert "SortMergeJoin" in plan(other.join(broadcast_if_small(plain, limit=1000), "id"))
+
+
+def test_a_staging_area_goes_with_its_job(spark):
+    with staging_area(spark) as area:
+        assert stage(spark.range(3), "numbers", area=area).count() == 3
+        assert Path(area).parent == Path(staging_dir(spark))
+        assert Path(area).exists()
+    assert not Path(area).exists()
+    with pytest.raises(RuntimeError), staging_area(spark) as area:
+        stage(spark.range(3), "numbers", area=area)
+        raise RuntimeError
+    assert Path(area).exists()
