@@ -15,7 +15,12 @@ def strip(text: Column) -> Column:
     they are; trimming by a set of characters costs several times as much as the look.
     """
     plain = _is_plain(text) & _is_plain(text.substr(-1, 1))
-    return F.when(plain, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
+    return F.when(plain, text).otherwise(_trim(text))
+
+
+def _trim(text: Column) -> Column:
+    """The trim of :func:`strip` without the look, whose code is long: for rare texts."""
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def _is_plain(text: Column) -> Column:
@@ -28,24 +33,24 @@ def line_kind(line: Column) -> Column:
     return (
         F.when(line.startswith(HEADER_MARK), F.lit("mark"))
         .when(_is_plain(line), F.lit("text"))
-        .when(F.btrim(line, F.lit(WHITESPACE)) == "", F.lit("blank"))
+        .when(_trim(line) == "", F.lit("blank"))
         .otherwise(F.lit("text"))
     )
 
 
 def header_key(line: Column) -> Column:
     """Key of a ``#KEY: value`` line, upper-cased; NULL when there is no colon."""
-    entry = strip(F.substring(line, 2, 2_147_483_647))
+    entry = _trim(F.substring(line, 2, 2_147_483_647))
     colon = F.instr(entry, ":")
-    return F.when(colon > 0, F.upper(strip(entry.substr(F.lit(1), colon - 1))))
+    return F.when(colon > 0, F.upper(_trim(entry.substr(F.lit(1), colon - 1))))
 
 
 def header_value(line: Column) -> Column:
     """Value after the first colon of a ``#KEY: value`` line; NULL when absent or blank."""
-    entry = strip(F.substring(line, 2, 2_147_483_647))
+    entry = F.substring(line, 2, 2_147_483_647)
     colon = F.instr(entry, ":")
-    value = strip(entry.substr(colon + 1, F.length(entry)))
-    return F.when((colon > 0) & (value != ""), value)
+    value = _trim(entry.substr(colon + 1, F.length(entry)))
+    return F.when(colon > 0, F.nullif(value, F.lit("")))
 
 
 def fields(line: Column, count: int) -> Column:
