@@ -8,8 +8,8 @@ from oracle import connect, rows_of_duckdb, rows_of_spark
 import __spark_entry__ as entries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entries.queries()
-ORACLES = entries.oracle_sql()
+QUERIES = entries.QUERIES
+ORACLES = entries.ORACLES
 
 
 @pytest.fixture(scope="module")
