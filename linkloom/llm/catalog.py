@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from linkloom.llm.jaccard_join import op1_ngram_jaccard_join
 from linkloom.llm.quality_rules import op3_quality_rules
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_quality_rules": op3_quality_rules,
 }
 ORACLES: dict[str, str] = {}
