@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+from linkloom.llm.chat_format import OP2_SQL, op2_chat_formatting
 from linkloom.llm.jaccard_join import op1_ngram_jaccard_join
+from linkloom.llm.line_dedup import OP7_SQL, op7_line_dedup
+from linkloom.llm.lm_scoring import op5_lm_scoring
+from linkloom.llm.mixing import OP6_SQL, op6_mixing
 from linkloom.llm.quality_rules import op3_quality_rules
+from linkloom.llm.sentencepiece_codec import op4_sentencepiece
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_quality_rules": op3_quality_rules,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op5_lm_scoring": op5_lm_scoring,
+    "op6_mixing": op6_mixing,
+    "op7_line_dedup": op7_line_dedup,
+}
+ORACLES: dict[str, str] = {
+    "op2_chat_formatting": OP2_SQL,
+    "op6_mixing": OP6_SQL,
+    "op7_line_dedup": OP7_SQL,
 }
-ORACLES: dict[str, str] = {}
