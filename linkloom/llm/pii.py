@@ -84,7 +84,9 @@ def has_octets(text: Column) -> Column:
 
 def _matches(text: Column, pattern: str, hint: str) -> Column:
     """Leftmost matches that do not overlap: ``start, end, text`` of each."""
-    with_gap = f"(?s)(.*?)({pattern})"
+    # \G ties a match to the end of the one before; else the rest of a text after its last match
+    # would be searched again from every position.
+    with_gap = rf"(?s)\G(.*?)({pattern})"
     pairs = F.arrays_zip(
         F.regexp_extract_all(text, F.lit(with_gap), F.lit(1)).alias("gap"),
         F.regexp_extract_all(text, F.lit(with_gap), F.lit(2)).alias("hit"),
