@@ -304,17 +304,19 @@ def _distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
 
 def point_links(
     points: DataFrame, percent: int = 80, pivots: int = 8, far: float = 0.5
-) -> DataFrame:
-    """Links ``a, b`` between points that connect whatever any link connects.
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Links ``a, b`` between points that connect whatever any link connects, and ``point, component``.
+
+    Both are None if no two points meet in a region.
 
     ``points`` has ``point, size, shared, regions`` as made by :func:`shared_shingles`. Every round
-    compares the members of each region with ``pivots`` of them.
+    compares the members of each region with ``pivots`` of them, twice as many in every next round.
     """
     reach = 1 - percent / 100
     members = durable(
         points.select(F.explode("regions").alias("region"), "point", F.col("point").alias("component"))
     )
-    links = None
+    links = named = None
     while True:
         # A region is done when it has one member or when all its members are connected.
         state = members.groupBy("region").agg(
@@ -338,22 +340,38 @@ def point_links(
         )
         known = durable(_distances(pairs, points))
         new = known.where(100 * F.col("common") >= percent * F.col("total")).select("a", "b")
-        links = durable(new if links is None else links.union(new))
-        # Names of components, from all links so far.
-        named = components(links)
-        rest = open_.join(
+        links = new if links is None else links.union(new)
+        named = _renamed(named, new)
+        rest = open_.select("region", "point", "members").join(
             chosen.select("region", F.col("pivot").alias("point")), ["region", "point"], "left_anti"
         )
-        small = rest.where(F.col("members") <= 4 * pivots)
-        large = rest.where(F.col("members") > 4 * pivots)
-        cells = _cells(large, chosen, known, reach, far)
-        members = small.select("region", "point").union(cells)
+        cells = _cells(rest.where(F.col("members") > 4 * pivots), chosen, known, reach, far)
         members = durable(
-            members.join(named.withColumnRenamed("node", "point"), "point", "left").select(
-                "region", "point", F.coalesce("component", "point").alias("component")
-            )
+            rest.where(F.col("members") <= 4 * pivots)
+            .select("region", "point")
+            .union(cells)
+            .join(named, "point", "left")
+            .select("region", "point", F.coalesce("component", "point").alias("component"))
         )
-    return links
+        # What is left are few regions: more pivots end them in fewer rounds.
+        pivots *= 2
+    return links, named
+
+
+def _renamed(named: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``point, component`` of linked points, after the links of one more round."""
+    if named is None:
+        return durable(components(links).withColumnRenamed("node", "point"))
+    ends = links.select(F.explode(F.array("a", "b")).alias("point")).distinct()
+    every = named.join(ends, "point", "full").select("point", F.coalesce("component", "point").alias("component"))
+    joined = (
+        links.join(every.withColumnsRenamed({"point": "a", "component": "ca"}), "a")
+        .join(every.withColumnsRenamed({"point": "b", "component": "cb"}), "b")
+        .where("ca <> cb")
+        .select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    )
+    moved = components(joined).withColumnsRenamed({"node": "component", "component": "to"})
+    return durable(every.join(moved, "component", "left").select("point", F.coalesce("to", "component").alias("component")))
 
 
 def _smallest(ranked: DataFrame, n: int) -> DataFrame:
@@ -434,10 +452,9 @@ def jaccard_join(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFra
     """Documents with ``n_shingles`` and ``component_id``, and the links between points."""
     prints, hot = fingerprints(docs)
     points = durable(shared_shingles(docs, hot, percent))
-    links = point_links(points, percent)
+    links, named = point_links(points, percent)
     first = prints.where("n_shingles > 0").groupBy("point").agg(F.min("doc_id").alias("first"))
-    if links is not None:
-        named = components(links).withColumnRenamed("node", "point")
+    if named is not None:
         first = durable(first.join(named, "point", "left").withColumn("component", F.coalesce("component", "point")))
         lowest = first.groupBy("component").agg(F.min("first").alias("component_id"))
         first = first.join(lowest, "component").select("point", "component_id")
