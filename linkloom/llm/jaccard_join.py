@@ -370,7 +370,7 @@ def _renamed(named: DataFrame | None, links: DataFrame) -> DataFrame:
         .where("ca <> cb")
         .select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     )
-    moved = components(joined).withColumnsRenamed({"node": "component", "component": "to"})
+    moved = components(joined).select(F.col("node").alias("component"), F.col("component").alias("to"))
     return durable(every.join(moved, "component", "left").select("point", F.coalesce("to", "component").alias("component")))
 
 
