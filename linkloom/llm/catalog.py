@@ -7,6 +7,8 @@ from linkloom.llm.jaccard_join import op1_ngram_jaccard_join
 from linkloom.llm.line_dedup import OP7_SQL, op7_line_dedup
 from linkloom.llm.lm_scoring import op5_lm_scoring
 from linkloom.llm.mixing import OP6_SQL, op6_mixing
+from linkloom.llm.permutation_index import op10_permutation_index
+from linkloom.llm.pii import op8_pii
 from linkloom.llm.quality_rules import op3_quality_rules
 from linkloom.llm.sentencepiece_codec import op4_sentencepiece
 
@@ -18,6 +20,8 @@ QUERIES = {
     "op5_lm_scoring": op5_lm_scoring,
     "op6_mixing": op6_mixing,
     "op7_line_dedup": op7_line_dedup,
+    "op8_pii": op8_pii,
+    "op10_permutation_index": op10_permutation_index,
 }
 ORACLES: dict[str, str] = {
     "op2_chat_formatting": OP2_SQL,
