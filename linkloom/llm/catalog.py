@@ -11,6 +11,7 @@ from linkloom.llm.permutation_index import op10_permutation_index
 from linkloom.llm.pii import op8_pii
 from linkloom.llm.quality_rules import op3_quality_rules
 from linkloom.llm.sentencepiece_codec import op4_sentencepiece
+from linkloom.llm.suffix_dedup import op9_suffix_dedup
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op7_line_dedup": op7_line_dedup,
     "op8_pii": op8_pii,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_permutation_index": op10_permutation_index,
 }
 ORACLES: dict[str, str] = {
