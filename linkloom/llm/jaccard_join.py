@@ -55,6 +55,7 @@ from linkloom.llm.text_blocks import (
 )
 
 WORDS = 5
+LAST = 2**63 - 1
 HOT = 32
 FLUSH = 4_000_000
 WIDTH = 5
@@ -89,20 +90,20 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         sets = block_shingles(block)
         prints = np.array([set_print(x) for x in sets], np.uint64)
         sizes = np.array([len(x) for x in sets], np.int64)
-        yield _rows(block.rows.column("doc_id"), sizes, prints, np.zeros(len(sets), bool))
+        yield _rows(block.rows.column("doc_id"), block.rows.column("print"), sizes, prints, np.zeros(len(sets), bool))
         _, first = np.unique(prints, return_index=True)
         if first.size:
             every = np.concatenate([sets[i] for i in first])
             found, counts = np.unique(every, return_counts=True)
             often = counts * 2 * HOT >= max(len(first), 4 * HOT)
             nobody = pa.nulls(int(often.sum()), pa.int64())
-            yield _rows(nobody, counts[often], found[often], np.ones(int(often.sum()), bool))
+            yield _rows(nobody, nobody, counts[often], found[often], np.ones(int(often.sum()), bool))
 
 
-def _rows(ids: pa.Array, sizes: np.ndarray, prints: np.ndarray, shingle: np.ndarray) -> pa.RecordBatch:
+def _rows(ids: pa.Array, texts: pa.Array, sizes: np.ndarray, prints: np.ndarray, shingle: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [ids, pa.array(sizes), pa.array(signed(prints)), pa.array(shingle)],
-        names=["doc_id", "n_shingles", "point", "shingle"],
+        [ids, texts, pa.array(sizes), pa.array(signed(prints)), pa.array(shingle)],
+        names=["doc_id", "print", "n_shingles", "point", "shingle"],
     )
 
 
@@ -417,10 +418,10 @@ def _cells(members: DataFrame, pivots: DataFrame, known: DataFrame, reach: float
 
 
 def fingerprints(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """``doc_id, n_shingles, point`` of every document, and the shingles in over 1/32 of all points."""
+    """``doc_id, print, n_shingles, point`` of every document (``print`` is a hash of the text), and the shingles in over 1/32 of all points."""
     both = durable(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-            _fingerprints, "doc_id long, n_shingles long, point long, shingle boolean"
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("print")).mapInArrow(
+            _fingerprints, "doc_id long, print long, n_shingles long, point long, shingle boolean"
         )
     )
     prints = both.where("not shingle").drop("shingle")
@@ -449,24 +450,55 @@ def shared_shingles(docs: DataFrame, hot: np.ndarray, percent: int = 80) -> Data
 
 
 def jaccard_join(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Documents with ``n_shingles`` and ``component_id``, and the links between points."""
+    """Documents with their component, and the links between points.
+
+    Documents have ``doc_id, print, n_shingles, point, component, component_id``. Equal sets are a
+    point, linked points a component; ``component`` is null for empty sets. Links ``a, b`` connect all
+    points of a component, not each with each.
+    """
     prints, hot = fingerprints(docs)
     points = durable(shared_shingles(docs, hot, percent))
     links, named = point_links(points, percent)
     first = prints.where("n_shingles > 0").groupBy("point").agg(F.min("doc_id").alias("first"))
-    if named is not None:
+    if named is None:
+        links = points.sparkSession.createDataFrame([], "a long, b long")
+        first = first.select("point", F.col("point").alias("component"), F.col("first").alias("component_id"))
+    else:
         first = durable(first.join(named, "point", "left").withColumn("component", F.coalesce("component", "point")))
         lowest = first.groupBy("component").agg(F.min("first").alias("component_id"))
-        first = first.join(lowest, "component").select("point", "component_id")
-    else:
-        links = points.sparkSession.createDataFrame([], "a long, b long")
-        first = first.withColumnRenamed("first", "component_id")
+        first = first.join(lowest, "component").select("point", "component", "component_id")
     members = prints.join(first, "point", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "point"
+        "doc_id", "print", "n_shingles", "point", "component", F.coalesce("component_id", "doc_id").alias("component_id")
     )
     return members, links
 
 
+def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of every component, and all rows without a word.
+
+    The row that stays has the smallest ``doc_id`` (null is last) and, among texts with the same
+    id, the smallest hash of the text; of repeated rows one stays.
+    """
+    members, _ = jaccard_join(docs, percent)
+    name = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+    staying = (
+        members.where("component is not null")
+        .groupBy("component")
+        .agg(F.min(F.struct(name.alias("doc"), "print")).alias("k"))
+        .select("k.doc", "k.print", F.lit(True).alias("stays"))
+    )
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(name.alias("doc"), F.xxhash64("text").alias("print"), row.alias("row"))
+    copies = Window.partitionBy("doc", "print").orderBy("stays")
+    return (
+        rows.join(durable(staying), ["doc", "print"], "left")
+        .withColumn("copy", F.row_number().over(copies))
+        .withColumn("empty", ~F.coalesce(F.rlike("row.text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False)))
+        .where(F.col("empty") | (F.col("stays") & (F.col("copy") == 1)))
+        .select("row.*")
+    )
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document."""
     members, _ = jaccard_join(table(spark, sf_dir, "documents"))
