@@ -232,7 +232,7 @@ def _windows(percent: int):
                 shared = rows["shingle"][a:b]
                 out["point"].append(rows["point"][a : a + 1].view(np.int64)[0])
                 out["size"].append(n)
-                out["shared"].append(np.sort(shared).tobytes())
+                out["shared"].append(_packed(np.sort(mix(shared) >> np.uint64(64 - 8 * WIDTH))).tobytes())
                 out["regions"].append(shared[: window - own].view(np.int64))
         return pa.table(
             {
@@ -280,8 +280,8 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, pivot = None, None
         for i, (a, b) in enumerate(zip(shared_a, shared_b, strict=True)):
             if b is not last and b != last:
-                last, pivot = b, np.frombuffer(b, "<u8")
-            mine = np.frombuffer(a, "<u8")
+                last, pivot = b, _unpacked(np.frombuffer(b, np.uint8))
+            mine = _unpacked(np.frombuffer(a, np.uint8))
             at = np.minimum(np.searchsorted(pivot, mine), len(pivot) - 1)
             common[i] = np.count_nonzero(pivot[at] == mine)
         yield pa.RecordBatch.from_arrays(
@@ -293,30 +293,39 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """``a, b, common, total`` (sizes of intersection and union) of pairs of points.
 
-    Pairs are dealt by both ends in turn; Spark splits the joins where one end is in many pairs.
+    Only sets of points in a pair move. Pairs are dealt by both ends in turn; Spark splits the
+    joins where one end is in many pairs.
     """
-    left = points.select(F.col("point").alias("a"), F.col("size").alias("size_a"), F.col("shared").alias("shared_a"))
-    right = points.select(F.col("point").alias("b"), F.col("size").alias("size_b"), F.col("shared").alias("shared_b"))
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("point")).distinct()
+    sets = points.select("point", "size", "shared").join(involved, "point", "left_semi")
+    left = sets.select(F.col("point").alias("a"), F.col("size").alias("size_a"), F.col("shared").alias("shared_a"))
+    right = sets.select(F.col("point").alias("b"), F.col("size").alias("size_b"), F.col("shared").alias("shared_b"))
     met = pairs.join(left, "a").join(right, "b").select("a", "b", "size_a", "size_b", "shared_a", "shared_b")
     return met.mapInArrow(_overlaps, "a long, b long, size_a long, size_b long, common long").select(
         "a", "b", "common", (F.col("size_a") + F.col("size_b") - F.col("common")).alias("total")
     )
 
 
+SLACK = 1e-9
+
+
 def point_links(
-    points: DataFrame, percent: int = 80, pivots: int = 8, far: float = 0.5
+    points: DataFrame, percent: int = 80, pivots: int = 1, growth: int = 4, far: float = 0.5
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """Links ``a, b`` between points that connect whatever any link connects, and ``point, component``.
 
-    Both are None if no two points meet in a region.
-
-    ``points`` has ``point, size, shared, regions`` as made by :func:`shared_shingles`. Every round
-    compares the members of each region with ``pivots`` of them, twice as many in every next round.
+    ``points`` has ``point, size, shared, regions`` as made by :func:`shared_shingles`. The first round
+    compares the members of each region with ``pivots`` of them, every next one with ``growth`` times
+    as many. Both results are None if no two points meet in a region.
     """
     reach = 1 - percent / 100
+    own = F.col("size") - F.length("shared") / WIDTH
     members = durable(
-        points.select(F.explode("regions").alias("region"), "point", F.col("point").alias("component"))
-    )
+        points.select(
+            F.explode("regions").alias("region"), "point", "size", own.alias("own"),
+            F.col("point").alias("component"), F.lit(None).cast("double").alias("ref"),
+        )
+    )
     links = named = None
     while True:
         # A region is done when it has one member or when all its members are connected.
@@ -326,39 +335,66 @@ def point_links(
         open_ = durable(members.join(state.select("region", "members"), "region"))
         if open_.isEmpty():
             break
-        # Pivots: members of the smallest components of the region, so that what is not yet
-        # connected with the rest is compared first.
-        weight = open_.groupBy("region", "component").agg(F.count("*").alias("weight"))
-        ranked = open_.join(weight, ["region", "component"]).select(
-            "region", F.struct("weight", F.xxhash64("point").alias("mixed"), "point").alias("k")
+        weighed = open_.groupBy("region", "component").agg(F.count("*").alias("weight"))
+        largest = weighed.groupBy("region").agg(F.max("weight").alias("largest"))
+        # Regions of many members without a large component are split into cells.
+        open_ = open_.join(weighed, ["region", "component"]).join(largest, "region")
+        split = (F.col("members") > 4 * pivots + 16) & (2 * F.col("largest") < F.col("members")) & F.col("ref").isNotNull()
+        open_ = durable(open_.withColumn("split", split))
+        # Pivots: members of the smallest components, so that what is not yet connected with the
+        # rest is compared first; among them those with the fewest shingles of their own, which
+        # lie in the middle of their copies.
+        order = F.struct("weight", "own", F.xxhash64("point").alias("mixed"), "point", "component", "size", "ref")
+        chosen = durable(_smallest(open_.select("region", order.alias("k")), pivots))
+        # A member and a pivot need no comparing if they are connected or cannot be linked: for
+        # their sizes, or as their distances from the region's first pivot differ by more than
+        # a link's length.
+        needed = (
+            (F.col("component") != F.col("k.component"))
+            & (100 * F.least("size", "k.size") >= percent * F.greatest("size", "k.size"))
+            & F.coalesce(F.abs(F.col("ref") - F.col("k.ref")) <= reach + SLACK, F.lit(True))
         )
-        chosen = durable(_smallest(ranked, pivots))
-        pairs = (
+        pairs = durable(
             open_.join(chosen, "region")
-            .where("point <> pivot")
-            .select(F.greatest("point", "pivot").alias("a"), F.least("point", "pivot").alias("b"))
+            .where((F.col("point") != F.col("k.point")) & (F.col("split") | F.col("ref").isNull() | needed))
+            .select(F.greatest("point", "k.point").alias("a"), F.least("point", "k.point").alias("b"))
             .distinct()
         )
         known = durable(_distances(pairs, points))
         new = known.where(100 * F.col("common") >= percent * F.col("total")).select("a", "b")
         links = new if links is None else links.union(new)
         named = _renamed(named, new)
-        rest = open_.select("region", "point", "members").join(
-            chosen.select("region", F.col("pivot").alias("point")), ["region", "point"], "left_anti"
+        rest = durable(
+            open_.select("region", "point", "size", "own", "ref", "split").join(
+                chosen.select("region", F.col("k.point").alias("point")), ["region", "point"], "left_anti"
+            )
         )
-        cells = _cells(rest.where(F.col("members") > 4 * pivots), chosen, known, reach, far)
+        if pivots == 1:
+            rest = _referred(rest, chosen, known)
+        cells = _cells(rest.where("split"), chosen, known, reach, far)
         members = durable(
-            rest.where(F.col("members") <= 4 * pivots)
-            .select("region", "point")
+            rest.where("not split")
+            .select("region", "point", "size", "own", "ref")
             .union(cells)
             .join(named, "point", "left")
-            .select("region", "point", F.coalesce("component", "point").alias("component"))
+            .select("region", "point", "size", "own", F.coalesce("component", "point").alias("component"), "ref")
         )
-        # What is left are few regions: more pivots end them in fewer rounds.
-        pivots *= 2
+        pivots *= growth
     return links, named
 
 
+def _referred(rest: DataFrame, chosen: DataFrame, known: DataFrame) -> DataFrame:
+    """Members with their distance from the region's pivot as ``ref``."""
+    return (
+        rest.drop("ref")
+        .join(chosen.select("region", F.col("k.point").alias("pivot")), "region")
+        .withColumn("a", F.greatest("point", "pivot"))
+        .withColumn("b", F.least("point", "pivot"))
+        .join(known.select("a", "b", (1 - F.col("common") / F.col("total")).alias("ref")), ["a", "b"])
+        .select("region", "point", "size", "own", "ref", "split")
+    )
+
+
 def _renamed(named: DataFrame | None, links: DataFrame) -> DataFrame:
     """``point, component`` of linked points, after the links of one more round."""
     if named is None:
@@ -376,44 +412,38 @@ def _renamed(named: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def _smallest(ranked: DataFrame, n: int) -> DataFrame:
-    """The ``n`` smallest ``k.point`` of every region; tasks keep ``n`` per region before a shuffle."""
+    """The ``n`` smallest ``k`` of every region; tasks keep ``n`` per region before a shuffle."""
     order = Window.partitionBy("region").orderBy("k")
-    return (
-        ranked.withColumn("r", F.row_number().over(order))
-        .where(F.col("r") <= n)
-        .select("region", F.col("k.point").alias("pivot"))
-    )
+    return ranked.withColumn("r", F.row_number().over(order)).where(F.col("r") <= n).select("region", "k")
 
 
-def _cells(members: DataFrame, pivots: DataFrame, known: DataFrame, reach: float, far: float) -> DataFrame:
+def _cells(members: DataFrame, chosen: DataFrame, known: DataFrame, reach: float, far: float) -> DataFrame:
     """Regions of the next round: the cells of pivots, or the region itself if they overlap much."""
-    distance = 1 - F.coalesce(F.col("common"), F.lit(0)) / F.coalesce(F.col("total"), F.lit(1))
+    distance = 1 - F.col("common") / F.col("total")
+    pivots = chosen.select("region", F.col("k.point").alias("pivot"))
     each = (
-        members.select("region", "point")
-        .join(pivots, "region")
+        members.join(pivots, "region")
         .withColumn("a", F.greatest("point", "pivot"))
         .withColumn("b", F.least("point", "pivot"))
-        .join(known, ["a", "b"], "left")
-        .select("region", "point", F.struct(distance.alias("d"), "pivot").alias("k"))
+        .join(known, ["a", "b"])
+        .select("region", "point", "size", "own", "ref", F.struct(distance.alias("d"), "pivot").alias("k"))
     )
-    seen = each.groupBy("region", "point").agg(F.min("k").alias("home"), F.collect_list("k").alias("ks"))
-    slack = 1e-9
+    seen = each.groupBy("region", "point", "size", "own", "ref").agg(F.min("k").alias("home"), F.collect_list("k").alias("ks"))
     inside = F.filter(
-        "ks", lambda k: (k["d"] <= F.least(F.lit(far + reach), F.col("home.d") + 2 * reach) + slack)
+        "ks", lambda k: (k["d"] <= F.least(F.lit(far + reach), F.col("home.d") + 2 * reach) + SLACK)
     )
+    # Members farther than ``far`` from every pivot meet those that are at most a link nearer.
     cells = F.concat(
         F.transform(inside, lambda k: F.xxhash64("region", k["pivot"])),
-        F.when(F.col("home.d") > far - reach - slack, F.array(F.xxhash64("region", F.lit("far")))).otherwise(
+        F.when(F.col("home.d") > far - reach - SLACK, F.array(F.xxhash64("region", F.lit("far")))).otherwise(
             F.array().cast("array<bigint>")
         ),
     )
-    placed = seen.select("region", "point", cells.alias("cells"))
-    crowd = placed.groupBy("region").agg(
-        (F.sum(F.size("cells")) > 1.5 * F.count("*")).alias("whole")
-    )
+    placed = durable(seen.select("region", "point", "size", "own", "ref", cells.alias("cells")))
+    crowd = placed.groupBy("region").agg((F.sum(F.size("cells")) > 1.5 * F.count("*")).alias("whole"))
+    whole = F.array(F.xxhash64("region", F.lit("rest")))
     return placed.join(crowd, "region").select(
-        F.explode(F.when(F.col("whole"), F.array(F.xxhash64("region", F.lit("rest")))).otherwise(F.col("cells"))).alias("region"),
-        "point",
+        F.explode(F.when(F.col("whole"), whole).otherwise(F.col("cells"))).alias("region"), "point", "size", "own", "ref"
     )
 
 

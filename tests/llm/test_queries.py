@@ -1,0 +1,56 @@
+"""Registered queries against their SQL; native ones run no Python; the pipeline stage by stage."""
+
+from __future__ import annotations
+
+import brute
+import pytest
+from oracle import connect, rows_of_duckdb, rows_of_spark
+
+import __spark_entry__ as entries
+import corpus_pipeline
+from linkloom.llm import catalog
+from linkloom.llm.sentencepiece_codec import read_model
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
+def test_query_equals_sql(spark, name):
+    assert rows_of_spark(catalog.QUERIES[name](spark, DATA)) == rows_of_duckdb(connect(DATA), catalog.ORACLES[name])
+
+
+@pytest.mark.parametrize("number", [2, 6, 7, 8])
+def test_native_queries_run_no_python(spark, plan, number):
+    name = next(n for n in catalog.QUERIES if n.startswith(f"op{number}_"))
+    text = plan(catalog.QUERIES[name](spark, DATA))
+    assert not any(word in text for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_every_operator_is_registered():
+    assert [n.split("_")[0] for n in catalog.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert {*catalog.QUERIES, "pipeline"} <= set(entries.queries())
+
+
+def test_pipeline(spark, tmp_path):
+    import sentencepiece
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    columns, seen = docs.columns, []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, DATA).write.parquet(str(tmp_path / str(k)))
+        docs = spark.read.parquet(str(tmp_path / str(k)))
+        seen.append([(r.doc_id, r.text, r.source) for r in docs.collect()])
+        if k < 4:
+            assert docs.columns == columns
+    quality, lines, near, mixed, _ = seen
+    for doc, text, _ in quality:
+        counts = brute.rule_counts(text)
+        assert counts[0] >= 50 and 100 * counts[4] <= 50 * counts[0], doc
+    deduped = brute.line_dedup([(d, t) for d, t, _ in quality])
+    assert {d: t for d, t, _ in lines} == {d: x[2] for d, x in deduped.items()}
+    components = brute.jaccard_components([(d, t) for d, t, _ in lines])
+    assert {d for d, _, _ in near} == {c if n else d for (d, _, _), (n, c) in zip(lines, components, strict=True)}
+    assert {d for d, _, _ in mixed} <= {d for d, _, _ in near}
+    library = sentencepiece.SentencePieceProcessor(model_proto=read_model())
+    for r in docs.collect():
+        assert list(r.token_ids) == library.encode(r.text) and r.n_tokens == len(r.token_ids)
