@@ -101,24 +101,43 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> np.ndarray:
                 yield _batch(list(tally.rows(buckets, 0)))
         yield _batch(list(tally.rows(buckets, 0)))
 
-    def largest(group: pa.Table) -> pa.Table:
+    def add(group: pa.Table) -> pa.Table:
         parts = np.concatenate([np.frombuffer(x, _COUNT) for x in group.column("body").to_pylist()])
-        total = _summed(parts["key"], parts["n"])
-        top = total[np.lexsort((total["key"].view(np.int64), -total["n"].astype(np.int64)))[:size]]
-        return pa.table({"word": signed(top["key"].copy()), "n": signed(top["n"].copy())})
-
-    top = (
-        docs.select("text")
-        .mapInArrow(count, PACKED)
-        .groupBy("bucket")
-        .applyInArrow(largest, "word long, n long")
-        .orderBy(F.desc("n"), "word")
-        .limit(size)
-        .toPandas()
-    )
+        return pa.Table.from_batches([_batch([(group.column("bucket")[0].as_py(), 0, _summed(parts["key"], parts["n"]).tobytes())])])
+
+    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for body in batch.column("body").to_pylist():
+                found, words = np.unique(_bin(np.frombuffer(body, _COUNT)["n"]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(words)], names=["bin", "words"])
+
+    counted = durable(docs.select("text").mapInArrow(count, PACKED).groupBy("bucket").applyInArrow(add, PACKED))
+    # How often a word must occur is read off a histogram, so that few words leave their buckets.
+    histogram = counted.mapInArrow(bins, "bin long, words long").groupBy("bin").agg(F.sum("words").alias("words"))
+    enough, least = 0, 0
+    for row in histogram.orderBy(F.desc("bin")).collect():
+        enough, least = enough + row.words, row.bin
+        if enough >= size:
+            break
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for body in batch.column("body").to_pylist():
+                counts = np.frombuffer(body, _COUNT)
+                counts = counts[_bin(counts["n"]) >= least]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(counts["key"].copy())), pa.array(signed(counts["n"].copy()))], names=["word", "n"]
+                )
+
+    top = counted.mapInArrow(frequent, "word long, n long").orderBy(F.desc("n"), "word").limit(size).toPandas()
     return np.sort(top["word"].to_numpy(np.int64).view(np.uint64))
 
 
+def _bin(counts: np.ndarray) -> np.ndarray:
+    """Counts in steps of a 64th of their power of two; small ones are bins of their own."""
+    return np.floor(np.log2(np.maximum(counts, 1).astype(np.float64)) * 64).astype(np.int64)
+
+
 def _pairs(block: Block, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code of every word with the word before it, and the words of every text."""
     hashes, of = _word_hashes(block)
@@ -164,7 +183,8 @@ def pair_counts(docs: DataFrame, targets: DataFrame, vocab: np.ndarray) -> tuple
 
     marked = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(targets.select("doc_id", F.lit(True).alias("target")), "doc_id", "left")
+        # By a shuffle at every size: the targets grow with the documents.
+        .join(targets.select("doc_id", F.lit(True).alias("target")).hint("shuffle_merge"), "doc_id", "left")
         .select("text", F.coalesce("target", F.lit(False)).alias("target"))
     )
     summed = marked.mapInArrow(count, PACKED).groupBy("bucket").applyInArrow(add, PACKED)
