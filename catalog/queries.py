@@ -259,7 +259,35 @@ def profile_columns(spark, sf):
 
 @register
 def approx_distinct(spark, sf):
-    return profiling.approx_distinct(fixtures.records(spark, sf))
+    records = fixtures.records(spark, sf)
+    exact = records.agg(*[F.count_distinct(F.col(c)).alias(c) for c in records.columns])
+    exact = exact.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_count"))
+                    for c in records.columns
+                ]
+            )
+        )
+    )
+    error = F.abs(F.col("approx_distinct") - F.col("distinct_count"))
+    return (
+        profiling.approx_distinct(records, rsd=0.05)
+        .join(exact, "column_name")
+        .select(
+            "column_name",
+            "distinct_count",
+            (error <= 3 * 0.05 * F.col("distinct_count")).alias("within_three_errors"),
+        )
+    )
+
+
+@register
+def profile_columns_sampled(spark, sf):
+    """A sample larger than the table is the whole table."""
+    profile = profiling.profile_columns(fixtures.records(spark, sf), sample_rows=1_000_000_000)
+    return profile.drop("approx_distinct")
 
 
 @register

@@ -84,9 +84,9 @@ def enrich_types(
 
     By default an id that records carry only in URI or ``(DE-588)`` form finds no type: ids in
     use are compared with the dump as they stand. ``normalize_candidates`` compares bare forms
-    on both sides; limiting the dump then changes no result and is left out.
+    on both sides, and limits the dump to those in use.
     """
-    candidates = None if normalize_candidates else candidate_ids(records)
+    candidates = candidate_ids(records, normalize_candidates)
     return attach_types(records, shuffled_anew(authority_types(dump, candidates)))
 
 
@@ -101,12 +101,20 @@ def match_coverage(enriched: DataFrame) -> DataFrame:
 def examples_per_source(enriched: DataFrame, matched: bool, n: int = EXAMPLE_ROWS) -> DataFrame:
     """One example row per source, with or without a type, for the first ``n`` sources.
 
-    The example is the smallest row. A minimum combines before the shuffle, where a row
-    number would bring all records of a source to one task.
+    The example is the smallest row. The sources are found first, from one column and by
+    hashing; the minimum, for which a task sorts its rows, then sees those of ``n`` sources. It
+    combines before the shuffle, where a row number would bring all records of a source to one task.
     """
     state = F.col("gnd_type").isNotNull() if matched else F.col("gnd_type").isNull()
+    rows = enriched.where(state)
+    first = (
+        rows.select(F.col("beacon_uri").alias("chosen"))
+        .distinct()
+        .orderBy(F.asc_nulls_first("chosen"))
+        .limit(n)
+    )
     return (
-        enriched.where(state)
+        rows.join(F.broadcast(first), F.col("beacon_uri").eqNullSafe(F.col("chosen")), "left_semi")
         .groupBy("beacon_uri")
         .agg(F.min(F.struct("authority_id", "gnd_type", "gnd_type_list")).alias("example"))
         .select("example.*", "beacon_uri")

@@ -27,6 +27,15 @@ def attach_metadata(records: DataFrame, metadata: DataFrame) -> DataFrame:
     ).drop("meta_path")
 
 
+def records_without_metadata(records: DataFrame, metadata: DataFrame) -> int:
+    """How many records are of files that metadata does not list, counted file by file."""
+    files = records.groupBy(unescape_slashes(F.col("source_file")).alias("path")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    listed = metadata.select("path").distinct()
+    return files.join(listed, "path", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
+
+
 def key_uniqueness(df: DataFrame, key: str = "path") -> DataFrame:
     """One row: items, distinct keys, surplus items (NULL keys among them), uniqueness."""
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))

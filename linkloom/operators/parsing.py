@@ -21,9 +21,8 @@ from linkloom.fixed_values import (
     RECORD_COLUMNS,
     RECORD_FIELDS,
 )
-from linkloom.functions import all_fields, fields, header_key, header_value, strip
+from linkloom.functions import all_fields, fields, header_key, header_value, line_kind, strip
 from linkloom.operators.joining import shuffled_anew
-from linkloom.sources.link_dumps import with_kind
 
 
 def normalize_schema(df: DataFrame) -> DataFrame:
@@ -37,14 +36,22 @@ def normalize_schema(df: DataFrame) -> DataFrame:
     )
 
 
-def file_headers(lines: DataFrame) -> DataFrame:
+def with_kind(lines: DataFrame) -> DataFrame:
+    """Add the kind of each line (mark, blank, text), so that later passes need not read it."""
+    return lines.withColumn("kind", line_kind(F.col("line")))
+
+
+def file_headers(lines: DataFrame, kinds_known: bool = False) -> DataFrame:
     """One row per file that has data: where data starts, and its header values.
 
+    ``kinds_known`` says that ``lines`` come from :func:`with_kind`.
+
     Columns: source_file, data_block, data_ord, TARGET, NAME, FEED, TIMESTAMP. The last
     non-empty value of a key wins. One row per file is small beside the lines of the files, but
     it is not assumed to be: stage it, and the join in :func:`parse_links` follows its size.
     """
-    lines = with_kind(_with_block(lines))
+    lines = _with_block(lines)
+    lines = lines if kinds_known else with_kind(lines)
     starts = _first_position(lines.where(F.col("kind") == "text"), "data")
     entries = (
         lines.where(F.col("kind") == "mark")
@@ -59,9 +66,11 @@ def file_headers(lines: DataFrame) -> DataFrame:
     in_header = F.col("position") < F.struct(
         F.col("data_block").alias("block"), F.col("data_ord").alias("ord")
     )
-    return (
-        starts.join(entries, (F.col("source_file") == F.col("entry_file")) & in_header, "left")
-        .groupBy("source_file", "data_block", "data_ord")
+    # One file may hold most of the entries. They are the side that Spark can split; values are
+    # combined per file before they meet the starts again.
+    values = (
+        entries.join(shuffled_anew(starts), (F.col("source_file") == F.col("entry_file")) & in_header)
+        .groupBy("entry_file")
         .agg(
             *[
                 F.max_by("value", F.when(F.col("key") == key, F.col("position"))).alias(key)
@@ -69,20 +78,25 @@ def file_headers(lines: DataFrame) -> DataFrame:
             ]
         )
     )
+    return starts.join(values, F.col("source_file") == F.col("entry_file"), "left").drop("entry_file")
 
 
 def parse_links(
-    lines: DataFrame, headers: DataFrame | None = None, count: int = RECORD_FIELDS
+    lines: DataFrame,
+    headers: DataFrame | None = None,
+    count: int = RECORD_FIELDS,
+    kinds_known: bool = False,
 ) -> DataFrame:
     """Records of all data lines: file, header values, and the first ``count`` fields.
 
     A field that is present but blank is ``''``; a field that is absent is NULL. ``headers`` is
     the result of :func:`file_headers`, staged when the input is large. ``count=9`` gives the
-    widest form of a record.
+    widest form of a record; ``kinds_known`` is as in :func:`file_headers`.
     """
-    lines = with_kind(_with_block(lines))
+    lines = _with_block(lines)
+    lines = lines if kinds_known else with_kind(lines)
     if headers is None:
-        headers = shuffled_anew(file_headers(lines))
+        headers = shuffled_anew(file_headers(lines, kinds_known=True))
     parts = fields(F.col("line"), count)
     data = (
         lines.where(F.col("kind") != "blank")

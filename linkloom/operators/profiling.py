@@ -74,7 +74,10 @@ def profile_columns(
 def approx_distinct(
     df: DataFrame, columns: Sequence[str] | None = None, rsd: float = 0.05
 ) -> DataFrame:
-    """One row per column: its approximate number of distinct values."""
+    """One row per column: its approximate number of distinct values.
+
+    ``rsd`` is the relative standard deviation of the estimates.
+    """
     names = list(columns or df.columns)
     estimates = df.agg(
         *[F.approx_count_distinct(f"`{c}`", rsd).alias(f"d{i}") for i, c in enumerate(names)]

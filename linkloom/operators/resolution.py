@@ -11,7 +11,7 @@ from linkloom.functions import fill_template, last_segment
 from linkloom.operators.slices import with_slice
 
 
-def resolve_links(records: DataFrame) -> DataFrame:
+def resolve_links(records: DataFrame, stored_slices: bool = False) -> DataFrame:
     """Add target_uri, target_id and authority_id by the rule of the record's slice.
 
     ============================  ======================  ======================  ============
@@ -25,8 +25,9 @@ def resolve_links(records: DataFrame) -> DataFrame:
     ============================  ======================  ======================  ============
 
     Harvest metadata columns follow if the records have them, and ``slice`` comes last.
+    ``stored_slices`` says that records have their slice from ``write_slices``.
     """
-    sliced = _resolvable(records)
+    sliced = _resolvable(records, stored_slices)
     templated = F.col("slice").startswith("target-notnull")
     three = F.col("slice").endswith("col1-2-3")
     link = F.when(three, F.col("col3")).otherwise(F.col("col2"))
@@ -45,13 +46,13 @@ def resolve_links(records: DataFrame) -> DataFrame:
     )
 
 
-def _resolvable(records: DataFrame) -> DataFrame:
+def _resolvable(records: DataFrame, stored_slices: bool) -> DataFrame:
     """Records of the five slices that have a rule.
 
     A stored slice column prunes partitions. Otherwise the test is put in terms of the fields,
     which a Parquet scan can evaluate, rather than of the label made from them.
     """
-    if "slice" in records.columns:
+    if stored_slices:
         return records.where(F.col("slice").isin(RESOLVABLE_SLICES))
     has = {c: F.col(c).isNotNull() for c in ("TARGET", "col1", "col2", "col3")}
     return with_slice(

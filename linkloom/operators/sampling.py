@@ -33,14 +33,16 @@ def random_sample(df: DataFrame, n: int = SAMPLE_ROWS, seed: int | None = None)
     return df.orderBy(sample_key(df.columns, seed), *ties).limit(n)
 
 
-def sample_per_slice(records: DataFrame, n: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED) -> DataFrame:
+def sample_per_slice(
+    records: DataFrame, n: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED, stored_slices: bool = False
+) -> DataFrame:
     """Up to ``n`` random rows of every slice: all rows of a slice that has no more.
 
     One bounded heap per task and slice. Numbering the rows of a slice would instead sort
     whole slices, of which there are only six. On a table partitioned by slice each branch reads
     its own partition, so the six branches together scan the table once.
     """
-    samples = [random_sample(rows_of_slice(records, name), n, seed) for name in SLICES]
+    samples = [random_sample(rows_of_slice(records, name, stored_slices), n, seed) for name in SLICES]
     return reduce(DataFrame.unionAll, samples)
 
 

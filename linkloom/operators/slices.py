@@ -32,31 +32,35 @@ def slice_name() -> Column:
     return case
 
 
-def with_slice(records: DataFrame) -> DataFrame:
-    """Add the ``slice`` column; one stored as a partition is kept, so reads stay pruned."""
-    if "slice" in records.columns:
+def with_slice(records: DataFrame, stored: bool = False) -> DataFrame:
+    """Add the ``slice`` column, in place of any other of that name.
+
+    ``stored`` says that the records have it from ``write_slices``; it is kept, so that reads stay
+    pruned. The same holds for the other functions with this argument.
+    """
+    if stored:
         return records
     return records.withColumn("slice", slice_name())
 
 
-def rows_of_slice(records: DataFrame, name: str) -> DataFrame:
+def rows_of_slice(records: DataFrame, name: str, stored: bool = False) -> DataFrame:
     """The records of one slice, labelled: its partition if stored so, else by its NULL tests."""
-    if "slice" in records.columns:
+    if stored:
         return records.where(F.col("slice") == name)
     return records.where(slice_tests()[name]).withColumn("slice", F.lit(name))
 
 
-def split_slices(records: DataFrame) -> DataFrame:
+def split_slices(records: DataFrame, stored: bool = False) -> DataFrame:
     """The records that are in a slice, labelled; write with ``write_slices``."""
-    if "slice" in records.columns:
+    if stored:
         return records.where(F.col("slice").isNotNull())
     gap = F.col("col2").isNull() & F.col("col3").isNotNull()
     return with_slice(records.where(F.col("col1").isNotNull() & ~gap))
 
 
-def slice_counts(records: DataFrame) -> DataFrame:
+def slice_counts(records: DataFrame, stored: bool = False) -> DataFrame:
     """Rows per non-empty slice."""
-    return split_slices(records).groupBy("slice").agg(F.count(F.lit(1)).alias("row_count"))
+    return split_slices(records, stored).groupBy("slice").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def rows_with_pattern(

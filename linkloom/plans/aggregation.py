@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.fixed_values import SAMPLE_ROWS, SAMPLE_SEED, SKIPPED_SUFFIXES
+from linkloom.fixed_values import RESOLVABLE_SLICES, SAMPLE_ROWS, SAMPLE_SEED, SKIPPED_SUFFIXES
+from linkloom.operators.counts import compare_counts
 from linkloom.operators.matching import match_sources
-from linkloom.operators.metadata import attach_metadata, key_uniqueness
-from linkloom.operators.parsing import file_headers, normalize_schema, parse_links
+from linkloom.operators.metadata import attach_metadata, key_uniqueness, records_without_metadata
+from linkloom.operators.parsing import file_headers, normalize_schema, parse_links, with_kind
 from linkloom.operators.resolution import resolve_links
 from linkloom.operators.sampling import sample_per_slice
 from linkloom.sources import (
@@ -21,10 +22,9 @@ from linkloom.sources import (
     read_source_list,
     stage,
     staging_area,
-    with_kind,
     write_records,
     write_report,
-    write_samples,
+    write_slice_samples,
     write_slices,
 )
 
@@ -40,18 +40,23 @@ def ingest(
     records_path: str,
     run_id: str,
     skip_suffixes: Sequence[str] = SKIPPED_SUFFIXES,
+    source_dir: str | None = None,
 ) -> DataFrame:
     """Parse a folder of dumps into the partition ``run_id`` of the record table.
 
+    ``source_dir`` is the folder under which harvest metadata lists the dumps, if it is not the
+    one they lie in now.
+
     Lines are staged with their kind: the passes that look for the end of each header then
     read a few narrow columns instead of the text, and the order of lines is settled. The header
     table is staged too, so that its size decides whether the data lines have to be shuffled.
     """
     with staging_area(spark) as area:
-        lines = with_kind(read_lines(spark, dumps_dir, skip_suffixes))
+        lines = with_kind(read_lines(spark, dumps_dir, skip_suffixes, source_dir))
         lines = stage(lines, "lines", area=area)
-        headers = broadcast_if_small(stage(file_headers(lines), "headers", plain=True, area=area))
-        write_records(normalize_schema(parse_links(lines, headers)), records_path, run_id)
+        headers = stage(file_headers(lines, kinds_known=True), "headers", plain=True, area=area)
+        parsed = parse_links(lines, broadcast_if_small(headers), kinds_known=True)
+        write_records(normalize_schema(parsed), records_path, run_id)
     return _records_of_run(spark, records_path, run_id)
 
 
@@ -63,12 +68,13 @@ def _records_of_run(spark: SparkSession, records_path: str, run_id: str) -> Data
 
 @dataclass(frozen=True)
 class Aggregation:
-    """Where one aggregation left its results."""
+    """Where one aggregation left its results, and how many records found no metadata."""
 
     records_path: str
     merged_path: str
-    samples_path: str
+    samples_paths: dict[str, str]
     matches_path: str | None
+    without_metadata: int
 
 
 def aggregate(
@@ -79,9 +85,16 @@ def aggregate(
     run_id: str,
     source_list_path: str | None = None,
     check_metadata: bool = False,
+    source_dir: str | None = None,
+    check_counts: bool = False,
+    rebalance: bool = True,
 ) -> Aggregation:
     """Parse, attach metadata, resolve, merge; then sample every slice and match the source list.
 
+    ``source_dir`` is the folder that metadata names, if the dumps were landed elsewhere;
+    ``without_metadata`` of the result tells whether they met. ``check_counts`` refuses a join that
+    changed the number of records. ``rebalance`` shuffles the merged rows into few files per slice.
+
     The merged table is written once, partitioned by slice. It serves as the resolved slices
     and, read without the slice column, as their merge. ``check_metadata`` refuses metadata
     that lists a path twice, which would double the records of that file.
@@ -92,19 +105,25 @@ def aggregate(
     metadata = read_harvest_metadata(spark, metadata_path)
     if check_metadata and not key_uniqueness(metadata, "path").head().is_unique:
         raise ValueError("harvest metadata lists a path more than once")
-    records = ingest(spark, dumps_dir, records_path, run_id)
+    records = ingest(spark, dumps_dir, records_path, run_id, source_dir=source_dir)
     with staging_area(spark) as area:
         metadata = metadata.select("path", "url", "download_time_utc")
         metadata = broadcast_if_small(stage(metadata, "metadata", plain=True, area=area))
-        resolved = resolve_links(attach_metadata(records, metadata))
-        write_slices(resolved, merged_path)
+        with_metadata = attach_metadata(records, metadata)
+        if check_counts:
+            compare_counts(records, with_metadata, strict=True).head()
+        without = records_without_metadata(records, metadata)
+        resolved = resolve_links(with_metadata)
+        write_slices(resolved, merged_path, rebalance)
 
     merged = spark.read.schema(resolved.schema).parquet(merged_path)
-    samples = write_samples(
-        sample_per_slice(merged, SAMPLE_ROWS, SAMPLE_SEED), f"{out_dir}/samples/{run_id}.parquet"
+    samples = write_slice_samples(
+        sample_per_slice(merged, SAMPLE_ROWS, SAMPLE_SEED, stored_slices=True),
+        RESOLVABLE_SLICES,
+        f"{out_dir}/samples/{run_id}.parquet",
     )
     matches = None
     if source_list_path is not None:
         matches = f"{out_dir}/matches/{run_id}.json"
         write_report(match_sources(read_source_list(spark, source_list_path), merged), matches)
-    return Aggregation(records_path, merged_path, samples, matches)
+    return Aggregation(records_path, merged_path, samples, matches, without)

@@ -47,7 +47,7 @@ def enrich(
     merged = spark.read.parquet(merged_path)
     if "slice" in merged.columns:
         merged = merged.drop("slice")
-    candidates = None if normalize_candidates else candidate_ids(merged)
+    candidates = candidate_ids(merged, normalize_candidates)
     types = authority_types(read_authority_dump(spark, dump_path), candidates)
     with staging_area(spark) as area:
         types = broadcast_if_small(stage(types, "types", plain=True, area=area))

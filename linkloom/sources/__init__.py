@@ -5,7 +5,7 @@ from linkloom.sources.json_files import (
     read_harvest_metadata,
     read_source_list,
 )
-from linkloom.sources.link_dumps import read_lines, with_kind
+from linkloom.sources.link_dumps import read_lines
 from linkloom.sources.staging import broadcast_if_small, stage, staged_bytes, staging_area, staging_dir
 from linkloom.sources.tables import (
     read_tables,
@@ -13,6 +13,7 @@ from linkloom.sources.tables import (
     write_records,
     write_report,
     write_samples,
+    write_slice_samples,
     write_slices,
     write_table,
 )
@@ -29,10 +30,10 @@ __all__ = [
     "staged_bytes",
     "staging_area",
     "staging_dir",
-    "with_kind",
     "write_records",
     "write_report",
     "write_samples",
+    "write_slice_samples",
     "write_slices",
     "write_table",
 ]

@@ -23,28 +23,43 @@ def read_source_list(spark: SparkSession, path: str) -> DataFrame:
     """Entries of a JSON source list with their 0-based position as ``list_index``.
 
     The list is one JSON document, an array of objects with free extra fields. The position
-    comes from the array itself, not from the order in which rows happen to be read.
+    comes from the array itself, not from the order in which rows happen to be read. A list that
+    is not well-formed JSON is an error.
     """
-    inferred = _existing(lambda: spark.read.option("multiLine", True).json(path), path).schema
+    reader = spark.read.options(multiLine=True, mode="FAILFAST")
+    inferred = _existing(lambda: reader.json(path), path).schema
     document = spark.read.text(path, wholetext=True)
     text = F.btrim(F.col("value"), F.lit("\ufeff"))
     entries = document.select(
-        F.posexplode(F.from_json(text, ArrayType(inferred))).alias("list_index", "entry")
+        F.posexplode(F.from_json(text, ArrayType(inferred), {"mode": "FAILFAST"})).alias("list_index", "entry")
     )
     return entries.select(F.col("list_index").cast("bigint").alias("list_index"), "entry.*")
 
 
 def read_harvest_metadata(spark: SparkSession, path: str, parse_time: bool = True) -> DataFrame:
-    """Harvest metadata, one row per landed file; the download time as a timestamp if asked."""
-    reader = spark.read.schema(schemas.HARVEST_METADATA).option("multiLine", True)
+    """Harvest metadata, one row per landed file; malformed input is an error.
+
+    A file named ``.jsonl`` or ``.jsonl.gz`` has an entry per line and is read in splits; any other
+    is one array. With ``parse_time`` the download time is a timestamp, NULL if it is none, and its
+    text stays beside it as ``download_time_text``.
+    """
+    by_line = path.removesuffix(".gz").endswith(".jsonl")
+    reader = spark.read.schema(schemas.HARVEST_METADATA).options(multiLine=not by_line, mode="FAILFAST")
     metadata = _existing(lambda: reader.json(path), path)
     if not parse_time:
         return metadata
-    return metadata.withColumn(
-        "download_time_utc", F.col("download_time_utc").try_cast("timestamp")
+    return metadata.withColumns(
+        {
+            "download_time_utc": F.col("download_time_utc").try_cast("timestamp"),
+            "download_time_text": F.col("download_time_utc"),
+        }
     )
 
 
 def read_authority_dump(spark: SparkSession, path: str) -> DataFrame:
-    """Authority dump (JSON lines, plain or gzip); the schema keeps only the four keys used."""
-    return _existing(lambda: spark.read.schema(schemas.AUTHORITY_DUMP).json(path), path)
+    """Authority dump (JSON lines, plain or gzip); the schema keeps only the four keys used.
+
+    A line that is malformed, or in which one of them has another type, is an error.
+    """
+    reader = spark.read.schema(schemas.AUTHORITY_DUMP).option("mode", "FAILFAST")
+    return _existing(lambda: reader.json(path), path)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.fixed_values import SKIPPED_SUFFIXES
-from linkloom.functions import line_kind, percent_decode, without_gz
+from linkloom.functions import percent_decode, without_gz
 
 
 def read_lines(
@@ -38,9 +38,3 @@ def read_lines(
         F.make_valid_utf8("value").alias("line"),
     )
 
-
-def with_kind(lines: DataFrame) -> DataFrame:
-    """Add the kind of each line (mark, blank, text), so that later passes need not read it."""
-    if "kind" in lines.columns:
-        return lines
-    return lines.withColumn("kind", line_kind(F.col("line")))

@@ -7,7 +7,6 @@ goes by.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -19,15 +18,11 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a new temporary folder in local mode only."""
+    """The folder that ``spark.checkpoint.dir`` of the session names; there is no other."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        local = tempfile.mkdtemp(prefix="linkloom-")
-        spark.conf.set("spark.checkpoint.dir", local)
-        return local
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not configured:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return configured.rstrip("/")
 
 
 @contextmanager

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,11 +28,13 @@ def write_table(
 def write_records(df: DataFrame, path: str, run_id: str) -> None:
     """Records of one harvest run, as the partition ``run_id`` of the record table.
 
-    Running it again replaces that partition; a run without records writes none.
+    The partition's own folder is overwritten, so that running it again replaces the rows of the
+    run and nothing else, also with no rows: the run then reads back as empty.
     """
-    df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).option("compression", "zstd").partitionBy("run_id").parquet(path)
+    folder = f"{path.rstrip('/')}/run_id={quote(run_id, safe='')}"
+    df.drop("run_id").write.mode("overwrite").option("partitionOverwriteMode", "static").option(
+        "compression", "zstd"
+    ).parquet(folder)
 
 
 def write_slices(df: DataFrame, path: str, rebalance: bool = False) -> None:
@@ -60,6 +65,25 @@ def samples_path(parquet_path: str, out_dir: str | None = None) -> str:
     return f"{folder}/{target}" if folder else target
 
 
+def write_slice_samples(
+    df: DataFrame, names: Sequence[str], parquet_path: str, out_dir: str | None = None
+) -> dict[str, str]:
+    """Sample rows of every slice under a name of its own; returns the names by slice.
+
+    ``df`` has a ``slice`` column and few rows; it is kept while it is written slice by slice.
+    """
+    base = parquet_path.removesuffix(".parquet")
+    written = {}
+    samples = df.persist()
+    try:
+        for name in names:
+            rows = samples.where(F.col("slice") == name)
+            written[name] = write_samples(rows, f"{base}_{name}.parquet", out_dir)
+    finally:
+        samples.unpersist()
+    return written
+
+
 def write_samples(df: DataFrame, parquet_path: str, out_dir: str | None = None) -> str:
     """Write sample rows under the name derived from their table, and return that name."""
     path = samples_path(parquet_path, out_dir)

@@ -16,8 +16,9 @@ from linkloom.operators.parsing import (
     normalize_schema,
     parse_links,
     raw_parts,
+    with_kind,
 )
-from linkloom.sources import read_lines, stage, with_kind
+from linkloom.sources import read_lines, stage
 
 COLS = ["col1", "col2", "col3", "col4", "col5"]
 
@@ -144,7 +145,8 @@ def test_raw_parts_cuts_at_every_line_boundary(spark):
 def test_staged_steps_equal_the_lazy_ones(spark):
     lines = lines_of(spark, a=["#NAME: a", "1|2", "#x", ""], b=["", "#FEED: f", "3"])
     staged = stage(with_kind(lines), "lines")
-    eager = parse_links(staged, stage(file_headers(staged), "headers"))
+    headers = stage(file_headers(staged, kinds_known=True), "headers")
+    eager = parse_links(staged, headers, kinds_known=True)
     assert sorted(eager.collect(), key=repr) == sorted(parse_links(lines).collect(), key=repr)
     eager = raw_parts(staged, stage(header_ends(staged), "ends"))
     assert sorted(eager.collect(), key=repr) == sorted(raw_parts(lines).collect(), key=repr)

@@ -6,6 +6,7 @@ import json
 
 import pytest
 
+from linkloom.fixed_values import RESOLVABLE_SLICES
 from linkloom.plans import aggregate, enrich, ingest
 
 DUMPS = {
@@ -94,8 +95,14 @@ def test_merged(spark, aggregation):
 
 
 def test_samples_and_matches(spark, aggregation):
-    assert aggregation.samples_path.endswith("20250101_samples.json")
-    assert spark.read.json(aggregation.samples_path).count() == 6
+    assert list(aggregation.samples_paths) == list(RESOLVABLE_SLICES)
+    counts = {}
+    for name, path in aggregation.samples_paths.items():
+        assert path.endswith(f"20250101_{name}_samples.json")
+        rows = spark.read.schema("slice string").json(path).collect()
+        assert {r.slice for r in rows} <= {name}
+        counts[name] = len(rows)
+    assert sum(counts.values()) == 6 and counts["target-null_col1-2"] == 2
     rows = spark.read.json(aggregation.matches_path).orderBy("list_index").collect()
     assert [r.matched_parquets for r in rows] == [
         ["target-notnull_col1-only", "target-notnull_col1-2", "target-notnull_col1-2-3"],
@@ -143,6 +150,41 @@ def test_metadata_that_lists_a_path_twice_can_be_refused(spark, workspace, tmp_p
     assert doubled.count() == 6 + 3
 
 
+def test_dumps_landed_elsewhere_than_metadata_says(spark, workspace, tmp_path):
+    entries = [
+        {"url": url, "filename": name, "path": f"data/beacons/{name}", "size_bytes": 1,
+         "download_time_utc": "2025-01-01T00:00:00+00:00", "status": "downloaded"}
+        for name, url in zip(DUMPS, URLS, strict=False)
+    ]
+    path = tmp_path / "harvest.jsonl"
+    path.write_text("\n".join(map(json.dumps, entries)))
+    job = (spark, f"{workspace}/dumps", str(path))
+    lost = aggregate(*job, str(tmp_path / "lost"), "r")
+    assert lost.without_metadata == 8
+    found = aggregate(*job, str(tmp_path / "found"), "r", source_dir="data/beacons/", check_counts=True)
+    assert found.without_metadata == 0
+    assert spark.read.parquet(found.merged_path).where("beacon_uri IS NULL").count() == 0
+
+
+def test_a_join_that_doubles_records_can_be_refused(spark, workspace, tmp_path):
+    twice = json.loads((workspace / "dumps" / "harvest.json").read_text())[:1] * 2
+    path = tmp_path / "harvest.json"
+    path.write_text(json.dumps(twice))
+    with pytest.raises(Exception, match="Row count mismatch"):
+        aggregate(spark, f"{workspace}/dumps", str(path), str(tmp_path / "out"), "r", check_counts=True)
+
+
+def test_ingest_again_without_data_empties_the_run(spark, tmp_path):
+    folder = tmp_path / "dumps"
+    folder.mkdir()
+    (folder / "a.txt").write_text("1\n2\n")
+    target = str(tmp_path / "records")
+    assert ingest(spark, str(folder), target, "r1").count() == 2
+    (folder / "a.txt").write_text("#NAME: only a header\n")
+    assert ingest(spark, str(folder), target, "r1").count() == 0
+    assert spark.read.parquet(target).count() == 0
+
+
 def test_a_folder_without_data_adds_no_run(spark, tmp_path):
     folder = tmp_path / "dumps"
     folder.mkdir()

@@ -56,7 +56,7 @@ def test_split_and_single_slices_agree(spark):
     assert sorted(r.slice for r in split_slices(df).collect()) == expected
     for name in SLICES:
         assert [r.slice for r in rows_of_slice(df, name).collect()] == [name]
-        assert [r.slice for r in rows_of_slice(with_slice(df), name).collect()] == [name]
+        assert [r.slice for r in rows_of_slice(with_slice(df), name, stored=True).collect()] == [name]
     assert {r.slice: r.row_count for r in slice_counts(df).collect()} == dict.fromkeys(SLICES, 1)
 
 
@@ -109,7 +109,7 @@ def test_resolution_keeps_five_slices_of_every_pattern(spark):
     df = records(spark, *ALL)
     kept = sorted(r.slice for r in resolve_links(df).collect())
     assert kept == sorted(RESOLVABLE_SLICES)
-    assert sorted(r.slice for r in resolve_links(with_slice(df)).collect()) == kept
+    assert sorted(r.slice for r in resolve_links(with_slice(df), stored_slices=True).collect()) == kept
 
 
 def test_resolution_passes_metadata_through(spark):
@@ -139,7 +139,7 @@ def test_null_tests_reach_the_scan(spark, plan, tmp_path):
 def test_stored_slices_prune_partitions(spark, plan, tmp_path):
     path = str(tmp_path / "slices.parquet")
     split_slices(records(spark, *ALL)).write.partitionBy("slice").parquet(path)
-    text = plan(sample_per_slice(spark.read.parquet(path), 1))
+    text = plan(sample_per_slice(spark.read.parquet(path), 1, stored_slices=True))
     assert text.count("PartitionFilters: [isnotnull(slice") == 6
 
 
@@ -153,3 +153,12 @@ def test_merge_aligns_to_the_first_table(spark):
         merge_slices(first, second.drop("b"))
     with pytest.raises(ValueError, match="no tables"):
         merge_slices()
+
+
+def test_a_foreign_slice_column_changes_nothing(spark):
+    plain = records(spark, *ALL)
+    foreign = plain.withColumn("slice", F.lit("piece"))
+    assert sorted(map(tuple, split_slices(foreign).collect()), key=repr) == sorted(map(tuple, split_slices(plain).collect()), key=repr)
+    assert sorted(map(tuple, resolve_links(foreign).collect()), key=repr) == sorted(map(tuple, resolve_links(plain).collect()), key=repr)
+    for name in SLICES:
+        assert rows_of_slice(foreign, name).count() == rows_of_slice(plain, name).count()

@@ -79,6 +79,36 @@ def test_harvest_metadata(spark, tmp_path):
     assert text.download_time_utc == item["download_time_utc"]
 
 
+def test_malformed_json_is_an_error(spark, tmp_path):
+    path = tmp_path / "x.json"
+    path.write_text('[{"beacon_url": "a"}, {"beacon_')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_source_list(spark, str(path)).collect()
+    path.write_text('[{"url": "a"}, {"ur')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_harvest_metadata(spark, str(path)).collect()
+    for line in ('{"id": "a", "ty', '{"id": "a", "type": "Person"}'):
+        path.write_text('{"id": "ok"}\n' + line)
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read_authority_dump(spark, str(path)).collect()
+
+
+def test_harvest_metadata_by_line(spark, tmp_path):
+    path = tmp_path / "meta.jsonl"
+    path.write_text("\n".join(json.dumps({"url": u, "download_time_utc": "soon"}) for u in "abc"))
+    rows = read_harvest_metadata(spark, str(path)).collect()
+    assert [r.url for r in rows] == ["a", "b", "c"]
+    assert {(r.download_time_utc, r.download_time_text) for r in rows} == {(None, "soon")}
+
+
+def test_without_a_shared_folder_staging_says_so(spark, settings):
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default=None: default)})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging_dir(Session)
+
+
 @pytest.mark.parametrize("packed", [False, True])
 def test_authority_dump_keeps_four_keys(spark, tmp_path, packed):
     entries = [
