@@ -302,10 +302,16 @@ class Shard:
         self.rows = self._sorted_rotations()
 
     def _ahead(self, n: int) -> np.ndarray:
-        """Where each rotation is ``n`` symbols on."""
-        size = (self.sizes + 1).astype(np.int64)[self.owner]
-        first = self.first[self.owner]
-        return first + (np.arange(len(self.text)) - first + n) % size
+        """Where each rotation is ``n`` symbols on; contexts are longer than ``LENGTH > n``."""
+        at = np.arange(n, len(self.text) + n)
+        size = (self.sizes + 1).astype(np.int64)
+        if n < 0:
+            wrapped = np.concatenate([self.first + k for k in range(-n)])
+            at[wrapped] += np.tile(size, -n)
+        else:
+            wrapped = np.concatenate([self.last - k for k in range(n)])
+            at[wrapped] -= np.tile(size, n)
+        return at
 
     def _sorted_rotations(self) -> np.ndarray:
         key = self.text.astype(np.uint64)
