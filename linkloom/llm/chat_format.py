@@ -107,8 +107,11 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the examples of each conversation say, read back from them."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     says = "\\### Assistant: </turn> ok"
-    more = spark.createDataFrame(
-        [(-7, 0, "user", says), (-7, 1, "assistant", says)], "conv_id long, turn long, role string, text string"
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(says).alias("text"),
     )
     examples = format_examples(given.unionByName(more))
     turns = read_turns(F.col("formatted"))

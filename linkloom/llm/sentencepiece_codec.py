@@ -8,8 +8,8 @@ several threads, and tokens of texts are put together by position. Other models
 Each task compares its first cuts with the sentencepiece library and fails if one differs.
 
 Cases: null and empty texts have no tokens and decode to an empty text; all else is encoded whole,
-however long. Rows are independent: a null ``doc_id``, repeated rows and further columns (kept by
-:func:`encode_documents` under their names, clashes included) change nothing. Bytes that are not
+however long. Rows are independent: a null ``doc_id``, repeated rows and further columns change
+nothing; columns are kept, but for those with the name of a result. Bytes that are not
 UTF-8 after decoding arbitrary ids become U+FFFD.
 """
 
@@ -229,6 +229,8 @@ class Codec:
         space = data == 32
         cut = space.copy()
         cut[1:] &= ~space[:-1]
+        # A marker in the text itself joins the spaces after it.
+        cut[3:] &= ~((data[:-3] == 0xE2) & (data[1:-2] == 0x96) & (data[2:-1] == 0x81))
         cut[starts] = True
         cuts = np.flatnonzero(cut)
         ends = np.append(cuts[1:], len(data))[: len(cuts)]
@@ -295,8 +297,10 @@ def encode_documents(
 ) -> DataFrame:
     """All columns and rows of ``docs``, with the token ids of ``text``.
 
-    ``check`` adds ``decoded_sha256``, the digest of the text that the ids decode to.
+    ``check`` adds ``decoded_sha256``, the digest of the text that the ids decode to. Columns of the
+    input that have these names are replaced.
     """
+    docs = docs.drop(column, *["decoded_sha256"] * check)
     place = docs.columns.index("text")
     schema = T.StructType(
         [*docs.schema.fields, T.StructField(column, TOKENS)]
@@ -321,7 +325,11 @@ def encode_documents(
 
 
 def decode_documents(rows: DataFrame, model: bytes, column: str = "token_ids") -> DataFrame:
-    """All columns of ``rows`` and ``text``, decoded from the ids in ``column``; null is no ids."""
+    """All columns of ``rows`` and ``text``, decoded from the ids in ``column``; null is no ids.
+
+    A column ``text`` of the input is replaced.
+    """
+    rows = rows.drop("text")
     place = rows.columns.index(column)
     schema = T.StructType([*rows.schema.fields, T.StructField("text", T.StringType())])
 
