@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm.components import components
@@ -328,7 +328,15 @@ def point_links(
     )
     links = named = None
     while True:
-        # A region is done when it has one member or when all its members are connected.
+        # A member leaves a region in which none can be like it for the shingles of its own. A
+        # region is done when it has one member or when all its members are connected.
+        extremes = members.groupBy("region").agg(
+            F.min("size").alias("smallest"), F.max(F.col("size") - F.col("own")).alias("most")
+        )
+        members = members.join(extremes, "region").where(
+            _within(F.col("size"), F.col("smallest"), F.least(F.col("size") - F.col("own"), "most"), percent)
+        )
+        members = durable(members.drop("smallest", "most"))
         state = members.groupBy("region").agg(
             F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
         ).where("low <> high")
@@ -339,7 +347,7 @@ def point_links(
         largest = weighed.groupBy("region").agg(F.max("weight").alias("largest"))
         # Regions of many members without a large component are split into cells.
         open_ = open_.join(weighed, ["region", "component"]).join(largest, "region")
-        split = (F.col("members") > 4 * pivots + 16) & (2 * F.col("largest") < F.col("members")) & F.col("ref").isNotNull()
+        split = (F.lit(pivots > 1)) & (F.col("members") > 4 * pivots + 16) & (2 * F.col("largest") < F.col("members"))
         open_ = durable(open_.withColumn("split", split))
         # Pivots: members of the smallest components, so that what is not yet connected with the
         # rest is compared first; among them those with the fewest shingles of their own, which
@@ -347,16 +355,17 @@ def point_links(
         order = F.struct("weight", "own", F.xxhash64("point").alias("mixed"), "point", "component", "size", "ref")
         chosen = durable(_smallest(open_.select("region", order.alias("k")), pivots))
         # A member and a pivot need no comparing if they are connected or cannot be linked: for
-        # their sizes, or as their distances from the region's first pivot differ by more than
-        # a link's length.
+        # their sizes and the shingles of their own, or as their distances from the region's
+        # first pivot differ by more than a link's length.
+        shared = F.least(F.col("size") - F.col("own"), F.col("k.size") - F.col("k.own"))
         needed = (
             (F.col("component") != F.col("k.component"))
-            & (100 * F.least("size", "k.size") >= percent * F.greatest("size", "k.size"))
+            & _within(F.col("size"), F.col("k.size"), shared, percent)
             & F.coalesce(F.abs(F.col("ref") - F.col("k.ref")) <= reach + SLACK, F.lit(True))
         )
         pairs = durable(
             open_.join(chosen, "region")
-            .where((F.col("point") != F.col("k.point")) & (F.col("split") | F.col("ref").isNull() | needed))
+            .where((F.col("point") != F.col("k.point")) & (F.col("split") | needed))
             .select(F.greatest("point", "k.point").alias("a"), F.least("point", "k.point").alias("b"))
             .distinct()
         )
@@ -383,14 +392,20 @@ def point_links(
     return links, named
 
 
+def _within(size: Column, other: Column, common: Column, percent: int) -> Column:
+    """Whether sets of these sizes with so many common elements, or fewer, can be linked."""
+    common = F.least(common, size, other)
+    return (100 + percent) * common >= percent * (size + other)
+
+
 def _referred(rest: DataFrame, chosen: DataFrame, known: DataFrame) -> DataFrame:
-    """Members with their distance from the region's pivot as ``ref``."""
+    """Members with their distance from the region's pivot as ``ref``, null if not compared."""
     return (
         rest.drop("ref")
         .join(chosen.select("region", F.col("k.point").alias("pivot")), "region")
         .withColumn("a", F.greatest("point", "pivot"))
         .withColumn("b", F.least("point", "pivot"))
-        .join(known.select("a", "b", (1 - F.col("common") / F.col("total")).alias("ref")), ["a", "b"])
+        .join(known.select("a", "b", (1 - F.col("common") / F.col("total")).alias("ref")), ["a", "b"], "left")
         .select("region", "point", "size", "own", "ref", "split")
     )
 
