@@ -287,24 +287,22 @@ def _contexts_of(texts, shingles, chosen, buckets) -> list[tuple[int, int, bytes
 
 
 class Shard:
-    """Contexts of one packet with the order of their rotations."""
+    """Contexts with the order of their rotations."""
 
-    def __init__(self, body: bytes):
-        self.sizes, self.context, self.points, self.docs, self.places, data = _split(body, "<i4", "<i4", "<u8", "<i8", "<i8", "u1")
-        n = len(self.sizes)
-        ends = np.cumsum(self.sizes, dtype=np.int64)
+    def __init__(self, sizes: np.ndarray, data: np.ndarray):
+        self.sizes = sizes.astype(np.int64)
+        n = len(sizes)
+        ends = np.cumsum(self.sizes)
         self.text = np.insert(data, ends, END)
         self.first = ends - self.sizes + np.arange(n)
         self.last = ends + np.arange(n)
         self.owner = np.repeat(np.arange(n), self.sizes + 1)
-        self.least = np.full(n, LAST)
-        np.minimum.at(self.least, self.context, self.docs)
         self.rows = self._sorted_rotations()
 
     def _ahead(self, n: int) -> np.ndarray:
         """Where each rotation is ``n`` symbols on; contexts are longer than ``LENGTH > n``."""
         at = np.arange(n, len(self.text) + n)
-        size = (self.sizes + 1).astype(np.int64)
+        size = self.sizes + 1
         if n < 0:
             wrapped = np.concatenate([self.first + k for k in range(-n)])
             at[wrapped] += np.tile(size, -n)
@@ -358,11 +356,37 @@ def interleaved(transforms: list[np.ndarray]) -> np.ndarray:
 _CUT = np.dtype([("point", "<u8"), ("start", "<i8"), ("end", "<i8")])
 
 
+def _new_contexts(packets: list[list[np.ndarray]]) -> tuple[list[Shard], np.ndarray, np.ndarray]:
+    """A shard of each packet's contexts that no packet before has; their numbers, and those of all.
+
+    The first array numbers the contexts of the shards one after the other, the second has the
+    number of every context of every packet.
+    """
+    prints = []
+    for sizes, _, _, _, _, data in packets:
+        ends = np.cumsum(sizes, dtype=np.int64)
+        prints.append(hash_spans(data, ends - sizes, ends))
+    starts = np.concatenate([[0], np.cumsum([len(p) for p in prints])])
+    _, first, number = np.unique(np.concatenate(prints), return_index=True, return_inverse=True)
+    shards, order = [], []
+    for k, (sizes, _, _, _, _, data) in enumerate(packets):
+        mine = np.sort(first[(first >= starts[k]) & (first < starts[k + 1])]) - starts[k]
+        if len(mine):
+            fresh = np.zeros(len(sizes), bool)
+            fresh[mine] = True
+            shards.append(Shard(sizes[fresh], data[np.repeat(fresh, sizes)]))
+            order.append(number[mine + starts[k]])
+    place = np.empty(len(first), np.int64)
+    place[np.concatenate(order)] = np.arange(len(first))
+    return shards, place[number], starts
+
+
 def _merged(slots: int):
     """Spans that texts lose, from the contexts of a bucket, by slot."""
 
     def run(group: pa.Table) -> pa.Table:
-        shards = [Shard(body) for body in group.column("body").to_pylist()]
+        packets = [_split(body, "<i4", "<i4", "<u8", "<i8", "<i8", "u1") for body in group.column("body").to_pylist()]
+        shards, number, starts = _new_contexts(packets)
         source = interleaved([s.transform() for s in shards])
         # Rows of the merged order as positions in the texts of all shards.
         shift = np.concatenate([[0], np.cumsum([len(s.text) for s in shards])])
@@ -370,8 +394,15 @@ def _merged(slots: int):
         rows[np.argsort(source, kind="stable")] = np.concatenate([s.rows + k for s, k in zip(shards, shift, strict=False)])
         text = np.concatenate([s.text for s in shards])
         rows = rows[np.concatenate([s.prefixes() for s in shards])[rows]]
-        owner = np.concatenate([s.owner + k for s, k in zip(shards, np.concatenate([[0], np.cumsum([len(s.sizes) for s in shards])]), strict=False)])
-        least = np.concatenate([s.least for s in shards])
+        before = np.concatenate([[0], np.cumsum([len(s.sizes) for s in shards])])
+        owner = np.concatenate([s.owner + k for s, k in zip(shards, before, strict=False)])
+        first = np.concatenate([s.first + k for s, k in zip(shards, shift, strict=False)])
+        sizes = np.concatenate([s.sizes for s in shards])
+        # Occurrences of contexts: the smallest document of each, then of each interval.
+        context = np.concatenate([number[p[1] + k] for p, k in zip(packets, starts, strict=False)])
+        points, docs, places = (np.concatenate([p[k] for p in packets]) for k in (2, 3, 4))
+        least = np.full(len(sizes), LAST)
+        np.minimum.at(least, context, docs)
         # Neighbours with a common prefix of LENGTH bytes are in one interval.
         eights = np.ndarray((len(text) - 7,), "<u8", text, 0, (1,))
         new = np.zeros(len(rows), bool)
@@ -383,24 +414,19 @@ def _merged(slots: int):
         smallest = np.repeat(np.minimum.reduceat(least[owner[rows]], edge), np.diff(np.append(edge, len(rows))))
         keeper = np.full(len(text), LAST)
         keeper[rows] = smallest
-        cuts = []
-        for shard, k in zip(shards, shift, strict=False):
-            windows = (shard.sizes - LENGTH + 1).astype(np.int64)[shard.context]
-            total = np.concatenate([[0], np.cumsum(windows)])
-            inside = np.arange(total[-1]) - np.repeat(total[:-1], windows)
-            lost = keeper[np.repeat(shard.first[shard.context] + k, windows) + inside] < np.repeat(shard.docs, windows)
-            # Windows that are lost one after the other are one span.
-            begins = lost.copy()
-            begins[1:] &= ~lost[:-1] | (inside[1:] == 0)
-            stops = lost.copy()
-            stops[:-1] &= ~lost[1:] | (inside[1:] == 0)
-            who = np.repeat(np.arange(len(windows)), windows)[begins]
-            cut = np.empty(len(who), _CUT)
-            cut["point"] = shard.points[who]
-            cut["start"] = shard.places[who] + inside[begins]
-            cut["end"] = shard.places[who] + inside[stops] + LENGTH
-            cuts.append(cut)
-        cuts = np.concatenate(cuts)
+        windows = (sizes - LENGTH + 1)[context]
+        total = np.concatenate([[0], np.cumsum(windows)])
+        inside = np.arange(total[-1]) - np.repeat(total[:-1], windows)
+        lost = keeper[np.repeat(first[context], windows) + inside] < np.repeat(docs, windows)
+        # Windows that are lost one after the other are one span.
+        begins, stops = lost.copy(), lost.copy()
+        begins[1:] &= ~lost[:-1] | (inside[1:] == 0)
+        stops[:-1] &= ~lost[1:] | (inside[1:] == 0)
+        who = np.repeat(np.arange(len(windows)), windows)[begins]
+        cuts = np.empty(len(who), _CUT)
+        cuts["point"] = points[who]
+        cuts["start"] = places[who] + inside[begins]
+        cuts["end"] = places[who] + inside[stops] + LENGTH
         slot = (cuts["point"] % np.uint64(slots)).astype(np.int64)
         order = np.argsort(slot, kind="stable")
         cuts, edges = cuts[order], np.searchsorted(slot[order], np.arange(slots + 1))
@@ -464,7 +490,8 @@ def suffix_dedup(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     ``kept`` is the remaining bytes (which need not be UTF-8 text), or their SHA-256 digest.
     """
     spark = docs.sparkSession
-    buckets = slots = max(8, 2 * partitions(spark))
+    slots = max(8, partitions(spark))
+    buckets = 2 * slots
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shared = (
         given.select("text")
