@@ -296,7 +296,7 @@ def _distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
     Only sets of points in a pair move. Pairs are dealt by both ends in turn; Spark splits the
     joins where one end is in many pairs.
     """
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("point")).distinct()
+    involved = pairs.select(F.col("a").alias("point")).union(pairs.select("b")).distinct()
     sets = points.select("point", "size", "shared").join(involved, "point", "left_semi")
     left = sets.select(F.col("point").alias("a"), F.col("size").alias("size_a"), F.col("shared").alias("shared_a"))
     right = sets.select(F.col("point").alias("b"), F.col("size").alias("size_b"), F.col("shared").alias("shared_b"))
@@ -323,7 +323,7 @@ def point_links(
     members = durable(
         points.select(
             F.explode("regions").alias("region"), "point", "size", own.alias("own"),
-            F.col("point").alias("component"), F.lit(None).cast("double").alias("ref"),
+            F.col("point").alias("component"), F.lit(None).cast("double").alias("ref"), F.lit(None).cast("long").alias("met"),
         )
     )
     links = named = None
@@ -352,12 +352,18 @@ def point_links(
         # Pivots: members of the smallest components, so that what is not yet connected with the
         # rest is compared first; among them those with the fewest shingles of their own, which
         # lie in the middle of their copies.
-        order = F.struct("weight", "own", F.xxhash64("point").alias("mixed"), "point", "component", "size", "ref")
+        order = F.struct("weight", "own", F.xxhash64("point").alias("mixed"), "point", "component", "size", "ref", "met")
         chosen = durable(_smallest(open_.select("region", order.alias("k")), pivots))
         # A member and a pivot need no comparing if they are connected or cannot be linked: for
-        # their sizes and the shingles of their own, or as their distances from the region's
-        # first pivot differ by more than a link's length.
-        shared = F.least(F.col("size") - F.col("own"), F.col("k.size") - F.col("k.own"))
+        # their sizes and the shingles of their own, or for their places around the region's first
+        # pivot: what both have in common lies in the pivot, where neither has more than it
+        # shares with the pivot, or outside, where shingles of a member's own do not count; and
+        # their distances from the pivot differ by no more than a link's length.
+        shared = F.coalesce(
+            F.least("met", "k.met")
+            + F.least(F.col("size") - F.col("own") - F.col("met"), F.col("k.size") - F.col("k.own") - F.col("k.met")),
+            F.least(F.col("size") - F.col("own"), F.col("k.size") - F.col("k.own")),
+        )
         needed = (
             (F.col("component") != F.col("k.component"))
             & _within(F.col("size"), F.col("k.size"), shared, percent)
@@ -374,7 +380,7 @@ def point_links(
         links = new if links is None else links.union(new)
         named = _renamed(named, new)
         rest = durable(
-            open_.select("region", "point", "size", "own", "ref", "split").join(
+            open_.select("region", "point", "size", "own", "ref", "met", "split").join(
                 chosen.select("region", F.col("k.point").alias("point")), ["region", "point"], "left_anti"
             )
         )
@@ -383,10 +389,10 @@ def point_links(
         cells = _cells(rest.where("split"), chosen, known, reach, far)
         members = durable(
             rest.where("not split")
-            .select("region", "point", "size", "own", "ref")
+            .select("region", "point", "size", "own", "ref", "met")
             .union(cells)
             .join(named, "point", "left")
-            .select("region", "point", "size", "own", F.coalesce("component", "point").alias("component"), "ref")
+            .select("region", "point", "size", "own", F.coalesce("component", "point").alias("component"), "ref", "met")
         )
         pivots *= growth
     return links, named
@@ -399,14 +405,17 @@ def _within(size: Column, other: Column, common: Column, percent: int) -> Column
 
 
 def _referred(rest: DataFrame, chosen: DataFrame, known: DataFrame) -> DataFrame:
-    """Members with their distance from the region's pivot as ``ref``, null if not compared."""
+    """Members with their distance from the region's pivot as ``ref`` and what they share with it as ``met``.
+
+    Both are null if they were not compared.
+    """
     return (
-        rest.drop("ref")
+        rest.drop("ref", "met")
         .join(chosen.select("region", F.col("k.point").alias("pivot")), "region")
         .withColumn("a", F.greatest("point", "pivot"))
         .withColumn("b", F.least("point", "pivot"))
-        .join(known.select("a", "b", (1 - F.col("common") / F.col("total")).alias("ref")), ["a", "b"], "left")
-        .select("region", "point", "size", "own", "ref", "split")
+        .join(known.select("a", "b", (1 - F.col("common") / F.col("total")).alias("ref"), F.col("common").alias("met")), ["a", "b"], "left")
+        .select("region", "point", "size", "own", "ref", "met", "split")
     )
 
 
@@ -441,9 +450,9 @@ def _cells(members: DataFrame, chosen: DataFrame, known: DataFrame, reach: float
         .withColumn("a", F.greatest("point", "pivot"))
         .withColumn("b", F.least("point", "pivot"))
         .join(known, ["a", "b"])
-        .select("region", "point", "size", "own", "ref", F.struct(distance.alias("d"), "pivot").alias("k"))
+        .select("region", "point", "size", "own", "ref", "met", F.struct(distance.alias("d"), "pivot").alias("k"))
     )
-    seen = each.groupBy("region", "point", "size", "own", "ref").agg(F.min("k").alias("home"), F.collect_list("k").alias("ks"))
+    seen = each.groupBy("region", "point", "size", "own", "ref", "met").agg(F.min("k").alias("home"), F.collect_list("k").alias("ks"))
     inside = F.filter(
         "ks", lambda k: (k["d"] <= F.least(F.lit(far + reach), F.col("home.d") + 2 * reach) + SLACK)
     )
@@ -454,11 +463,11 @@ def _cells(members: DataFrame, chosen: DataFrame, known: DataFrame, reach: float
             F.array().cast("array<bigint>")
         ),
     )
-    placed = durable(seen.select("region", "point", "size", "own", "ref", cells.alias("cells")))
+    placed = durable(seen.select("region", "point", "size", "own", "ref", "met", cells.alias("cells")))
     crowd = placed.groupBy("region").agg((F.sum(F.size("cells")) > 1.5 * F.count("*")).alias("whole"))
     whole = F.array(F.xxhash64("region", F.lit("rest")))
     return placed.join(crowd, "region").select(
-        F.explode(F.when(F.col("whole"), whole).otherwise(F.col("cells"))).alias("region"), "point", "size", "own", "ref"
+        F.explode(F.when(F.col("whole"), whole).otherwise(F.col("cells"))).alias("region"), "point", "size", "own", "ref", "met"
     )
 
 
