@@ -333,8 +333,10 @@ def point_links(
         extremes = members.groupBy("region").agg(
             F.min("size").alias("smallest"), F.max(F.col("size") - F.col("own")).alias("most")
         )
+        common = F.least(F.col("size") - F.col("own"), F.col("most"))
+        # The best partner has just what can be in common, or is the smallest member.
         members = members.join(extremes, "region").where(
-            _within(F.col("size"), F.col("smallest"), F.least(F.col("size") - F.col("own"), "most"), percent)
+            _within(F.col("size"), F.greatest("smallest", common), common, percent)
         )
         members = durable(members.drop("smallest", "most"))
         state = members.groupBy("region").agg(
