@@ -8,14 +8,17 @@ Jaccard distance is a metric, and the join is a metric-space join by pivots:
    ``1 - threshold`` of each other differ in so few shingles that one of the first
    ``n - ceil(threshold * n) + 1`` of either lies in both: a point is replicated to that window of
    regions, and a point whose window holds only shingles of its own has no link.
-3. Within every region documents become pivots: the distances of all members to a few of them are
-   computed exactly. Members within ``1 - threshold`` are linked. Those farther away than that from
-   all pivots still need comparing, but by the triangle inequality only with points in reach: a
+3. Within every region documents become pivots: first one that lies in the middle of its copies,
+   then, in every round more, members that are not yet connected with the rest. Members within
+   ``1 - threshold`` of a pivot are linked, by exact distances. What cannot be linked is not
+   compared: a member and a pivot whose distances from the region's first pivot differ by more than
+   a link is long (the triangle inequality), or whose parts inside and outside that pivot are too
+   small for the overlap. A large region without a large component is cut into Voronoi cells: a
    member goes to the cell of its nearest pivot, and to every other cell ``i`` with
    ``d(y, i) <= d(y, nearest) + 2 * (1 - threshold)``; members far from every pivot form a cell
    that others enter only if they are nearly as far. Cells are the regions of the next round.
    A region whose members are all connected is finished; one whose cells would overlap too much
-   stays whole, without its pivots, which have been compared with everyone.
+   stays whole, without its pivots, which are done with everyone.
 
 Rounds end when no region is left; nothing is dropped or capped. Shingles are compared by 64-bit
 hashes, of which 40 bits travel beside the number of their bucket. No region is gathered in one

@@ -31,10 +31,10 @@ LAST = 2**63 - 1
 BLANK = " \t\x0b\x0c\r"
 
 
-def _document(row: str = "") -> list[Column]:
+def _document() -> list[Column]:
     return [
-        F.coalesce(F.col(f"{row}doc_id").cast("long"), F.lit(LAST)).alias("doc"),
-        F.xxhash64(F.col(f"{row}text")).alias("print"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
+        F.xxhash64("text").alias("print"),
     ]
 
 
@@ -64,7 +64,7 @@ def doubled(suffixes: DataFrame, lines: int) -> DataFrame:
     keyed = durable(suffixes.select("doc", "print", "pos", "rank").join(ahead, ["doc", "print", "pos"]))
     ranks = durable(
         keyed.groupBy("rank", "next")
-        .agg(F.count("*").alias("n"), F.min("doc").alias("d"))
+        .agg(F.count("*").alias("n"))
         .where("n > 1")
         .orderBy("rank", "next")
         .select("rank", "next", F.monotonically_increasing_id().alias("new"))
