@@ -205,6 +205,23 @@ def test_lm_scores_equal_models_by_hand(spark):
         assert r.difference == pytest.approx(r.loss_target - r.loss_background, abs=1e-6)
 
 
+def test_lm_vocabulary_grows_with_the_corpus(spark):
+    """Every word that occurs twice has its own symbol, however many there are; models by hand agree."""
+    texts = {k: f"a{k} b{k} a{k} c{k % 1500} b{k}" for k in range(3000)}
+    docs = spark.createDataFrame([*texts.items(), (5000, "once a1")], "doc_id long, text string").repartition(4)
+    targets = spark.createDataFrame([(k,) for k in range(0, 3000, 2)], "doc_id long")
+    every = [*texts.values(), "once a1"]
+    vocab = {w for w, n in Counter(w for t in every for w in t.split()).items() if n >= lm_scoring.MIN_COUNT}
+    assert len(vocab) == 7500
+    models = model_by_hand([t for k, t in texts.items() if k % 2 == 0], vocab), model_by_hand(every, vocab)
+    rows = lm_scoring.lm_scores(docs, targets).collect()
+    assert len(rows) == 3001
+    for r in rows:
+        found = [w if w in vocab else "<unk>" for w in texts.get(r.doc_id, "once a1").split()]
+        for got, model in zip((r.loss_target, r.loss_background), models, strict=True):
+            assert got == pytest.approx(sum(model(*p) for p in zip(["<s>", *found], found)) / len(found), rel=1e-9)
+
+
 def test_lm_scores_tell_good_from_bad_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
