@@ -2,8 +2,11 @@
 
 Every text gets counts (words, symbols, repeated lines and windows, ...). Ratios of these counts are
 isolated by random splits: trees are grown on small random samples of labelled documents, and a
-document that few splits separate from the rest is anomalous. The threshold comes from the scores of
-all labelled rows: the lowest that rejects at most ``max_good_rejected`` of the good ones.
+document that few splits separate from the rest is anomalous. Bad rows are rare among those the trees
+are grown on, whatever their share of the labels: many of a kind would hide each other. The threshold
+comes from the scores of all labelled rows of both classes: of those that reject at most
+``max_good_rejected`` of the good ones, the one with the least sum of the shares of good rows rejected and
+bad rows kept.
 
 Cases: a null or empty text has no words and fails the base rule; a null ``doc_id`` gets a row like any
 other but never has a label; rows with the same id are judged one by one; labels that are null or
@@ -41,6 +44,8 @@ COUNTS = (
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 BINS = 10_000
+#: Bad rows for each good one that trees are grown on.
+BAD_SHARE = 0.02
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
@@ -109,15 +114,20 @@ def block_counts(block: Block) -> dict[str, np.ndarray]:
 
 
 def features(counts: dict[str, np.ndarray]) -> np.ndarray:
-    """Ratios of rule statistics, a row per document.
+    """Logarithms of ratios of rule statistics, a row per document.
+
+    A split between nothing and little is then as likely as one between little and much.
 
     Length and repetition are left to the base rule: short and repetitive good texts are rare,
     so that a forest would take them for junk.
     """
     c = {k: v.astype(np.float64) for k, v in counts.items()}
     words, chars = np.maximum(c["n_words"], 1), np.maximum(c["word_chars"], 1)
-    return np.column_stack(
-        [c["word_chars"] / words, c["n_symbols"] / words, c["n_upper"] / chars, c["n_marks"] / words]
+    return np.log1p(
+        1000
+        * np.column_stack(
+            [c["word_chars"] / words, c["n_symbols"] / words, c["n_upper"] / chars, c["n_marks"] / words]
+        )
     )
 
 
@@ -254,11 +264,15 @@ def fit(
     rows = (
         labelled.orderBy(F.xxhash64(F.lit(seed), "doc_id"), *COUNTS)
         .limit(fit_rows)
-        .select(*COUNTS)
+        .select("quality", *COUNTS)
         .toPandas()
     )
     if len(rows) < 2:
         return Verdict(None, np.inf)
+    is_good = rows.quality == 1
+    if is_good.any():
+        rare = max(1, round(BAD_SHARE * is_good.sum()))
+        rows = rows[is_good | ((~is_good).cumsum() <= rare)]
     forest = grow_forest(features({c: rows[c].to_numpy() for c in COUNTS}), trees, sample, seed)
     histogram = (
         _scored(labelled, forest)
@@ -266,12 +280,16 @@ def fit(
         .count()
         .toPandas()
     )
-    good = np.zeros(BINS + 2)
-    np.add.at(good, histogram.bin[histogram.quality == 1].to_numpy(np.int64), histogram["count"][histogram.quality == 1])
-    if not (histogram.quality == 0).any():
+    good, bad = np.zeros(BINS + 2), np.zeros(BINS + 2)
+    for counted, quality in ((good, 1), (bad, 0)):
+        rows = histogram[histogram.quality == quality]
+        np.add.at(counted, rows.bin.to_numpy(np.int64), rows["count"])
+    if not good.any() or not bad.any():
         return Verdict(forest, np.inf)
-    above = good.sum() - np.cumsum(good)
-    return Verdict(forest, float(np.argmax(above <= max_good_rejected * good.sum()) + 1) / BINS)
+    rejected, kept = 1 - np.cumsum(good) / good.sum(), np.cumsum(bad) / bad.sum()
+    error = np.where(good.sum() - np.cumsum(good) <= max_good_rejected * good.sum(), rejected + kept, np.inf)
+    best = np.flatnonzero(error <= error.min() + 1e-12)
+    return Verdict(forest, float(best[len(best) // 2] + 1) / BINS)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:

@@ -142,6 +142,24 @@ def test_quality_on_held_out_labels(spark):
     assert kept[1] > 0.98 and kept[0] < 0.6
 
 
+def test_junk_is_rejected_on_held_out_labels(spark):
+    """Both error rates, on the labels of odd documents; documents full of symbols do not pass."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    result = quality_rules(docs, labels.where("doc_id % 2 = 0")).where("not base_failed")
+    judged = result.join(labels.where("doc_id % 2 = 1"), "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept"))
+    kept = {r.quality: r.kept for r in judged.collect()}
+    print("good rejected", 1 - kept[1], "bad kept", kept[0])
+    assert kept[1] > 0.99 and kept[0] < 0.05
+
+
+def test_labels_of_one_class_reject_nothing(spark):
+    docs = spark.createDataFrame([(k, " ".join(f"w{k}x{j}" for j in range(60))) for k in range(20)], "doc_id long, text string")
+    for quality in (0, 1):
+        labels = labels_of(spark, [(k, quality, 0) for k in range(10)])
+        assert quality_rules(docs, labels).where("kept").count() == 20
+
+
 def test_filter_keeps_rows_and_columns(spark, hostile):
     labels = labels_of(spark, [(1, 1, 0), (14, 1, 0), (None, 0, 0), (15, None, None), (999, 0, 0)])
     kept = filter_documents(hostile, labels)
