@@ -5,11 +5,14 @@ freely: addresses with spelt-out or spaced signs, dotted numbers, runs of digits
 (once as a card, once as a phone number). Features of format (digits, groups, brackets, check digit,
 octets) and of context (neighbouring characters, words before) describe a proposal; boosted trees
 estimate how likely it is what it is taken for. They learn from proposals of the corpus itself: one that
-meets a base span of its kind is positive, others negative. No feature tells which signs stand
-between the parts, so that forms the base patterns do not know can look like those they do. A fifth of the documents is held out, and
-all its proposals set the threshold of each kind, the lowest at which ``precision`` of those
-above it are positive. Proposals above the threshold that overlap no base span are added, the
-likeliest first where they overlap each other.
+meets a base span of its kind is positive. Negative are only those that are surely none: a span of another
+kind, a wrong check digit, octets above 255, too few or too many digits or parts, digits inside identifiers.
+All others, missed forms among them, are neither and train nothing. No feature tells the signs that base patterns
+demand (at and plus signs, country codes, the signs between parts), so that forms the base patterns do not
+know can look like those they do. A fifth of the documents is held out, and all its labelled proposals
+set the threshold of each kind, the lowest at which ``precision`` of those above it are positive. Proposals
+without a label that reach the threshold and overlap no base span are added, the likeliest first where they
+overlap each other.
 
 Trees are fitted on at most ``fit_rows`` proposals, the smallest by a hash; everything else covers all
 of them. The text is read once; spans, proposals and features of a document are kept in its row.
@@ -48,8 +51,11 @@ PROPOSED = {
 }
 PROPOSED_HINTS = {"email": r"@|[\[(](?:at|AT)[\])]", "ip": "[0-9][.][0-9]", "number": "[0-9]"}
 AROUND = 24
+AT, DOT = r"(?:@|[\[(](?:at|AT)[\])])", r"\.|[\[(](?:dot|DOT)[\])]"
+COUNTRY = r"^[(]*\+[0-9]{1,3}[)]?[\x20.-]*(?=[\x20(.-])|^[(]*\+[0-9]{1,3}[\x20.-]+"
+IDENTIFIER = r"(?i)[#/_=]$|\b(?:order|invoice|item|serial|isbn|id|no|ref)\b[\x20.:#]*$"
 FEATURES = (
-    "is_email", "is_ip", "is_card", "is_phone", "digits", "groups", "longest", "plus", "brackets", "at", "dots", "check_digit", "octets", "word_before", "word_after",
+    "is_email", "is_ip", "is_card", "is_phone", "digits", "groups", "longest", "brackets", "parts", "check_digit", "octets", "word_before", "word_after",
     "space_before", "stop_after", "named",
 )
 BINS = 1000
@@ -131,10 +137,33 @@ def _base(text: Column) -> Column:
     return F.sort_array(F.concat(*[spans(rank, kind) for rank, kind in enumerate(KINDS)]))
 
 
-def _features(text: Column, m: Column, rank: int) -> Column:
-    hit = m["text"]
+def _around(text: Column, m: Column) -> tuple[Column, Column]:
     before = F.substr(text, F.greatest(m["start"] - AROUND, F.lit(0)) + 1, F.least(m["start"], F.lit(AROUND)))
-    after = F.substr(text, m["end"] + 1, F.lit(1))
+    return before, F.substr(text, m["end"] + 1, F.lit(1))
+
+
+def _parts(hit: Column) -> Column:
+    """Dots after the at sign of an address, spelt out or not."""
+    return F.regexp_count(F.regexp_extract(hit, f"{AT}(.*)$", 1), F.lit(DOT))
+
+
+def _surely_none(text: Column, m: Column, rank: int) -> Column:
+    """Whether a proposal cannot be of its kind."""
+    hit, (before, after) = m["text"], _around(text, m)
+    digits = F.length(_digits(hit))
+    inside = F.rlike(before, F.lit(r"[A-Za-z0-9]$")) | F.rlike(after, F.lit("[A-Za-z0-9_]")) | F.rlike(before, F.lit(IDENTIFIER))
+    return {
+        "email": _parts(hit) == 0,
+        "ip": inside | ~has_octets(hit) | (F.size(F.split(hit, "[.]")) != 4),
+        "card": inside | ~passes_luhn(hit),
+        "phone": inside | ~digits.between(9, 15),
+    }[KINDS[rank]]
+
+
+def _features(text: Column, m: Column, rank: int) -> Column:
+    hit, (before, after) = m["text"], _around(text, m)
+    if KINDS[rank] == "phone":
+        hit = F.regexp_replace(hit, COUNTRY, "")
     groups = F.filter(F.split(hit, "[^0-9]+"), lambda g: g != "")
     flags = [F.lit(rank == k) for k in range(len(KINDS))]
     values = [
@@ -142,10 +171,8 @@ def _features(text: Column, m: Column, rank: int) -> Column:
         F.length(_digits(hit)),
         F.size(groups),
         F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0)),
-        F.contains(hit, F.lit("+")),
-        F.rlike(hit, F.lit(r"[()\[]")),
-        F.contains(hit, F.lit("@")),
-        F.length(F.regexp_replace(hit, "[^.]", "")),
+        F.lit(False) if rank == 0 else F.rlike(hit, F.lit(r"[()\[]")),
+        _parts(hit) if rank == 0 else F.lit(0),
         passes_luhn(hit),
         F.lit(False) if rank != 1 else has_octets(hit),
         F.rlike(before, F.lit("[A-Za-z0-9]$")),
@@ -158,7 +185,7 @@ def _features(text: Column, m: Column, rank: int) -> Column:
 
 
 def _proposals(text: Column) -> Column:
-    """Proposed spans ``start, end, rank, features``; a run of digits is proposed as two kinds."""
+    """Proposed spans ``start, end, rank, none, features``; a run of digits is proposed as two kinds."""
 
     def spans(source: str, kind: str) -> Column:
         rank = KINDS.index(kind)
@@ -168,6 +195,7 @@ def _proposals(text: Column) -> Column:
                 m["start"].alias("start"),
                 m["end"].alias("end"),
                 F.lit(rank).alias("rank"),
+                _surely_none(text, m, rank).alias("none"),
                 _features(text, m, rank).alias("features"),
             ),
         )
@@ -194,26 +222,26 @@ def found_spans(docs: DataFrame) -> DataFrame:
 
 
 def labelled_proposals(found: DataFrame) -> DataFrame:
-    """A row per proposal, with its features and whether it meets a base span of its kind."""
+    """A row per proposal with its features; label 1 if it meets a base span of its kind, 0 if surely none."""
     meets = F.exists(
         "base", lambda b: (b["rank"] == F.col("p.rank")) & (b["start"] < F.col("p.end")) & (F.col("p.start") < b["end"])
     )
+    taken = F.exists("base", lambda b: (b["start"] < F.col("p.end")) & (F.col("p.start") < b["end"]))
     return found.select("id", "doc_id", "base", F.explode("proposals").alias("p")).select(
         "id",
         (F.pmod(F.xxhash64(F.lit("held out"), "doc_id"), F.lit(5)) == 0).alias("held_out"),
         F.col("p.start").alias("start"),
         F.col("p.end").alias("end"),
         F.col("p.rank").alias("rank"),
-        F.exists("base", lambda b: (b["start"] < F.col("p.end")) & (F.col("p.start") < b["end"])).alias("taken"),
-        meets.cast("double").alias("label"),
+        F.when(meets, 1.0).when(taken | F.col("p.none"), 0.0).alias("label"),
         *[F.col("p.features")[k].alias(name) for k, name in enumerate(FEATURES)],
     )
 
 
 def fit_trees(proposals: DataFrame, fit_rows: int = 20_000, rounds: int = 12, depth: int = 4) -> GBTClassificationModel | None:
-    """Boosted trees on at most ``fit_rows`` proposals of documents that are not held out."""
+    """Boosted trees on at most ``fit_rows`` labelled proposals of documents that are not held out."""
     sample = durable(
-        proposals.where("not held_out").orderBy(F.xxhash64("id", "start", "end", "rank"), "id", "start", "end", "rank").limit(fit_rows)
+        proposals.where("not held_out and label is not null").orderBy(F.xxhash64("id", "start", "end", "rank"), "id", "start", "end", "rank").limit(fit_rows)
     )
     if len(sample.select("label").distinct().take(2)) < 2:
         return None
@@ -225,14 +253,14 @@ def scored(proposals: DataFrame, model: GBTClassificationModel) -> DataFrame:
     """Proposals with their ``score`` between 0 and 1."""
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(proposals)
     return model.transform(vectors).select(
-        "id", "held_out", "start", "end", "rank", "taken", "label", vector_to_array("probability")[1].alias("score")
+        "id", "held_out", "start", "end", "rank", "label", vector_to_array("probability")[1].alias("score")
     )
 
 
 def thresholds(scores: DataFrame, precision: float = 0.99) -> list[float]:
-    """By kind, the lowest score above which held-out proposals are positive with ``precision``."""
+    """By kind, the lowest score above which labelled held-out proposals are positive with ``precision``."""
     bins = (
-        scores.where("held_out")
+        scores.where("held_out and label is not null")
         .groupBy("rank", F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).alias("bin"))
         .agg(F.sum("label").alias("good"), F.count("*").alias("n"))
         .collect()
@@ -271,7 +299,7 @@ def pii_spans(docs: DataFrame, fit_rows: int = 20_000, precision: float = 0.99)
     scores = durable(scored(proposals, model))
     limits = F.array(*[F.lit(x) for x in thresholds(scores, precision)])
     added = (
-        scores.where(~F.col("taken") & (F.col("score") >= F.element_at(limits, F.col("rank") + 1)))
+        scores.where(F.col("label").isNull() & (F.col("score") >= F.element_at(limits, F.col("rank") + 1)))
         .groupBy("id")
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("order"), "start", "end", "rank"))).alias("added"))
     )

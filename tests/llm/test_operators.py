@@ -345,6 +345,21 @@ def test_trees_add_forms_like_those_they_learned(spark):
     assert sum(result[1000 + k][1] for k in range(3)) >= 2
 
 
+def test_missed_forms_are_added_with_production_parameters(spark):
+    """A twentieth of addresses is spelt out, of phone numbers has no plus; what is surely none stays."""
+    plain = [f"see user{k}@mail{k % 7}.example.com or call +1 (743) 555-{k:04d} today" for k in range(400)]
+    none = [f"order 12-34-{k:06d} of 4111 1111 1111 {1000 + 10 * k + (k % 2)} from 300.1.2.{k} and x{k:09d}f, a{k}@b" for k in range(400)]
+    spelt = [f"see bob{k} [at] mail{k % 7} [dot] example [dot] com today" for k in range(20)]
+    bare = [f"or call (743) 555-{2000 + k} today" for k in range(20)]
+    docs = spark.createDataFrame([*enumerate([*plain, *none, *spelt, *bare])], "doc_id long, text string")
+    got = {r.doc_id: (r.base, r.spans) for r in pii.pii_spans(docs).collect()}
+    assert all(len(got[k][1]) == 2 for k in range(400))
+    assert all(got[400 + k][0] == got[400 + k][1] for k in range(400))
+    for k, (rank, text) in enumerate([*((0, x) for x in spelt), *((3, x) for x in bare)]):
+        first = text.index("bob" if rank == 0 else "(")
+        assert not got[800 + k][0] and [tuple(x) for x in got[800 + k][1]] == [(first, rank, text.index(" today"))]
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([("write a@b.cd or é 1.2.3.4!",)], "text string")
     spans = F.expr("array(struct(6 as start, 0 as rank, 12 as end), struct(8 as start, 0 as rank, 12 as end), struct(18 as start, 1 as rank, 25 as end))")
