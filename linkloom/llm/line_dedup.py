@@ -8,7 +8,8 @@ leaves; the suffixes that share a key are an interval of the suffix array whose
 is at least ``2 k``. The interval's first member (smallest ``doc_id``, then position) is the first
 copy, the others begin later copies of a run of that length. Doubling ends when all places are
 final. The runs of ``min_lines`` lines and more that intervals reveal are deleted except in the first
-copy; overlapping runs of a document merge into maximal ones.
+copy; overlapping runs of a document merge into maximal ones. With ``min_words`` a single line of that many
+words is a run as well, whatever stands around it.
 
 Keys are counted before they are joined back, so that a line that is found everywhere is one row of the
 small side; Spark splits the other.
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from linkloom.llm.tables import durable, table
 
 MIN_LINES = 2
+#: Words of a line that is a run by itself where :func:`dedup_lines` is asked for such.
+LONG_LINE = 50
 LAST = 2**63 - 1
 BLANK = " \t\x0b\x0c\r"
 
@@ -42,12 +45,22 @@ def _is_filled(line: Column) -> Column:
     return F.length(F.btrim(line, F.lit(BLANK))) > 0
 
 
-def line_suffixes(docs: DataFrame) -> DataFrame:
-    """``doc, print, pos, rank``: the suffixes whose first line occurs elsewhere, ranked by it."""
-    lines = F.transform(F.filter(F.split("text", "\n"), _is_filled), lambda x: F.xxhash64(x))
+def _is_long(line: Column, min_words: int | None) -> Column:
+    if min_words is None:
+        return F.lit(False)
+    return F.size(F.filter(F.split(line, r"[\x20\t\x0b\x0c\r]+"), lambda w: w != "")) >= min_words
+
+
+def line_suffixes(docs: DataFrame, min_words: int | None = None) -> DataFrame:
+    """``doc, print, pos, rank, long``: the suffixes whose first line occurs elsewhere, ranked by it."""
+    lines = F.transform(
+        F.filter(F.split("text", "\n"), _is_filled),
+        lambda x: F.struct(F.xxhash64(x).alias("rank"), _is_long(x, min_words).alias("long")),
+    )
     suffixes = (
         docs.select("doc_id", "text")
-        .select(*_document(), F.posexplode(lines).alias("pos", "rank"))
+        .select(*_document(), F.posexplode(lines).alias("pos", "line"))
+        .select("doc", "print", "pos", "line.rank", "line.long")
         .dropDuplicates(["doc", "print", "pos"])
     )
     suffixes = durable(suffixes)
@@ -74,25 +87,31 @@ def doubled(suffixes: DataFrame, lines: int) -> DataFrame:
     )
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def _later(suffixes: DataFrame, lines: int) -> DataFrame:
+    """``doc, print, pos, lines`` of all members of the intervals but the first of each."""
+    first = suffixes.groupBy("rank").agg(F.min(F.struct("doc", "print", "pos")).alias("first"))
+    return (
+        suffixes.join(durable(first), "rank")
+        .where(F.struct("doc", "print", "pos") != F.col("first"))
+        .select("doc", "print", "pos", F.lit(lines).alias("lines"))
+    )
+
+
+def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """``doc, print, pos, lines``: runs of lines that begin at ``pos`` and are later copies.
 
-    ``min_lines`` is a power of two.
+    ``min_lines`` is a power of two. Single lines of ``min_words`` words are runs too, if it is given.
     """
     if min_lines < 2 or min_lines & (min_lines - 1):
         raise ValueError("min_lines must be 2, 4, 8, ...")
-    suffixes, lines, runs = line_suffixes(docs), 1, None
+    suffixes, lines = line_suffixes(docs, min_words), 1
+    runs = None if min_words is None else _later(suffixes.where("long"), 1)
     while True:
         suffixes, lines = doubled(suffixes, lines), 2 * lines
         if suffixes.isEmpty():
             break
         if lines >= min_lines:
-            first = suffixes.groupBy("rank").agg(F.min(F.struct("doc", "print", "pos")).alias("first"))
-            found = (
-                suffixes.join(durable(first), "rank")
-                .where(F.struct("doc", "print", "pos") != F.col("first"))
-                .select("doc", "print", "pos", F.lit(lines).alias("lines"))
-            )
+            found = _later(suffixes, lines)
             runs = found if runs is None else runs.union(found)
     if runs is None:
         return suffixes.select("doc", "print", "pos", F.lit(0).alias("lines"))
@@ -143,12 +162,12 @@ def _without(lines: Column, removed: Column) -> Column:
     return F.array_join(kept[0], "\n")
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """All rows and columns of ``docs`` as ``row``, later copies of runs deleted from its text.
 
     Beside it ``n_lines``, the lines with a word before, and ``n_removed`` of them.
     """
-    removed = removed_runs(repeated_runs(docs, min_lines))
+    removed = removed_runs(repeated_runs(docs, min_lines, min_words))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     out = docs.select(*_document(), row.alias("row")).join(durable(removed), ["doc", "print"], "left")
     lines = F.split("row.text", "\n")

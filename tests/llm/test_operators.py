@@ -316,6 +316,17 @@ def test_line_dedup_of_hostile_rows(hostile):
     assert line_dedup.dedup_lines(hostile.limit(0)).count() == 0
 
 
+def test_long_single_lines_are_runs(spark):
+    """A passage on one line between other text, and a copy of a document of one line; short lines stay."""
+    passage = " ".join(f"w{k}" for k in range(50))
+    short = " ".join(f"w{k}" for k in range(49))
+    texts = {1: f"a\n{passage}\nb", 2: f"c\n\n{passage} \nd", 3: f"e\n{passage}\nf", 4: passage, 5: f"g\n{short}", 6: f"h\n{short}", 7: None}
+    docs = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    expected = {**texts, 3: "e\nf", 4: ""}  # in 2 a space is another line
+    assert dict(rows_of(line_dedup.dedup_lines(docs, min_words=line_dedup.LONG_LINE).select("row.*"))) == expected
+    assert dict(rows_of(line_dedup.dedup_lines(docs).select("row.*"))) == texts
+
+
 def test_min_lines_is_a_power_of_two(hostile):
     with pytest.raises(ValueError, match="min_lines"):
         line_dedup.repeated_runs(hostile, 3)
