@@ -9,7 +9,6 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
-from conftest import SF_DIR  # noqa: F401  the folder of this directory comes first
 from pyspark.sql import functions as F
 
 from linkloom.llm import catalog, line_dedup, lm_scoring, mixing, pii
