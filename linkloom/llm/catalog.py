@@ -11,6 +11,7 @@ from linkloom.llm.permutation_index import op10_permutation_index
 from linkloom.llm.pii import op8_pii
 from linkloom.llm.quality_rules import op3_quality_rules
 from linkloom.llm.sentencepiece_codec import op4_sentencepiece
+from linkloom.llm.source_divergence import OP11_SQL, op11_source_divergence
 from linkloom.llm.suffix_dedup import op9_suffix_dedup
 
 QUERIES = {
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_permutation_index": op10_permutation_index,
+    "op11_source_divergence": op11_source_divergence,
 }
 ORACLES: dict[str, str] = {
     "op2_chat_formatting": OP2_SQL,
     "op6_mixing": OP6_SQL,
     "op7_line_dedup": OP7_SQL,
+    "op11_source_divergence": OP11_SQL,
 }
