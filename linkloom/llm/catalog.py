@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from linkloom.llm.chat_format import OP2_SQL, op2_chat_formatting
+from linkloom.llm.embedding_whitening import op12_embedding_whitening
 from linkloom.llm.jaccard_join import op1_ngram_jaccard_join
 from linkloom.llm.line_dedup import OP7_SQL, op7_line_dedup
 from linkloom.llm.lm_scoring import op5_lm_scoring
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_permutation_index": op10_permutation_index,
     "op11_source_divergence": op11_source_divergence,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 ORACLES: dict[str, str] = {
     "op2_chat_formatting": OP2_SQL,
