@@ -14,6 +14,7 @@ from linkloom.llm.quality_rules import op3_quality_rules
 from linkloom.llm.sentencepiece_codec import op4_sentencepiece
 from linkloom.llm.source_divergence import OP11_SQL, op11_source_divergence
 from linkloom.llm.suffix_dedup import op9_suffix_dedup
+from linkloom.llm.token_grammar import op13_token_grammar
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_permutation_index": op10_permutation_index,
     "op11_source_divergence": op11_source_divergence,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_token_grammar": op13_token_grammar,
 }
 ORACLES: dict[str, str] = {
     "op2_chat_formatting": OP2_SQL,

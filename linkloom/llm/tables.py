@@ -12,13 +12,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, computed now and kept in the folder ``spark.checkpoint.dir`` names.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that all executors share, under the one ``spark.checkpoint.dir`` names.
 
-    The folder is shared by all executors, so that lost executors cost no recomputation. Without
-    that setting only a local session gets a folder of its own; a cluster must name one.
+    Without that setting only a local session gets a folder of its own; a cluster must name one.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
@@ -27,6 +25,15 @@ def durable(df: DataFrame) -> DataFrame:
                 raise ValueError("spark.checkpoint.dir must name a folder that executors share")
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, computed now and kept in the shared folder.
+
+    Lost executors then cost no recomputation.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
