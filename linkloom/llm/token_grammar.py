@@ -5,7 +5,7 @@ end id, and closes a shard whenever one holds ``shard_ids`` ids or more. In a sh
 are replaced by nonterminals, again and again (Re-Pair): every round counts all neighbouring pairs anew, takes
 those at least a quarter as frequent as the first, and replaces their occurrences; where two chosen pairs
 overlap the more frequent one wins, and the other waits for the next round. Rounds end when no pair is worth a
-rule, or when one has replaced less than a thousandth of what is left.
+rule, or when one has replaced fewer than one symbol in ``SMALL_GAIN``.
 
 A shard file holds the rules, the length of every nonterminal's expansion, the documents and where each starts, the symbols that are
 left, and the number of ids before every ``MARK``-th symbol. Any stretch of ids is therefore read without the rest: the mark before it is
@@ -18,8 +18,9 @@ Shard files are rows of a Parquet table, so that Spark commits or discards them
 lost executor leaves no part of a file. How many ids lie before a shard is the sum over earlier ranges, of which there are
 at most ``MOST_RANGES``, plus what the shard records itself.
 
-Encoding is that of the tokenizers library. If the tokenizer drops white space, no token spans it; every
-distinct piece between spaces is then encoded once, and ids of texts are put together by position. Other tokenizers get whole texts.
+Encoding is that of the tokenizers library. A tokenizer that drops white space and cuts texts into words and runs of signs
+has no token that spans a cut; every distinct piece is then encoded once, and ids of texts are put together by
+position. Other tokenizers get whole texts.
 
 Cases: a null text is empty and has the end id alone; a null ``doc_id`` comes first; rows with one id follow each
 other, ordered by a hash of their text, each with a row of its own in the result. A text is never split between
@@ -34,15 +35,17 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm.tables import shared_folder, table
-from linkloom.llm.text_blocks import WHITE, Block, blocks
+from linkloom.llm.text_blocks import LOWER, WHITE, Block, blocks
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 END_ID = 2
@@ -50,8 +53,9 @@ SHARD_IDS = 1 << 20
 RANGE_BYTES = 32 << 20
 MOST_RANGES = 1 << 16
 LEAST = 8  # a rule takes as much room as eight replacements save
-SMALL_GAIN = 1000  # rounds end when one replaces less than a thousandth of the symbols
+SMALL_GAIN = 250  # rounds end when one replaces fewer than one of so many symbols
 MARK = 1024
+KNOWN = 500_000  # pieces that a task remembers
 MAGIC = b"RPG1"
 HEADER = "<4sIIQQII"
 WRITTEN = "part int, shard int, before long, documents long, ids long, content binary"
@@ -231,40 +235,88 @@ class Shard:
 # ---- encoding ----------------------------------------------------------------------------------------
 
 
+# Kinds of bytes: white space, letters, digits, other ASCII, and parts of characters beyond ASCII.
+_SPACE, _LETTER, _DIGIT, _SIGN, _FAR = range(5)
+_KIND = np.full(256, _SIGN, np.uint8)
+_KIND[WHITE] = _SPACE
+_KIND[65:91] = _KIND[97:123] = _LETTER
+_KIND[48:58] = _DIGIT
+_KIND[128:] = _FAR
+# Whether a piece ends between two bytes, by their kinds: at white space, between ASCII characters of
+# different kinds, and between digits.
+_CUT = np.array([[a != b and (_FAR not in (a, b) or _SPACE in (a, b)) or a == b == _DIGIT for b in range(5)] for a in range(5)])
+_APOSTROPHE = 39
+
+
+def inner_cuts(data: np.ndarray) -> np.ndarray:
+    """Whether a piece starts at each byte, as told by the byte before it."""
+    kind = _KIND[data]
+    cut = np.ones(len(data), bool)
+    cut[1:] = _CUT.ravel()[kind[:-1] * np.uint8(5) + kind[1:]]
+    # An apostrophe may take the letters after it with it, or be the end of a run of signs.
+    cut[1:] &= ~((data[:-1] == _APOSTROPHE) & (kind[1:] == _LETTER))
+    return cut
+
+
 class Encoder:
     """Ids of blocks of texts."""
 
     def __init__(self, tokenizer: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        config = json.loads(tokenizer)
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.by_piece = drops_white_space(json.loads(tokenizer))
+        self.by_piece = works_by_piece(config)
+        self.added = [t["content"].encode() for t in config.get("added_tokens", [])]
+        if self.by_piece:
+            # Pieces come once each; a cache of words would only cost.
+            self.tokenizer.model = _without_cache(config["model"])
+            # Letters a to z pass the normaliser and the cutting into words as they are.
+            self.plain = Tokenizer(_without_cache(config["model"]))
+            self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            suffix = config["model"]["end_of_word_suffix"]
+            self.last = np.zeros(self.vocabulary, bool)
+            self.last[[k for name, k in config["model"]["vocab"].items() if name.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
         """Start with no piece known but the end of a document, which is piece 0."""
-        self.known: dict[str, int] = {}
+        self.known = pa.array([""], pa.large_string())
         self.tokens = np.array([END_ID], np.uint32)
         self.first, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum())), sizes
-
-    def _look_up(self, names: list[str]) -> np.ndarray:
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def _encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`_encode`, for words of a to z: many are one text, and end where a token of a word's end is."""
+        texts = [" ".join(words[k : k + 256]) for k in range(0, len(words), 256)]
+        found = self.plain.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in found] or [self.tokens[:0]])
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words):
+            raise ValueError("words and their last tokens differ in number")
+        return ids, np.diff(ends, prepend=0)
+
+    def _look_up(self, names: pa.LargeStringArray) -> np.ndarray:
         """The number of every piece; unknown ones are encoded."""
-        if len(self.known) > 1_000_000:
+        if len(self.known) > KNOWN:
             self.forget()
-        new = [x for x in names if x not in self.known]
-        if new:
-            tokens, sizes = self._encode(new)
-            self.known.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
+        found = pc.index_in(names, value_set=self.known)
+        number = found.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
+        for plain in (True, False):
+            mine = pc.and_(found.is_null(), pc.equal(pc.ascii_is_alpha(names), plain))
+            new = names.filter(mine)
+            tokens, sizes = (self._encode_plain if plain else self._encode)(new.to_pylist())
+            number[mine.to_numpy(zero_copy_only=False)] = np.arange(len(self.size), len(self.size) + len(new))
+            self.known = pa.concat_arrays([self.known, new])
             self.first = np.concatenate([self.first, len(self.tokens) + np.cumsum(sizes) - sizes])
             self.size = np.concatenate([self.size, sizes])
             self.tokens = np.concatenate([self.tokens, tokens])
-        return np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
+        return number
 
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a block, each with the end id, and how many each has."""
@@ -273,18 +325,22 @@ class Encoder:
             data, o = block.data.tobytes(), block.offsets
             ids, sizes = self._encode([data[a:b].decode() for a, b in zip(o[:-1], o[1:], strict=True)])
             return np.insert(ids, np.cumsum(sizes), END_ID), sizes + 1
+        cut = inner_cuts(block.data)
+        cut[block.offsets[:-1][np.diff(block.offsets) > 0]] = True
+        whole = block.data.tobytes()
+        for content in self.added:
+            at = whole.find(content)
+            while at >= 0:
+                cut[at + 1 : at + len(content)] = False
+                at = whole.find(content, at + len(content))
         inside = ~WHITE[block.data]
-        first = inside.copy()
-        first[1:] &= ~inside[:-1]
-        edges = block.offsets[:-1][np.diff(block.offsets) > 0]
-        first[edges] = inside[edges]
-        starts = np.flatnonzero(first)
-        body = block.data[inside]
-        before = np.cumsum(inside) - inside
-        ends = np.append(before[starts], len(body)).astype(np.int64)
+        starts = np.flatnonzero(cut & inside)
+        body = LOWER[block.data[inside]]
+        # Bytes before each piece that are no white space: where it starts in the joined pieces.
+        gaps = np.flatnonzero(~inside)
+        ends = np.append(starts - np.searchsorted(gaps, starts), len(body))
         words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(body)).dictionary_encode()
-        number = self._look_up(words.dictionary.to_pylist())
-        pieces = number[words.indices.to_numpy()] if len(starts) else np.zeros(0, np.int64)
+        pieces = self._look_up(words.dictionary)[words.indices.to_numpy()]
         # Piece 0 after the pieces of every text.
         held = np.searchsorted(starts, block.offsets)
         pieces = np.insert(pieces, held[1:], 0)
@@ -295,28 +351,48 @@ class Encoder:
         return self.tokens[place], np.diff(total)
 
 
-def drops_white_space(config: dict) -> bool:
-    """Whether white space only parts words: it can't be in a token and changes nothing beside it.
+def _without_cache(model: dict):
+    from tokenizers import models
 
-    True for a pattern that keeps what it matches, drops the rest, and can't match spaces, behind
-    normalisers that work on characters between spaces; no added token may hold or strip spaces.
+    merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
+    return models.BPE(
+        model["vocab"],
+        merges,
+        cache_capacity=0,
+        **{k: model[k] for k in ("unk_token", "continuing_subword_prefix", "end_of_word_suffix") if model[k] is not None},
+        **{k: bool(model.get(k)) for k in ("fuse_unk", "byte_fallback", "ignore_merges")},
+    )
+
+
+def works_by_piece(config: dict) -> bool:
+    """Whether texts can be cut where :func:`inner_cuts` cuts them, and a to z lower-cased, without changing an id.
+
+    True for a tokenizer that lower-cases, drops white space, and cuts texts into contractions, runs of
+    letters, single digits and runs of other signs, each a word to itself. Added tokens are found before
+    all that; they must be told from their lower-cased pieces by a cut inside, and hold or strip no spaces.
     """
-    steps = config.get("normalizer") or {"type": "Sequence", "normalizers": []}
+    steps = config.get("normalizer") or {"type": "none"}
     steps = steps["normalizers"] if steps["type"] == "Sequence" else [steps]
-    plain = all(
-        s["type"] in ("NFC", "Lowercase") or (s["type"] == "Replace" and s["pattern"] == {"Regex": r"\s+"} and s["content"] == " ")
-        for s in steps
+    plain = [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"] and (
+        steps[1]["pattern"] == {"Regex": r"\s+"} and steps[1]["content"] == " "
     )
-    cuts = config.get("pre_tokenizer") or {"type": "Sequence", "pretokenizers": []}
+    cuts = config.get("pre_tokenizer") or {"type": "none"}
     cuts = cuts["pretokenizers"] if cuts["type"] == "Sequence" else [cuts]
-    split = bool(cuts) and cuts[0]["type"] == "Split" and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"]
-    pattern = cuts[0]["pattern"].get("Regex", "") if split else ""
-    words = {"'s", "'t", "'re", "'ve", "'m", "'ll", "'d", r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+"}
+    words = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d", r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+"]
+    split = (
+        [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+        and (cuts[0]["behavior"], cuts[0]["invert"], cuts[0]["pattern"]) == ("Removed", True, {"Regex": "|".join(words)})
+        and not (cuts[1]["use_regex"] or cuts[1]["add_prefix_space"])
+    )
     added = all(
-        not (t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"]))
+        not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or any(c.isspace() for c in t["content"]))
+        and t["content"].isascii()
+        and inner_cuts(np.frombuffer(t["content"].encode(), np.uint8))[1:].any()
         for t in config.get("added_tokens", [])
     )
-    return plain and split and set(pattern.split("|")) <= words and added
+    model = config["model"]
+    bpe = model["type"] == "BPE" and not model.get("dropout") and bool(model.get("end_of_word_suffix"))
+    return plain and split and added and bpe and set("abcdefghijklmnopqrstuvwxyz") <= set(model["vocab"])
 
 
 @lru_cache(maxsize=2)
@@ -349,7 +425,7 @@ def _write_shards(tokenizer: str, shard_ids: int):
             names = ["part", "shard", "before", "documents", "ids", "content"]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names=names)
 
-        for block in blocks(batches):
+        for block in blocks(batches, limit=2 << 20):
             ids, counts = mine.encode(block)
             names = block.rows.column(0).to_pylist()
             ends = np.cumsum(counts)
