@@ -50,42 +50,47 @@ _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.LargeStringArray, np.ndarray]:
     """All terms of a block of texts in order, and how many each text has."""
     inside = _LETTER[data]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
     edges = offsets[:-1][np.diff(offsets) > 0]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
     first[edges] = inside[edges]
+    last[edges[1:] - 1] = inside[edges[1:] - 1]
     starts = np.flatnonzero(first)
-    body = LOWER[data[inside]]
-    # A term starts in the joined letters where it starts among the letters of the block.
-    before = np.cumsum(inside) - inside
-    ends = np.append(before[starts], len(body)).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(np.flatnonzero(last) + 1 - starts)])
     counts = np.diff(np.searchsorted(starts, offsets))
-    terms = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(body))
+    terms = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(LOWER[data[inside]]))
     return terms, counts
 
 
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and how often each occurs."""
+    ordered = np.sort(keys)
+    edges = np.flatnonzero(np.append(ordered[1:] != ordered[:-1], len(ordered) > 0))
+    return ordered[edges], np.diff(edges, prepend=-1)
+
+
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents of the terms of every group in a block; a null term for the group itself."""
-    for block in blocks(batches, limit=16 << 20):
+    for block in blocks(batches, limit=8 << 20):
         terms, counts = _terms(block.data, block.offsets)
-        groups = pa.StructArray.from_arrays([block.rows.column(0), block.rows.column(1)], names=["l", "s"])
+        langs, sources = block.rows.column(0), block.rows.column(1)
         seen: dict = {}
-        group = np.array([seen.setdefault((g["l"], g["s"]), len(seen)) for g in groups.to_pylist()], np.int64)
+        pairs = zip(langs.to_pylist(), sources.to_pylist(), strict=True)
+        group = np.array([seen.setdefault(pair, len(seen)) for pair in pairs], np.int64)
         known = terms.dictionary_encode()
         names, code = known.dictionary, known.indices.to_numpy().astype(np.int64)
         wide = max(len(names), 1)
         text = np.repeat(np.arange(len(counts)), counts)
-        held, times = np.unique(text * wide + code, return_counts=True)
-        by, at = np.unique(group[held // wide] * wide + held % wide, return_inverse=True)
-        n = np.bincount(at, times, len(by)).astype(np.int64)
-        docs = np.bincount(at, minlength=len(by)).astype(np.int64)
-        langs, sources = (pa.array([key[k] for key in seen], pa.string()) for k in (0, 1))
+        by, n = _runs(group[text] * wide + code)
+        # Every term of a text once: the same groups and terms, so the same keys.
+        held, _ = _runs(text * wide + code)
+        _, docs = _runs(group[held // wide] * wide + held % wide)
         of = pa.array(np.concatenate([by // wide, np.arange(len(seen))]))
         none = np.zeros(len(seen), np.int64)
         yield pa.RecordBatch.from_arrays(
             [
-                langs.take(of),
-                sources.take(of),
+                *(pa.array([key[k] for key in seen], pa.string()).take(of) for k in (0, 1)),
                 pa.concat_arrays([names.take(pa.array(by % wide)).cast(pa.string()), pa.nulls(len(seen), pa.string())]),
                 pa.array(np.concatenate([n, none])),
                 pa.array(np.concatenate([docs, none])),
@@ -163,11 +168,11 @@ def _first_from(values: np.ndarray, low: int, wanted: int) -> int:
 
 def _price(left: pa.Table, right: pa.Table) -> pa.Table:
     """What a pair's terms of one block add: their sum, and how many terms that are."""
-    sides = []
-    for side in (left, right):
-        row = side.to_pylist()[0] if side.num_rows else {"ids": [], "counts": []}
-        sides.append((np.array(row["ids"], np.int64), np.array(row["counts"], np.int64)))
-    some = (left if left.num_rows else right).to_pylist()[0]
+    sides = [
+        [side.column(c).combine_chunks().flatten().to_numpy().astype(np.int64) for c in ("ids", "counts")]
+        for side in (left, right)
+    ]
+    some = (left if left.num_rows else right).drop_columns(["ids", "counts"]).to_pylist()[0]
     totals = some["a_total"], some["b_total"]
     (ids_a, n_a), (ids_b, n_b) = sides
     at_a, at_b = gallop(ids_a, ids_b) if len(ids_a) <= len(ids_b) else gallop(ids_b, ids_a)[::-1]
