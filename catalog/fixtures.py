@@ -120,3 +120,15 @@ def records_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
         *RECORDS, "date_format(o_orderdate, 'yyyy') AS run_id"
     )
+
+
+def dump_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of an authority dump, of which some are cut off, some no object, some of other types."""
+    return table(spark, sf_dir, "part").selectExpr(
+        """CASE WHEN p_partkey % 17 = 0 THEN concat('{"id": "https://d-nb.info/gnd/', p_partkey)
+            WHEN p_partkey % 19 = 0 THEN concat('{"id": "', p_partkey, '", "type": "Person"}')
+            WHEN p_partkey % 23 = 0 THEN concat('part ', p_partkey)
+            WHEN p_partkey % 29 = 0 THEN ' '
+            ELSE concat('{"id": "https://d-nb.info/gnd/', p_partkey, '", "type": ["Work", "Person"], "more": 1, ',
+                        '"oldAuthorityNumber": ["(DE-588)', 100000 + p_partkey, '"]}') END AS line"""
+    )

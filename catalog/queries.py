@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import fixtures
+from linkloom import schemas
 from linkloom.fixed_values import RESOLVABLE_SLICES
 from linkloom.functions import bare_id, entity_type, safe_prefix
 from linkloom.operators import authority, counts, manifest, matching, metadata
-from linkloom.operators import parsing, profiling, resolution, sampling, slices
+from linkloom.operators import parsing, profiling, rejects, resolution, sampling, slices
 from linkloom.plans import merged_links
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +96,21 @@ def normalize_schema(spark, sf):
     return parsing.normalize_schema(odd.select(*reversed(odd.columns)))
 
 
+# ---- lines that are no entries -------------------------------------------------------------
+
+
+@register
+def accepted_lines(spark, sf):
+    entries = rejects.json_entries(fixtures.dump_text(spark, sf), schemas.AUTHORITY_DUMP)
+    return listed(rejects.accepted(entries), "type", "oldAuthorityNumber")
+
+
+@register
+def rejected_lines(spark, sf):
+    entries = rejects.json_entries(fixtures.dump_text(spark, sf), schemas.AUTHORITY_DUMP)
+    return rejects.rejected(entries)
+
+
 # ---- source list and metadata ------------------------------------------------------------
 
 

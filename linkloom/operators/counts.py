@@ -2,10 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+class PassCounts:
+    """Counts taken while rows pass on their way to a sink, so that none is read again for them.
+
+    A frame is watched under a name and used in the place of the original; once an action has
+    run, the counts are there. Spark adds up what finished tasks report: a task that has to run
+    again, because an executor is lost, may count twice. Treat a surprising count as a reason to count.
+    """
+
+    def __init__(self) -> None:
+        self._observed: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, name: str, **measures: Column) -> DataFrame:
+        """``df``, whose rows are counted as they pass; ``measures`` are further aggregates."""
+        self._observed[name] = Observation(name)
+        return df.observe(
+            self._observed[name],
+            F.count(F.lit(1)).alias("rows"),
+            *[measure.alias(key) for key, measure in measures.items()],
+        )
+
+    def __getitem__(self, name: str) -> dict[str, int]:
+        """The counts of a watched frame; waits for the first action that uses it."""
+        return self._observed[name].get
+
+
 def row_count(df: DataFrame) -> DataFrame:
     """One row: the number of rows."""
     return df.agg(F.count(F.lit(1)).alias("row_count"))

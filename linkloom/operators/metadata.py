@@ -9,10 +9,12 @@ from linkloom.fixed_values import DUPLICATE_EXAMPLES
 from linkloom.functions import unescape_slashes
 
 
-def attach_metadata(records: DataFrame, metadata: DataFrame) -> DataFrame:
+def attach_metadata(
+    records: DataFrame, metadata: DataFrame, flag: str | None = None
+) -> DataFrame:
     """Left join of records to their file's URL and download time.
 
-    A record without metadata keeps NULLs; a path listed twice doubles its records, which
+    ``flag`` names a further column that says whether metadata lists the file. A record without metadata keeps NULLs; a path listed twice doubles its records, which
     :func:`key_uniqueness` and ``compare_counts`` detect. No join strategy is forced: metadata
     that fits the broadcast threshold is broadcast, and beyond it the shuffle join splits the
     files that hold most of the rows.
@@ -22,9 +24,12 @@ def attach_metadata(records: DataFrame, metadata: DataFrame) -> DataFrame:
         F.col("url").alias("beacon_uri"),
         F.col("download_time_utc").alias("beacon_harvest_timestamp"),
     )
-    return records.join(
+    joined = records.join(
         meta, unescape_slashes(records["source_file"]) == meta["meta_path"], "left"
-    ).drop("meta_path")
+    )
+    if flag is not None:
+        joined = joined.withColumn(flag, F.col("meta_path").isNotNull())
+    return joined.drop("meta_path")
 
 
 def records_without_metadata(records: DataFrame, metadata: DataFrame) -> int:

@@ -2,8 +2,8 @@
 
 A dump starts with a header: its leading lines that begin with ``#`` or are blank. Everything
 after the first other line is data, including later lines that begin with ``#``. Where the
-header of a file ends is the one fact about a line that depends on other lines; it is found
-with a partial aggregate per file, never by sorting or windowing the data.
+header of a file ends is the one fact about a line that depends on other lines; it is found,
+with the header values, by one partial aggregate over the lines, never by sorting or windowing them.
 """
 
 from __future__ import annotations
@@ -37,8 +37,42 @@ def normalize_schema(df: DataFrame) -> DataFrame:
 
 
 def with_kind(lines: DataFrame) -> DataFrame:
-    """Add the kind of each line (mark, blank, text), so that later passes need not read it."""
-    return lines.withColumn("kind", line_kind(F.col("line")))
+    """Add what later passes need to know of a line: its kind, and the header entry it may be.
+
+    ``kind`` is mark, blank or text; ``entry_key`` and ``entry_value`` are NULL unless the line
+    would set a header value if it stood in a header.
+    """
+    kind = line_kind(F.col("line"))
+    key, value = header_key(F.col("line")), header_value(F.col("line"))
+    sets = (F.col("kind") == "mark") & key.isin(HEADER_KEYS) & value.isNotNull()
+    return (
+        lines.withColumn("kind", kind)
+        .withColumn("entry_key", F.when(sets, key))
+        .withColumn("entry_value", F.when(F.col("entry_key").isNotNull(), value))
+    )
+
+
+def header_state(lines: DataFrame) -> DataFrame:
+    """What decides about headers, in one aggregate: source_file, block, key, value, ord.
+
+    A row with NULL ``key`` is where the text lines of a file and block start; every other row is
+    a line that would set a header value. The buffer is one number, so the lines are hashed and
+    combined where they are read; what is left is a row per file and split, and the entries.
+    ``lines`` come from :func:`with_kind`.
+    """
+    entry = F.col("entry_key").isNotNull()
+    return (
+        lines.where((F.col("kind") == "text") | entry)
+        .groupBy(
+            "source_file",
+            "block",
+            F.col("entry_key").alias("key"),
+            F.col("entry_value").alias("value"),
+            F.when(entry, F.col("ord")).alias("entry"),
+        )
+        .agg(F.min("ord").alias("ord"))
+        .drop("entry")
+    )
 
 
 def file_headers(lines: DataFrame, kinds_known: bool = False) -> DataFrame:
@@ -49,36 +83,36 @@ def file_headers(lines: DataFrame, kinds_known: bool = False) -> DataFrame:
     Columns: source_file, data_block, data_ord, TARGET, NAME, FEED, TIMESTAMP. The last
     non-empty value of a key wins. One row per file is small beside the lines of the files, but
     it is not assumed to be: stage it, and the join in :func:`parse_links` follows its size.
+
+    Lines are read once, for :func:`header_state`. Which entries count depends on the first text
+    line of the whole file, so its rows meet their own minimum; both sides read one exchange.
     """
     lines = _with_block(lines)
-    lines = lines if kinds_known else with_kind(lines)
-    starts = _first_position(lines.where(F.col("kind") == "text"), "data")
-    entries = (
-        lines.where(F.col("kind") == "mark")
-        .select(
-            F.col("source_file").alias("entry_file"),
-            F.struct("block", "ord").alias("position"),
-            header_key(F.col("line")).alias("key"),
-            header_value(F.col("line")).alias("value"),
-        )
-        .where(F.col("key").isin(HEADER_KEYS) & F.col("value").isNotNull())
+    state = header_state(lines if kinds_known else with_kind(lines))
+    position = F.struct("block", "ord")
+    starts = (
+        state.groupBy("source_file")
+        .agg(F.min(F.when(F.col("key").isNull(), position)).alias("first"))
+        .where(F.col("first").isNotNull())
     )
-    in_header = F.col("position") < F.struct(
-        F.col("data_block").alias("block"), F.col("data_ord").alias("ord")
-    )
-    # One file may hold most of the entries. They are the side that Spark can split; values are
-    # combined per file before they meet the starts again.
-    values = (
-        entries.join(shuffled_anew(starts), (F.col("source_file") == F.col("entry_file")) & in_header)
-        .groupBy("entry_file")
+    # One file may hold most of the entries. They are the side that Spark can split.
+    in_header = position < F.col("first")
+    return (
+        state.join(shuffled_anew(starts), "source_file")
+        .groupBy("source_file", "first")
         .agg(
             *[
-                F.max_by("value", F.when(F.col("key") == key, F.col("position"))).alias(key)
+                F.max_by("value", F.when(in_header & (F.col("key") == key), position)).alias(key)
                 for key in HEADER_KEYS
             ]
         )
+        .select(
+            "source_file",
+            F.col("first.block").alias("data_block"),
+            F.col("first.ord").alias("data_ord"),
+            *HEADER_KEYS,
+        )
     )
-    return starts.join(values, F.col("source_file") == F.col("entry_file"), "left").drop("entry_file")
 
 
 def parse_links(

@@ -1,36 +1,65 @@
-"""Previews and samples."""
+"""Previews and samples.
+
+The first ``n`` rows of a table, or of each of its slices, come out of one scan, and no task sees more than
+``n`` rows of each of :data:`DEALS` others: see :func:`first_rows`.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.fixed_values import PREVIEW_ROWS, SAMPLE_ROWS, SAMPLE_SEED, SLICES
+from linkloom.fixed_values import PREVIEW_ROWS, SAMPLE_ROWS, SAMPLE_SEED
 from linkloom.functions import is_orderable, sample_key
-from linkloom.operators.slices import rows_of_slice
+from linkloom.operators.slices import split_slices
+
+#: Over how many tasks the rows that scanning tasks keep are dealt before the last one takes them.
+DEALS = 64
+
+
+def first_rows(df: DataFrame, n: int, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """The first ``n`` rows in the order of some columns, of every group of ``by``, from one scan.
+
+    A task that scans keeps ``n`` rows of each group (Spark limits a group before it is shuffled).
+    What it keeps goes to one of :data:`DEALS` tasks, together; each of those keeps ``n`` again, so
+    that the last task sees ``DEALS`` times ``n`` rows of a group, however many tasks have scanned.
+    Spark limits groups early up to ``spark.sql.optimizer.windowGroupLimitThreshold`` rows. Beyond that
+    a table without groups is sorted with a limit, and groups are numbered whole. NULLs come first.
+    """
+    sorting = [F.asc_nulls_first(f"`{name}`") for name in order]
+    early = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    dealt = df.withColumn("__deal", F.pmod(F.spark_partition_id(), F.lit(DEALS)))
+    for groups in ((*by, "__deal"), by):
+        if groups and n <= early or by:
+            place = F.row_number().over(Window.partitionBy(*groups).orderBy(*sorting))
+            dealt = dealt.withColumn("__place", place).where(F.col("__place") <= n).drop("__place")
+    dealt = dealt.drop("__deal")
+    return dealt if by else dealt.orderBy(*sorting).limit(n)
 
 
 def preview(df: DataFrame, n: int = PREVIEW_ROWS, order_by: Sequence[str] = ()) -> DataFrame:
     """``n`` rows: any, or the first in an order."""
-    if order_by:
-        df = df.orderBy(*[F.asc_nulls_first(c) for c in order_by])
-    return df.limit(n)
+    return first_rows(df, n, order_by) if order_by else df.limit(n)
 
 
-def random_sample(df: DataFrame, n: int = SAMPLE_ROWS, seed: int | None = None) -> DataFrame:
-    """``n`` random rows; the same rows on every run and every layout if a seed is given.
+def _in_random_order(df: DataFrame, seed: int | None) -> tuple[DataFrame, list[str]]:
+    """The rows with what puts them in a random order, and the names of the columns that do.
 
-    Ordering by a digest of the row and keeping the first ``n`` needs a heap of ``n`` rows per
-    task and no sort. Rows of equal digest are ordered by their columns, so that only
-    identical rows can stand in for each other.
+    With a seed that is a digest of the row and the seed. Rows of equal digest are ordered by their
+    columns, so that only identical rows can stand in for each other.
     """
     if seed is None:
-        return df.orderBy(F.rand()).limit(n)
-    ties = [F.asc_nulls_first(f"`{f.name}`") for f in df.schema.fields if is_orderable(f.dataType)]
-    return df.orderBy(sample_key(df.columns, seed), *ties).limit(n)
+        return df.withColumn("__digest", F.rand()), ["__digest"]
+    ties = [f.name for f in df.schema.fields if is_orderable(f.dataType)]
+    return df.withColumn("__digest", sample_key(df.columns, seed)), ["__digest", *ties]
+
+
+def random_sample(df: DataFrame, n: int = SAMPLE_ROWS, seed: int | None = None) -> DataFrame:
+    """``n`` random rows; the same rows on every run and every layout if a seed is given."""
+    rows, order = _in_random_order(df, seed)
+    return first_rows(rows, n, order).drop("__digest")
 
 
 def sample_per_slice(
@@ -38,12 +67,10 @@ def sample_per_slice(
 ) -> DataFrame:
     """Up to ``n`` random rows of every slice: all rows of a slice that has no more.
 
-    One bounded heap per task and slice. Numbering the rows of a slice would instead sort
-    whole slices, of which there are only six. On a table partitioned by slice each branch reads
-    its own partition, so the six branches together scan the table once.
+    The table is scanned once, be it stored by slice or not.
     """
-    samples = [random_sample(rows_of_slice(records, name, stored_slices), n, seed) for name in SLICES]
-    return reduce(DataFrame.unionAll, samples)
+    rows, order = _in_random_order(split_slices(records, stored_slices), seed)
+    return first_rows(rows, n, order, ["slice"]).drop("__digest")
 
 
 def spread_limit(df: DataFrame, n: int) -> DataFrame:

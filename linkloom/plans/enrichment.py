@@ -14,8 +14,10 @@ from linkloom.operators.authority import (
     match_coverage,
 )
 from linkloom.sources import (
+    authority_dump_entries,
     broadcast_if_small,
     read_authority_dump,
+    split_rejects,
     stage,
     staging_area,
     write_table,
@@ -24,12 +26,13 @@ from linkloom.sources import (
 
 @dataclass(frozen=True)
 class Enrichment:
-    """The enriched table as written, and lazy reports on it."""
+    """The enriched table as written, lazy reports on it, and how many lines of the dump were rejected."""
 
     enriched: DataFrame
     coverage: DataFrame
     examples_with_type: DataFrame
     examples_without_type: DataFrame
+    rejected: int = 0
 
 
 def enrich(
@@ -38,9 +41,13 @@ def enrich(
     dump_path: str,
     out_path: str,
     normalize_candidates: bool = False,
+    rejects_path: str | None = None,
 ) -> Enrichment:
     """Add entity types to a merged table and write it.
 
+    A dump with a bad line is an error. With ``rejects_path`` such lines are written there, with the
+    reason, and the others are used.
+
     The type table is staged, so that its size decides whether the merged table has to be
     shuffled to meet it.
     """
@@ -48,8 +55,14 @@ def enrich(
     if "slice" in merged.columns:
         merged = merged.drop("slice")
     candidates = candidate_ids(merged, normalize_candidates)
-    types = authority_types(read_authority_dump(spark, dump_path), candidates)
+    rejected = 0
     with staging_area(spark) as area:
+        if rejects_path is None:
+            dump = read_authority_dump(spark, dump_path)
+        else:
+            entries = authority_dump_entries(spark, dump_path)
+            dump, rejected = split_rejects(entries, rejects_path, area)
+        types = authority_types(dump, candidates)
         types = broadcast_if_small(stage(types, "types", plain=True, area=area))
         write_table(attach_types(merged, types), out_path)
     enriched = spark.read.parquet(out_path)
@@ -58,4 +71,5 @@ def enrich(
         coverage=match_coverage(enriched),
         examples_with_type=examples_per_source(enriched, matched=True),
         examples_without_type=examples_per_source(enriched, matched=False),
+        rejected=rejected,
     )

@@ -1,12 +1,22 @@
 """Sources and sinks. Thin: operators never read or write files themselves."""
 
 from linkloom.sources.json_files import (
+    authority_dump_entries,
+    harvest_metadata_entries,
     read_authority_dump,
     read_harvest_metadata,
     read_source_list,
+    with_times,
 )
 from linkloom.sources.link_dumps import read_lines
-from linkloom.sources.staging import broadcast_if_small, stage, staged_bytes, staging_area, staging_dir
+from linkloom.sources.staging import (
+    broadcast_if_small,
+    split_rejects,
+    stage,
+    staged_bytes,
+    staging_area,
+    staging_dir,
+)
 from linkloom.sources.tables import (
     read_tables,
     samples_path,
@@ -19,17 +29,21 @@ from linkloom.sources.tables import (
 )
 
 __all__ = [
+    "authority_dump_entries",
     "broadcast_if_small",
+    "harvest_metadata_entries",
     "read_authority_dump",
     "read_harvest_metadata",
     "read_lines",
     "read_source_list",
     "read_tables",
     "samples_path",
+    "split_rejects",
     "stage",
     "staged_bytes",
     "staging_area",
     "staging_dir",
+    "with_times",
     "write_records",
     "write_report",
     "write_samples",

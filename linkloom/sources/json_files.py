@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from linkloom import schemas
+from linkloom.operators.rejects import json_elements, json_entries
 
 
 def _existing(load, path: str) -> DataFrame:
@@ -46,8 +47,11 @@ def read_harvest_metadata(spark: SparkSession, path: str, parse_time: bool = Tru
     by_line = path.removesuffix(".gz").endswith(".jsonl")
     reader = spark.read.schema(schemas.HARVEST_METADATA).options(multiLine=not by_line, mode="FAILFAST")
     metadata = _existing(lambda: reader.json(path), path)
-    if not parse_time:
-        return metadata
+    return with_times(metadata) if parse_time else metadata
+
+
+def with_times(metadata: DataFrame) -> DataFrame:
+    """Download times as timestamps, NULL if they are none, and their text beside them."""
     return metadata.withColumns(
         {
             "download_time_utc": F.col("download_time_utc").try_cast("timestamp"),
@@ -63,3 +67,28 @@ def read_authority_dump(spark: SparkSession, path: str) -> DataFrame:
     """
     reader = spark.read.schema(schemas.AUTHORITY_DUMP).option("mode", "FAILFAST")
     return _existing(lambda: reader.json(path), path)
+
+
+def harvest_metadata_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Harvest metadata element by element: ``source_file, list_index, line, entry, reason``.
+
+    Here a bad element costs only itself; ``accepted`` and ``rejected`` tell them apart.
+    """
+    by_line = path.removesuffix(".gz").endswith(".jsonl")
+    text = _existing(lambda: spark.read.text(path, wholetext=not by_line), path)
+    text = text.select(F.col("_metadata.file_path").alias("source_file"), "value")
+    if by_line:
+        lines = text.select("source_file", F.lit(None).cast("int").alias("list_index"), F.col("value").alias("line"))
+    else:
+        lines = json_elements(text)
+    return json_entries(lines, schemas.HARVEST_METADATA)
+
+
+def authority_dump_entries(spark: SparkSession, path: str) -> DataFrame:
+    """An authority dump line by line: ``source_file, line, entry, reason``.
+
+    Here a bad line costs only itself; ``accepted`` and ``rejected`` tell them apart.
+    """
+    text = _existing(lambda: spark.read.text(path), path)
+    lines = text.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"))
+    return json_entries(lines, schemas.AUTHORITY_DUMP)

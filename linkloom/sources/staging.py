@@ -8,12 +8,15 @@ goes by.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.operators.counts import PassCounts
+from linkloom.operators.rejects import accepted, rejected
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -38,7 +41,13 @@ def staging_area(spark: SparkSession) -> Iterator[str]:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, name: str, plain: bool = False, area: str | None = None) -> DataFrame:
+def stage(
+    df: DataFrame,
+    name: str,
+    plain: bool = False,
+    area: str | None = None,
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
     """Write ``df`` to the shared folder, or the area in it, and return the written table.
 
     ``plain`` leaves out compression and dictionaries, for tables that may be broadcast: their
@@ -51,10 +60,25 @@ def stage(df: DataFrame, name: str, plain: bool = False, area: str | None = None
             "compression": "uncompressed" if plain else "zstd",
             "parquet.enable.dictionary": str(not plain).lower(),
         }
-    ).parquet(path)
+    ).partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def split_rejects(entries: DataFrame, rejects_path: str, area: str) -> tuple[DataFrame, int]:
+    """The fields of the entries, and how many lines were rejected; those are written to ``rejects_path``.
+
+    ``entries`` come from ``json_entries``. Lines are read and parsed once: both kinds are staged, each
+    in a folder of its own, and counted on the way.
+    """
+    fine = F.col("reason").isNull()
+    passing = PassCounts()
+    watched = passing.watch(entries.withColumn("fine", fine), "lines", rejected=F.count_if(~fine))
+    staged = stage(watched, "entries", area=area, partition_by=["fine"])
+    bad = rejected(staged.where(~F.col("fine"))).drop("fine")
+    bad.write.mode("overwrite").option("ignoreNullFields", "false").json(rejects_path)
+    return accepted(staged.where("fine")), passing["lines"]["rejected"]
+
+
 def staged_bytes(staged: DataFrame) -> int:
     """Size of the files of a staged table."""
     files = staged.select("_metadata.file_path", "_metadata.file_size").distinct()

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from linkloom.operators.parsing import (
     file_headers,
     header_ends,
+    header_state,
     normalize_schema,
     parse_links,
     raw_parts,
@@ -110,6 +111,24 @@ def test_order_is_by_block_then_line(spark):
     assert got == {("first", "1"), ("first", "#NAME: late")}
 
 
+def test_entries_after_the_first_text_line_of_any_block_count_for_nothing(spark):
+    rows = [("f", 0, 1, "#NAME: a"), ("f", 0, 2, "#NAME: b"), ("f", 0, 9, "#NAME: c"), ("f", 0, 5, "1"),
+            ("f", 50, 0, "#NAME: d"), ("f", 50, 1, "#FEED: e"), ("f", 70, 1, "2"), ("f", 70, 0, "#TARGET: t"),
+            ("g", 0, 3, "#NAME: g0"), ("g", 50, 0, "#NAME: g1"), ("g", 90, 4, "#NAME: g2"), ("g", 90, 6, "3")]
+    lines = spark.createDataFrame(rows, "source_file string, block bigint, ord bigint, line string")
+    got = {r.source_file: (r.data_block, r.data_ord, r.NAME, r.FEED, r.TARGET) for r in file_headers(lines).collect()}
+    assert got == {"f": (0, 5, "b", None, None), "g": (90, 6, "g2", None, None)}
+
+
+def test_header_state_is_a_row_per_split_and_entry(spark):
+    """Late entries are rows of their own; text lines, however many, are one per file and block."""
+    lines = spark.range(0, 20_000, 1, 4).selectExpr(
+        "concat('f', id % 3) AS source_file", "id % 2 AS block", "id AS ord",
+        "CASE WHEN id >= 19990 THEN '#NAME: late' WHEN id % 7 = 0 THEN '#x' ELSE 'a|b' END AS line",
+    )
+    assert header_state(with_kind(lines)).count() == 3 * 2 + 10
+
+
 def test_raw_parts(spark):
     lines = lines_of(
         spark,

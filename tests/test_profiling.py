@@ -93,12 +93,20 @@ def test_random_sample_is_the_same_on_every_layout(spark):
     assert random_sample(df, 1000, 1).count() == 500
 
 
-def test_samples_are_heaps_not_sorts(spark, plan):
-    some = F.when(F.rand() < 0.5, F.col("id").cast("string"))
+def test_samples_are_limited_where_rows_are_scanned(spark, plan):
+    """The rows of a slice are limited in every task before any is moved, and again before the last."""
+    some = F.when(F.rand() > 0.5, "x")
     df = spark.range(100).select(*[some.alias(c) for c in ("TARGET", "col1", "col2", "col3")])
-    text = plan(sample_per_slice(df, 10))
-    assert text.count("TakeOrderedAndProject") >= 6
-    assert "Sort " not in text
+    tree = plan(sample_per_slice(df, 10)).split("\n\n")[0]
+    assert tree.count("WindowGroupLimit") == 4 and tree.count("Exchange") == 2
+    assert tree.rindex("WindowGroupLimit") > tree.rindex("Exchange")
+
+
+def test_large_samples_are_whole(spark):
+    df = spark.range(5000).selectExpr("cast(id AS string) AS TARGET", "'a' AS col1", "'b' AS col2", "cast(NULL AS string) AS col3")
+    assert random_sample(df, 3000, seed=1).distinct().count() == 3000
+    assert sample_per_slice(df, 3000).distinct().count() == 3000
+    assert random_sample(df, 9000, seed=1).count() == 5000
 
 
 def test_sample_per_slice_takes_small_slices_whole(spark):

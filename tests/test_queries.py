@@ -58,11 +58,34 @@ def test_query_equals_oracle_with_sort_merge_and_split_keys(spark, settings, duc
     assert rows_of_spark(QUERIES[name](spark, SF_DIR)) == rows_of_duckdb(duck, ORACLES[name])
 
 
+#: Samples number rows, but only those that a limit has left of every group.
+LIMITED = ["preview", "random_sample", "sample_per_slice"]
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_query_pairs_rows_or_numbers_them(spark, plan, name):
     text = plan(QUERIES[name](spark, SF_DIR))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "PythonUDF"):
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF"):
         assert operator not in text
+    if name not in LIMITED:
+        assert "Window" not in text
+
+
+@pytest.mark.parametrize("name", LIMITED)
+def test_samples_are_limited_before_rows_are_shuffled(spark, plan, name):
+    tree = plan(QUERIES[name](spark, SF_DIR)).split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1
+    levels = [word for word in tree.replace("(", " ").split() if word in ("WindowGroupLimit", "Exchange")]
+    # The lowest exchange has a limit below it.
+    assert levels[-1] == "WindowGroupLimit"
+
+
+@pytest.mark.parametrize(("name", "scans"), [("file_headers", 1), ("parse_links", 2), ("parse_links_wide", 2)])
+def test_lines_are_scanned_once_for_headers_and_once_for_data(spark, plan, name, scans):
+    df = QUERIES[name](spark, SF_DIR)
+    df.collect()
+    final = plan(df).split("+- == Initial Plan ==")[0]
+    assert final.count("Scan parquet") == scans
 
 
 def test_entry_is_the_merged_table(spark):
