@@ -62,6 +62,7 @@ LAST = 2**63 - 1
 HOT = 32
 FLUSH = 4_000_000
 WIDTH = 5
+SETS_BYTES = 24 << 20  # sets of points that are sent to every executor, at most
 
 
 def block_shingles(block: Block, words: int = WORDS) -> list[np.ndarray]:
@@ -296,13 +297,19 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """``a, b, common, total`` (sizes of intersection and union) of pairs of points.
 
-    Only sets of points in a pair move. Pairs are dealt by both ends in turn; Spark splits the
-    joins where one end is in many pairs.
+    Only sets of points in a pair move. In a large family each is in many pairs: sets that take up to
+    ``SETS_BYTES`` together, as measured, go to all executors once, and pairs, a few bytes each, are dealt
+    evenly. Beyond that pairs are dealt by both ends in turn, and Spark splits the joins where one
+    end is in many pairs.
     """
     involved = pairs.select(F.col("a").alias("point")).union(pairs.select("b")).distinct()
-    sets = points.select("point", "size", "shared").join(involved, "point", "left_semi")
+    sets = durable(points.select("point", "size", "shared").join(involved, "point", "left_semi"))
     left = sets.select(F.col("point").alias("a"), F.col("size").alias("size_a"), F.col("shared").alias("shared_a"))
     right = sets.select(F.col("point").alias("b"), F.col("size").alias("size_b"), F.col("shared").alias("shared_b"))
+    weight = sets.agg(F.sum(F.length("shared") + 64).alias("bytes")).first().bytes or 0
+    if weight <= SETS_BYTES:
+        left, right = F.broadcast(left), F.broadcast(right)
+        pairs = pairs.repartitionByRange(partitions(pairs.sparkSession), "b", "a").sortWithinPartitions("b")
     met = pairs.join(left, "a").join(right, "b").select("a", "b", "size_a", "size_b", "shared_a", "shared_b")
     return met.mapInArrow(_overlaps, "a long, b long, size_a long, size_b long, common long").select(
         "a", "b", "common", (F.col("size_a") + F.col("size_b") - F.col("common")).alias("total")
