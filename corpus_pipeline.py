@@ -1,7 +1,15 @@
-"""From raw documents to token ids: five stages, each over all that the one before it kept."""
+"""From raw documents to token ids: five stages, each over all that the one before it kept.
+
+Cases: a null or empty text has fewer words than the base rule asks for, and goes with the first
+stage, as do texts of white space alone; every later stage still has a result for them. Repeated rows and exact
+copies are one group of near duplicates, of which one row stays, also where ids are null or repeated. Further
+columns are kept to the end. An empty table gives an empty result with the same columns.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +18,7 @@ from linkloom.llm.line_dedup import dedup_lines
 from linkloom.llm.mixing import mixed_documents
 from linkloom.llm.quality_rules import filter_documents
 from linkloom.llm.sentencepiece_codec import encode_documents, read_model
-from linkloom.llm.tables import table
+from linkloom.llm.tables import shared_folder, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +60,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; what a stage keeps is written to the shared folder and read back.
+
+    A stage is therefore computed once, however often the next one reads it, and a lost executor
+    costs none of the stages before. The last stage is left to the caller to run.
+    """
+    folder = f"{shared_folder(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            path = f"{folder}/{number}"
+            docs.write.option("compression", "zstd").parquet(path)
+            docs = spark.read.schema(docs.schema).parquet(path)
     return docs
