@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import fixtures
+from catalog.round_trips import ROUND_TRIPS
 from linkloom import schemas
 from linkloom.fixed_values import RESOLVABLE_SLICES
 from linkloom.functions import bare_id, entity_type, safe_prefix
@@ -326,3 +327,9 @@ def random_sample(spark, sf):
 @register
 def sample_per_slice(spark, sf):
     return sampling.sample_per_slice(fixtures.records(spark, sf), 100, seed=42)
+
+
+# ---- readers and sinks ---------------------------------------------------------------------------
+
+for query in ROUND_TRIPS:
+    register(query)

@@ -101,20 +101,13 @@ def match_coverage(enriched: DataFrame) -> DataFrame:
 def examples_per_source(enriched: DataFrame, matched: bool, n: int = EXAMPLE_ROWS) -> DataFrame:
     """One example row per source, with or without a type, for the first ``n`` sources.
 
-    The example is the smallest row. The sources are found first, from one column and by
-    hashing; the minimum, for which a task sorts its rows, then sees those of ``n`` sources. It
-    combines before the shuffle, where a row number would bring all records of a source to one task.
+    The example is the smallest row. The minimum combines before the shuffle, where a row number
+    would bring all records of a source to one task; sources are limited after it, so that an
+    enriched table that is not stored is computed once.
     """
     state = F.col("gnd_type").isNotNull() if matched else F.col("gnd_type").isNull()
-    rows = enriched.where(state)
-    first = (
-        rows.select(F.col("beacon_uri").alias("chosen"))
-        .distinct()
-        .orderBy(F.asc_nulls_first("chosen"))
-        .limit(n)
-    )
     return (
-        rows.join(F.broadcast(first), F.col("beacon_uri").eqNullSafe(F.col("chosen")), "left_semi")
+        enriched.where(state)
         .groupBy("beacon_uri")
         .agg(F.min(F.struct("authority_id", "gnd_type", "gnd_type_list")).alias("example"))
         .select("example.*", "beacon_uri")
