@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from catalog import fixtures
 from linkloom import sources
 from linkloom.fixed_values import SLICES
-from linkloom.operators import authority, manifest, matching, metadata, parsing, profiling, resolution, sampling
+from linkloom.operators import authority, manifest, matching, metadata, parsing, profiling, resolution, sampling, sketches
 from linkloom.plans import merged_links
 
 
@@ -124,7 +124,26 @@ def inspection(spark, sf):
     return found.columns.join(stats, "ordinal")
 
 
+def distinct_by_sketches(spark, sf):
+    """Distinct values over all runs, from stored sketches of each, beside the exact numbers."""
+    path, records = folder(spark), fixtures.records_of_runs(spark, sf)
+    sources.write_table(sketches.distinct_sketches(records, ["run_id"]), path)
+    merged = sketches.distinct_counts(sketches.merge_sketches(sources.read_tables(spark, path)))
+    names = [c for c in records.columns if c != "run_id"]
+    exact = records.agg(*[F.count_distinct(F.col(c)).alias(c) for c in names])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_count")) for c in names]
+    error = F.abs(F.col("approx_distinct") - F.col("distinct_count"))
+    return merged.join(exact.select(F.inline(F.array(*rows))), "column_name").select(
+        "column_name",
+        "row_count",
+        "null_count",
+        "distinct_count",
+        (error <= 3 * 1.04 / 2 ** (sketches.PRECISION / 2) * F.col("distinct_count")).alias("within_three_errors"),
+    )
+
+
 ROUND_TRIPS = (
+    distinct_by_sketches,
     written_records,
     written_slices,
     written_table,
