@@ -139,8 +139,12 @@ def test_null_tests_reach_the_scan(spark, plan, tmp_path):
 def test_stored_slices_prune_partitions(spark, plan, tmp_path):
     path = str(tmp_path / "slices.parquet")
     split_slices(records(spark, *ALL)).write.partitionBy("slice").parquet(path)
-    text = plan(sample_per_slice(spark.read.parquet(path), 1, stored_slices=True))
-    assert text.count("PartitionFilters: [isnotnull(slice") == 6
+    stored = spark.read.parquet(path)
+    # Samples of all slices are one scan, and each partition is read once in it.
+    text = plan(sample_per_slice(stored, 1, stored_slices=True))
+    assert text.count("PartitionFilters: [isnotnull(slice") == 1 and text.split("\n\n")[0].count("Scan parquet") == 1
+    one = plan(rows_of_slice(stored, SLICES[0], stored=True))
+    assert "(slice#" in one and f"= {SLICES[0]})" in one.split("PartitionFilters")[1].split("\n")[0]
 
 
 def test_merge_aligns_to_the_first_table(spark):
