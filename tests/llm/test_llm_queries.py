@@ -54,3 +54,38 @@ def test_pipeline(spark, tmp_path):
     library = sentencepiece.SentencePieceProcessor(model_proto=read_model())
     for r in docs.collect():
         assert list(r.token_ids) == library.encode(r.text) and r.n_tokens == len(r.token_ids)
+
+
+def test_pipeline_computes_every_stage_once(spark, tmp_path, monkeypatch):
+    rows = spark.sparkContext.accumulator(0)
+
+    def counted(spark, docs, sf_dir):
+        def passing(batches):
+            for batch in batches:
+                rows.add(batch.num_rows)
+                yield batch
+
+        # A stage that reads what it gets twice.
+        return docs.mapInArrow(passing, docs.schema).join(docs.select("doc_id"), "doc_id")
+
+    spark.range(50).withColumnRenamed("id", "doc_id").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", counted), ("second", counted), ("third", counted)])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 50
+    assert rows.value == 3 * 50
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_of_hostile_rows_and_of_none(spark, hostile, tmp_path, empty):
+    docs = hostile.where("false") if empty else hostile
+    docs = docs.drop("token_ids")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.createDataFrame([(14, 1, 0), (15, 0, 0), (None, 1, None), (14, None, 1)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    result = corpus_pipeline.run(spark, str(tmp_path))
+    rows = result.collect()
+    assert result.columns == [*docs.columns, "token_ids", "n_tokens"]
+    assert all(len(r.token_ids) == r.n_tokens > 0 and r.text for r in rows)
+    # Two long copies, and two texts near to one another: one of each stays, however often the mix takes it.
+    stay = {r.doc_id for r in rows}
+    assert (stay == set()) == empty and not {14, 15} <= stay and not {1, 8} <= stay
+    assert stay.isdisjoint({3, 4, 5, 6, 7, 13})
