@@ -129,8 +129,8 @@ def nearest(
     is_query: Column,
     k: int = 20,
     pivots: int = 128,
-    listed: int = 64,
-    asked: int = 32,
+    listed: int = 128,
+    asked: int = 64,
     reranked: float = 0.35,
     shard: int = 8192,
     queries: int = 4096,
