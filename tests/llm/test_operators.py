@@ -507,3 +507,12 @@ def test_recall(spark, shard):
     found = {(r.query_id, r.vec_id) for r in got.collect()}
     expected = {(q, i) for q, _, i, _ in exact(rows, lambda q: q % 20 == 0, 20)}
     assert len(found) == len(expected) and len(found & expected) >= 0.9 * len(expected)
+
+
+def test_recall_of_the_query(spark):
+    """The registered query, with its own shard and numbers of pivots."""
+    data = "/root/testdata/sf0.1"
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{data}/embeddings.parquet").collect()]
+    found = {(r.query_id, r.vec_id) for r in catalog.QUERIES["op10_permutation_index"](spark, data).collect()}
+    expected = {(q, i) for q, _, i, _ in exact(rows, lambda q: q % 20 == 0, 20)}
+    assert len(found) == len(expected) and len(found & expected) >= 0.95 * len(expected)
