@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from linkloom.fixed_values import RESOLVABLE_SLICES
 from linkloom.plans import aggregate, enrich, ingest
@@ -202,3 +203,45 @@ def test_ingest_again_replaces_the_run(spark, tmp_path):
     assert ingest(spark, str(folder), target, "r1").count() == 1
     assert ingest(spark, str(folder), target, "r2").count() == 1
     assert spark.read.parquet(target).count() == 2
+
+
+def test_bad_lines_are_kept_aside_and_the_others_used(spark, workspace, tmp_path):
+    metadata = json.loads((workspace / "dumps" / "harvest.json").read_text())
+    listed = tmp_path / "harvest.json"
+    listed.write_text(json.dumps([*metadata, {"url": "x", "size_bytes": "many"}, 5]))
+    run = aggregate(spark, f"{workspace}/dumps", str(listed), str(tmp_path / "out"), "r",
+                    check_metadata=True, check_counts=True, rejects_path=str(tmp_path / "bad-metadata"))
+    assert (run.rejected_metadata, run.records, run.without_metadata) == (2, 8, 2)
+    with pytest.raises(Exception, match="size_bytes|MALFORMED|malformed"):
+        aggregate(spark, f"{workspace}/dumps", str(listed), str(tmp_path / "strict"), "r")
+
+    dump = tmp_path / "dump.jsonl"
+    dump.write_text((workspace / "dump.jsonl").read_text() + '\n{"id": "cut\n{"id": "t", "type": "Person"}\n')
+    result = enrich(spark, run.merged_path, str(dump), str(tmp_path / "typed"), rejects_path=str(tmp_path / "bad-lines"))
+    assert result.rejected == 2
+    reasons = {r.reason for r in spark.read.json(str(tmp_path / "bad-lines")).collect()}
+    assert reasons == {"malformed", "wrong type"}
+    typed = {(r.authority_id, r.gnd_type) for r in result.enriched.collect() if r.gnd_type}
+    plain = enrich(spark, run.merged_path, f"{workspace}/dump.jsonl", str(tmp_path / "plain"))
+    assert typed == {(r.authority_id, r.gnd_type) for r in plain.enriched.collect() if r.gnd_type} != set()
+
+
+def test_counting_while_records_pass_reads_them_once(spark, plan):
+    """The join is watched where it is: the plan of what is written has one scan of the records."""
+    from linkloom.operators.counts import PassCounts
+    from linkloom.operators.metadata import attach_metadata
+    from linkloom.operators.parsing import normalize_schema
+    from linkloom.operators.resolution import resolve_links
+
+    rows = [("f", "T", "1", None, None), ("g", None, "2", "http://a/b", None)]
+    schema = "source_file string, TARGET string, col1 string, col2 string, col3 string"
+    records = normalize_schema(spark.createDataFrame(rows * 5, schema))
+    metadata = spark.createDataFrame([("f", "u", "t"), ("f", "v", "t")], "path string, url string, download_time_utc string")
+    passing = PassCounts()
+    joined = passing.watch(attach_metadata(passing.watch(records, "records"), metadata, flag="listed"), "joined", listed=F.count_if("listed"))
+    result = resolve_links(joined.drop("listed"))
+    tree = plan(result).split("\n\n")[0]
+    assert tree.count("CollectMetrics") == 2 and tree.count("Scan ExistingRDD") == 2
+    result.write.format("noop").mode("overwrite").save()
+    assert passing["records"]["rows"] == 10
+    assert passing["joined"] == {"rows": 15, "listed": 10}
