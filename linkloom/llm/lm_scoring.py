@@ -46,13 +46,25 @@ TARGET, WORDS, PAIRS, TABLE = range(4)
 
 
 def _packed(values: np.ndarray) -> bytes:
-    body = np.ascontiguousarray(values).tobytes()
+    """Compressed by planes: first bytes of all numbers, then second ones, so that equal upper bytes lie together."""
+    values = np.ascontiguousarray(values).ravel()
+    body = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
     return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
 
 
 def _unpacked(body: bytes, kind: type) -> np.ndarray:
     size = int.from_bytes(body[:8], "little")
-    return np.frombuffer(pa.decompress(body[8:], size, codec="zstd", asbytes=True), kind)
+    planes = np.frombuffer(pa.decompress(body[8:], size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _packed_sorted(keys: np.ndarray) -> bytes:
+    """Sorted hashes as differences, whose upper bytes are zero."""
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpacked_sorted(body: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(body, np.uint64), dtype=np.uint64)
 
 
 def _arrow(schema: str, rows: list[tuple]) -> pa.RecordBatch:
@@ -76,8 +88,8 @@ def token_blocks(docs: DataFrame) -> DataFrame:
             ids = block.rows.column("doc_id")
             known = ids.is_valid().to_numpy(zero_copy_only=False)
             ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
-            parts = (ids.astype(np.int64), known, found.counts.astype(np.int64), words, codes.astype(np.int32))
-            yield _arrow(TOKENS, [(block_id, *map(_packed, parts))])
+            ids, known, sizes = map(_packed, (ids.astype(np.int64), known, found.counts.astype(np.int64)))
+            yield _arrow(TOKENS, [(block_id, ids, known, sizes, _packed_sorted(words), _packed(codes.astype(np.int32)))])
             block_id += 1
 
     conf = docs.sparkSession.conf
@@ -119,10 +131,11 @@ def _order(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _asked(block: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> list[tuple]:
+    """Rows of :data:`ASKED`; the bucket is the remainder of its keys, of which the quotients travel."""
     order, edges = _order(keys, buckets)
-    keys, counts = keys[order], counts[:, order]
+    keys, counts = keys[order] // np.uint64(buckets), counts[:, order]
     return [
-        (int(b), block, _packed(keys[edges[b] : edges[b + 1]]), _packed(counts[:, edges[b] : edges[b + 1]]))
+        (int(b), block, _packed_sorted(keys[edges[b] : edges[b + 1]]), _packed(counts[:, edges[b] : edges[b + 1]]))
         for b in np.flatnonzero(np.diff(edges))
     ]
 
@@ -136,12 +149,12 @@ def _answered(keys: np.ndarray, news: list[tuple[int, bytes]], columns: int, buc
     return out
 
 
-def answers(asked: DataFrame, kind: int, columns: int) -> DataFrame:
+def answers(asked: DataFrame, kind: int, columns: int, buckets: int) -> DataFrame:
     """:data:`NEWS` with the totals that each block asked for; of words also each bucket's table."""
 
     def add(group: pa.Table) -> pa.Table:
         bucket, blocks_ = group.column("bucket")[0].as_py(), group.column("block").to_pylist()
-        parts = [_unpacked(x.as_py(), np.uint64) for x in group.column("keys")]
+        parts = [_unpacked_sorted(x.as_py()) * np.uint64(buckets) + np.uint64(bucket) for x in group.column("keys")]
         counts = np.concatenate(
             [_unpacked(x.as_py(), np.int64).reshape(columns, -1) for x in group.column("counts")], axis=1
         )
@@ -214,9 +227,10 @@ class _Texts:
     """A block's tokens, with what it was told."""
 
     def __init__(self, tokens: pa.Table, news: pa.Table, buckets: int):
-        kinds = {"ids": np.int64, "known": bool, "sizes": np.int64, "words": np.uint64, "codes": np.int32}
+        kinds = {"ids": np.int64, "known": bool, "sizes": np.int64, "codes": np.int32}
         for name, kind in kinds.items():
             setattr(self, name, _unpacked(tokens.column(name)[0].as_py(), kind))
+        self.words = _unpacked_sorted(tokens.column("words")[0].as_py())
         self.block, self.buckets = tokens.column("block")[0].as_py(), buckets
         self.news = {kind: [] for kind in (TARGET, WORDS, PAIRS)}
         for kind, place, body in zip(*(news.column(c).to_pylist() for c in ("kind", "place", "body")), strict=True):
@@ -294,10 +308,10 @@ def lm_scores(docs: DataFrame, targets: DataFrame, size: int | None = None, min_
     def table_of(rows: list[tuple]) -> pa.Table:
         return pa.Table.from_batches([_arrow(ASKED, rows)])
 
-    words = durable(answers(told(news, lambda x: table_of(x.asked_words()), ASKED), WORDS, 4))
+    words = durable(answers(told(news, lambda x: table_of(x.asked_words()), ASKED), WORDS, 4, buckets))
     vocab = vocabulary(words, min_count, size)
     news = news.union(words.where(F.col("kind") == WORDS))
-    pairs = answers(told(news, lambda x: table_of(x.asked_pairs(vocab)), ASKED), PAIRS, 2)
+    pairs = answers(told(news, lambda x: table_of(x.asked_pairs(vocab)), ASKED), PAIRS, 2, buckets)
     return told(
         news.union(pairs),
         lambda x: x.scores(vocab),

@@ -182,6 +182,10 @@ def test_forest_isolates_what_lies_apart():
 # --- LM scoring
 
 
+#: Share of pairs of a good and a bad held-out document that the score ranks rightly, at least.
+LM_RANKED = 0.9
+
+
 def model_by_hand(texts, vocab, weight=0.7, added=0.5):
     uni, pair, context = Counter(), Counter(), Counter()
     for text in texts:
@@ -248,6 +252,27 @@ def test_lm_scores_tell_good_from_bad_held_out(spark):
     assert mean[1] < mean[0]
 
 
+def test_lm_scores_rank_held_out_labels_at_production_settings(spark):
+    """A good document of the odd ids is below a bad one in how many of all such pairs."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    scores = lm_scoring.lm_scores(docs, labels.where("quality = 1 and doc_id % 2 = 0"))
+    rows = scores.join(labels.where("doc_id % 2 = 1"), "doc_id").where("n_words > 0").select("quality", "difference").toPandas()
+    good, bad = (np.sort(rows.difference[rows.quality == q]) for q in (1, 0))
+    ranked = np.searchsorted(good, bad).sum() / (len(good) * len(bad))
+    assert ranked > LM_RANKED, ranked
+
+
+@pytest.mark.parametrize("n", [0, 1, 1000])
+def test_lm_packing_comes_back(n):
+    rng = np.random.default_rng(n)
+    keys = np.sort(rng.integers(0, 2**64, n, np.uint64))
+    assert (lm_scoring._unpacked_sorted(lm_scoring._packed_sorted(keys)) == keys).all()
+    for kind in (np.int64, np.int32, bool):
+        values = rng.integers(0, 2, (2, n)).astype(kind) * kind(-5 if kind is not bool else 1)
+        assert (lm_scoring._unpacked(lm_scoring._packed(values), kind).reshape(2, -1) == values).all()
+
+
 def test_lm_scores_of_nothing_and_without_targets(spark, hostile):
     none = spark.createDataFrame([], "doc_id long")
     assert lm_scoring.lm_scores(hostile.limit(0), none).count() == 0
