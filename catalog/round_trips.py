@@ -15,7 +15,7 @@ from catalog import fixtures
 from linkloom import sources
 from linkloom.fixed_values import SLICES
 from linkloom.operators import authority, manifest, matching, metadata, parsing, profiling, resolution, sampling, sketches
-from linkloom.plans import merged_links
+from linkloom.plans import ingest_changes, merged_links, update_profiles
 
 
 def folder(spark: SparkSession) -> str:
@@ -92,21 +92,47 @@ def dump_file(spark, sf):
     return types.withColumn("gnd_type_list", F.array_join("gnd_type_list", ","))
 
 
-def dump_files(spark, sf):
-    """Records parsed from a folder of gzipped dumps, one for every remainder of customers."""
-    path = folder(spark)
+def _land_dumps(spark: SparkSession, sf: str, target: str, which: str) -> None:
+    """Put gzipped dumps into a folder, one for every remainder ``f`` of customers; ``which`` selects orders."""
     orders = fixtures.table(spark, sf, "orders").selectExpr("o_custkey % 24 AS f", "o_orderkey + 10 AS n", "concat(o_orderkey, '| ', o_custkey) AS value")
+    orders = orders.where(which)
     head = "named_struct('n', {n}L, 'value', {value})"
-    header = ["concat('#NAME: src', id)", "'#TARGET: http://t.example/{ID}'", "''"]
+    header = ["concat('#NAME: src', f)", "'#TARGET: http://t.example/{ID}'", "''"]
     heads = ", ".join(head.format(n=n, value=value) for n, value in enumerate(header))
-    heads = spark.range(24).selectExpr("id AS f", f"inline(array({heads}))")
+    heads = orders.select("f").distinct().selectExpr("f", f"inline(array({heads}))")
     lines = orders.unionByName(heads).repartition(24, "f").sortWithinPartitions("f", "n")
-    lines.select("f", "value").write.partitionBy("f").option("compression", "gzip").text(f"{path}/by-file")
-    _flatten(spark, f"{path}/by-file", f"{path}/dumps")
-    lines = sources.read_lines(spark, f"{path}/dumps", source_dir="data/beacons")
+    by_file = folder(spark)
+    lines.select("f", "value").write.partitionBy("f").option("compression", "gzip").text(by_file)
+    _flatten(spark, by_file, target)
+
+
+def dump_files(spark, sf):
+    """Records parsed from a folder of gzipped dumps, one for every remainder of customers."""
+    path = f"{folder(spark)}/dumps"
+    _land_dumps(spark, sf, path, "true")
+    lines = sources.read_lines(spark, path, source_dir="data/beacons")
     return parsing.normalize_schema(parsing.parse_links(lines))
 
 
+def changed_dumps(spark, sf):
+    """The same records after two runs: between them a third of the dumps grows, another third arrives."""
+    path = folder(spark)
+    _land_dumps(spark, sf, f"{path}/dumps", "f % 3 = 2 OR f % 3 = 1 AND n % 2 = 0")
+    arguments = {"source_dir": "data/beacons", "staging": f"{path}/staging"}
+    ingest_changes(spark, f"{path}/dumps", f"{path}/records", "run 1", **arguments)
+    _land_dumps(spark, sf, f"{path}/dumps", "f % 3 < 2")
+    return ingest_changes(spark, f"{path}/dumps", f"{path}/records", "run 2", **arguments)
+
+
+def profile_by_files(spark, sf):
+    """The profile of a table that has got a second run since it was first profiled."""
+    path, records = folder(spark), fixtures.records(spark, sf)
+    for run, rows in (("run 1", "source_file < 'data/beacons/fx/0012'"), ("run 2", "source_file >= 'data/beacons/fx/0012'")):
+        sources.write_records(records.where(rows), f"{path}/table", run)
+        profile = update_profiles(spark, f"{path}/table", f"{path}/profiles")
+    return profile.where("column_name <> 'run_id'").drop("approx_distinct")
+
+
 def _flatten(spark: SparkSession, by_file: str, target: str) -> None:
     """Give the one file of every folder ``f=<n>`` the name of a landed dump, all in one folder."""
     path_of = spark._jvm.org.apache.hadoop.fs.Path
@@ -114,7 +140,9 @@ def _flatten(spark: SparkSession, by_file: str, target: str) -> None:
     files.mkdirs(path_of(target))
     for part in files.globStatus(path_of(f"{by_file}/f=*/part-*")):
         number = part.getPath().getParent().getName().removeprefix("f=")
-        files.rename(part.getPath(), path_of(f"{target}/{int(number):04d}_beacon.txt.gz"))
+        landed = path_of(f"{target}/{int(number):04d}_beacon.txt.gz")
+        files.delete(landed, False)
+        files.rename(part.getPath(), landed)
 
 
 def inspection(spark, sf):
@@ -153,5 +181,7 @@ ROUND_TRIPS = (
     metadata_file,
     dump_file,
     dump_files,
+    changed_dumps,
+    profile_by_files,
     inspection,
 )

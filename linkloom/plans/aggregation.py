@@ -2,30 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.fixed_values import RESOLVABLE_SLICES, SAMPLE_ROWS, SAMPLE_SEED, SKIPPED_SUFFIXES
+from linkloom.fixed_values import RESOLVABLE_SLICES, SAMPLE_ROWS, SAMPLE_SEED
 from linkloom.operators.counts import PassCounts, compare_counts
 from linkloom.operators.matching import match_sources
 from linkloom.operators.metadata import attach_metadata, key_uniqueness
-from linkloom.operators.parsing import file_headers, normalize_schema, parse_links, with_kind
 from linkloom.operators.resolution import resolve_links
 from linkloom.operators.sampling import sample_per_slice
+from linkloom.plans.harvest import ingest, ingest_changes
 from linkloom.sources import (
     broadcast_if_small,
     harvest_metadata_entries,
     read_harvest_metadata,
-    read_lines,
     read_source_list,
     split_rejects,
     stage,
     staging_area,
     with_times,
-    write_records,
     write_report,
     write_slice_samples,
     write_slices,
@@ -37,38 +34,6 @@ def merged_links(records: DataFrame, metadata: DataFrame) -> DataFrame:
     return resolve_links(attach_metadata(records, metadata)).drop("slice")
 
 
-def ingest(
-    spark: SparkSession,
-    dumps_dir: str,
-    records_path: str,
-    run_id: str,
-    skip_suffixes: Sequence[str] = SKIPPED_SUFFIXES,
-    source_dir: str | None = None,
-) -> DataFrame:
-    """Parse a folder of dumps into the partition ``run_id`` of the record table.
-
-    ``source_dir`` is the folder under which harvest metadata lists the dumps, if it is not the
-    one they lie in now.
-
-    Lines are staged with their kind: the passes that look for the end of each header then
-    read a few narrow columns instead of the text, and the order of lines is settled. The header
-    table is staged too, so that its size decides whether the data lines have to be shuffled.
-    """
-    with staging_area(spark) as area:
-        lines = with_kind(read_lines(spark, dumps_dir, skip_suffixes, source_dir))
-        lines = stage(lines, "lines", area=area)
-        headers = stage(file_headers(lines, kinds_known=True), "headers", plain=True, area=area)
-        parsed = parse_links(lines, broadcast_if_small(headers), kinds_known=True)
-        write_records(normalize_schema(parsed), records_path, run_id)
-    return _records_of_run(spark, records_path, run_id)
-
-
-def _records_of_run(spark: SparkSession, records_path: str, run_id: str) -> DataFrame:
-    schema = normalize_schema(spark.range(0)).schema.add("run_id", "string")
-    table = spark.read.schema(schema).parquet(records_path)
-    return table.where(F.col("run_id") == run_id).drop("run_id")
-
-
 @dataclass(frozen=True)
 class Aggregation:
     """Where one aggregation left its results, how many records it joined, and how many found no metadata."""
@@ -94,6 +59,7 @@ def aggregate(
     check_counts: bool = False,
     rebalance: bool = True,
     rejects_path: str | None = None,
+    changed_only: bool = False,
 ) -> Aggregation:
     """Parse, attach metadata, resolve, merge; then sample every slice and match the source list.
 
@@ -105,12 +71,15 @@ def aggregate(
     Metadata with a bad element is an error; with ``rejects_path`` such elements are written there and
     the others are used. Records are counted before and after the join while they are written, and read once.
 
+    ``changed_only`` parses no dump again that has not changed since the last run into ``out_dir``; the merged
+    table has the records of all dumps either way.
+
     The merged table is written once, partitioned by slice. It serves as the resolved slices
     and, read without the slice column, as their merge. ``check_metadata`` refuses metadata
     that lists a path twice, which would double the records of that file.
     """
     out_dir = out_dir.rstrip("/")
-    records_path = f"{out_dir}/records"
+    records_path = f"{out_dir}/harvest" if changed_only else f"{out_dir}/records"
     merged_path = f"{out_dir}/merged/{run_id}"
     rejected = 0
     with staging_area(spark) as area:
@@ -122,7 +91,8 @@ def aggregate(
             metadata = with_times(metadata)
         if check_metadata and not key_uniqueness(metadata, "path").head().is_unique:
             raise ValueError("harvest metadata lists a path more than once")
-        records = ingest(spark, dumps_dir, records_path, run_id, source_dir=source_dir)
+        take_in = ingest_changes if changed_only else ingest
+        records = take_in(spark, dumps_dir, records_path, run_id, source_dir=source_dir)
         metadata = metadata.select("path", "url", "download_time_utc")
         metadata = broadcast_if_small(stage(metadata, "metadata", plain=True, area=area))
         passing = PassCounts()

@@ -8,7 +8,8 @@ from linkloom.sources.json_files import (
     read_source_list,
     with_times,
 )
-from linkloom.sources.link_dumps import read_lines
+from linkloom.sources.link_dumps import read_lines, source_file
+from linkloom.sources.listing import STATE, STATE_IN_FOLDERS, changed_files, list_files, literal_path
 from linkloom.sources.staging import (
     broadcast_if_small,
     split_rejects,
@@ -18,6 +19,8 @@ from linkloom.sources.staging import (
     staging_dir,
 )
 from linkloom.sources.tables import (
+    latest_stored_run,
+    read_latest_run,
     read_tables,
     samples_path,
     write_records,
@@ -29,15 +32,23 @@ from linkloom.sources.tables import (
 )
 
 __all__ = [
+    "STATE",
+    "STATE_IN_FOLDERS",
     "authority_dump_entries",
     "broadcast_if_small",
+    "changed_files",
     "harvest_metadata_entries",
+    "latest_stored_run",
+    "list_files",
+    "literal_path",
     "read_authority_dump",
     "read_harvest_metadata",
+    "read_latest_run",
     "read_lines",
     "read_source_list",
     "read_tables",
     "samples_path",
+    "source_file",
     "split_rejects",
     "stage",
     "staged_bytes",

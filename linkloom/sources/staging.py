@@ -29,13 +29,13 @@ def staging_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def staging_area(spark: SparkSession) -> Iterator[str]:
+def staging_area(spark: SparkSession, folder: str | None = None) -> Iterator[str]:
     """A new folder for the staged tables of one job, removed with them when the job is done.
 
-    Frames that read them must have been written or counted by then. A job that fails leaves
+    It lies in ``folder``, by default the one that ``spark.checkpoint.dir`` names. Frames that read them must have been written or counted by then. A job that fails leaves
     the folder behind, for a look.
     """
-    area = f"{staging_dir(spark)}/linkloom-{uuid.uuid4().hex}"
+    area = f"{folder.rstrip('/') if folder else staging_dir(spark)}/linkloom-{uuid.uuid4().hex}"
     yield area
     path = spark._jvm.org.apache.hadoop.fs.Path(area)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from linkloom.fixed_values import SAMPLES_SUFFIX
+from linkloom.sources.listing import literal_path
 
 
 def read_tables(spark: SparkSession, *paths: str) -> DataFrame:
@@ -37,6 +39,28 @@ def write_records(df: DataFrame, path: str, run_id: str) -> None:
     ).parquet(folder)
 
 
+def latest_stored_run(spark: SparkSession, path: str) -> str | None:
+    """The greatest run id a table is stored for, by the names of its folders; no file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    names = [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
+    return max((unquote(name.removeprefix("run_id=")) for name in names if name.startswith("run_id=")), default=None)
+
+
+def read_latest_run(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of the newest run of a table that :func:`write_records` keeps, with its id.
+
+    ``schema`` is that of the rows without the id. Files of other runs are not listed.
+    """
+    run_id = latest_stored_run(spark, path)
+    if run_id is None:
+        return spark.createDataFrame([], schema).withColumn("run_id", F.lit(None).cast("string"))
+    folder = f"{path.rstrip('/')}/run_id={quote(run_id, safe='')}"
+    return spark.read.schema(schema).parquet(literal_path(folder)).withColumn("run_id", F.lit(run_id))
+
+
 def write_slices(df: DataFrame, path: str, rebalance: bool = False) -> None:
     """A table with a ``slice`` column, one partition folder per slice, in a single pass.
 
