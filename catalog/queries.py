@@ -60,6 +60,15 @@ def enrich_types_symmetric(spark, sf):
     return listed(enriched(spark, sf, normalize=True), "gnd_type_list")
 
 
+@register
+def enrich_types_split(spark, sf):
+    """Types with hot ids dealt over tasks; by the small share nearly every id counts as hot."""
+    records = merged(spark, sf)
+    dump = fixtures.authority_dump(spark, sf)
+    types = authority.authority_types(dump, authority.candidate_ids(records))
+    return listed(authority.attach_types(records, types, authority.hot_ids(records, 0.0003)), "gnd_type_list")
+
+
 # ---- parsing -----------------------------------------------------------------------------
 
 
@@ -259,6 +268,11 @@ def analyze_table(spark, sf):
     return counts.analyze_table(fixtures.records(spark, sf))
 
 
+@register
+def analyze_by_fingerprint(spark, sf):
+    return counts.analyze_by_fingerprint(fixtures.records(spark, sf).drop("col2"))
+
+
 @register
 def latest_run(spark, sf):
     return counts.latest_run(fixtures.records_of_runs(spark, sf))

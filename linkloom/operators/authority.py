@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.fixed_values import EXAMPLE_ROWS
 from linkloom.functions import bare_id, entity_type
+from linkloom.operators.hot_keys import HOT_SHARE, dealt, hot_keys, repeated
 from linkloom.operators.joining import shuffled_anew
 
 
@@ -58,23 +61,33 @@ def authority_types(dump: DataFrame, candidates: DataFrame | None = None) -> Dat
     )
 
 
-def attach_types(records: DataFrame, types: DataFrame) -> DataFrame:
+def attach_types(records: DataFrame, types: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
     """Left join of records to types on the bare id; no match gives NULL and an empty list.
 
     ``types`` has one row per id, so the number of rows stays. The strategy is left to Spark:
     a small type table is broadcast, otherwise both sides are shuffled on the bare id and
     the ids that hold most of the records are split over several tasks. For the split
-    ``types`` must be a stored table or ``shuffled_anew``.
+    ``types`` must be a stored table or ``shuffled_anew``. Ids in ``hot`` (see ``hot_keys``), and records
+    without an id, are dealt over tasks in any case, with adaptive execution or without it.
     """
     keyed = records.withColumn("bare_authority_id", bare_id(F.col("authority_id")))
     types = types.select(F.col("gnd"), "gnd_type", "gnd_type_list")
-    return (
-        keyed.join(types, keyed["bare_authority_id"] == types["gnd"], "left")
-        .withColumn(
-            "gnd_type_list", F.coalesce("gnd_type_list", F.array().cast("array<string>"))
-        )
-        .drop("bare_authority_id", "gnd")
+    on = keyed["bare_authority_id"] == types["gnd"]
+    if hot:
+        keyed = dealt(keyed, F.col("bare_authority_id"), hot)
+        types = repeated(types, F.col("gnd"), hot)
+        on = (keyed["bare_authority_id"] == types["gnd"]) & (keyed["way"] == types["way"])
+    joined = keyed.join(types, on, "left").withColumn(
+        "gnd_type_list", F.coalesce("gnd_type_list", F.array().cast("array<string>"))
     )
+    if hot:
+        joined = joined.drop(keyed["way"], types["way"])
+    return joined.drop("bare_authority_id", "gnd")
+
+
+def hot_ids(records: DataFrame, share: float = HOT_SHARE) -> list[str]:
+    """Bare authority ids that hold at least ``share`` of the records with an id."""
+    return hot_keys(records, bare_id(F.col("authority_id")), share)
 
 
 def enrich_types(

@@ -5,20 +5,23 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkloom.operators.authority import (
     attach_types,
     authority_types,
     candidate_ids,
     examples_per_source,
+    hot_ids,
     match_coverage,
 )
 from linkloom.sources import (
+    BROADCAST_BYTES,
     authority_dump_entries,
-    broadcast_if_small,
     read_authority_dump,
     split_rejects,
     stage,
+    staged_bytes,
     staging_area,
     write_table,
 )
@@ -42,6 +45,7 @@ def enrich(
     out_path: str,
     normalize_candidates: bool = False,
     rejects_path: str | None = None,
+    broadcast_limit: int = BROADCAST_BYTES,
 ) -> Enrichment:
     """Add entity types to a merged table and write it.
 
@@ -49,7 +53,7 @@ def enrich(
     reason, and the others are used.
 
     The type table is staged, so that its size decides whether the merged table has to be
-    shuffled to meet it.
+    shuffled to meet it. If so, the ids that hold much of it are looked for first and dealt over tasks.
     """
     merged = spark.read.parquet(merged_path)
     if "slice" in merged.columns:
@@ -63,8 +67,12 @@ def enrich(
             entries = authority_dump_entries(spark, dump_path)
             dump, rejected = split_rejects(entries, rejects_path, area)
         types = authority_types(dump, candidates)
-        types = broadcast_if_small(stage(types, "types", plain=True, area=area))
-        write_table(attach_types(merged, types), out_path)
+        types = stage(types, "types", plain=True, area=area)
+        if staged_bytes(types) <= broadcast_limit:
+            found = attach_types(merged, F.broadcast(types))
+        else:
+            found = attach_types(merged, types, hot_ids(merged))
+        write_table(found, out_path)
     enriched = spark.read.parquet(out_path)
     return Enrichment(
         enriched=enriched,

@@ -11,6 +11,7 @@ from linkloom.sources.json_files import (
 from linkloom.sources.link_dumps import read_lines, source_file
 from linkloom.sources.listing import STATE, STATE_IN_FOLDERS, changed_files, list_files, literal_path
 from linkloom.sources.staging import (
+    BROADCAST_BYTES,
     broadcast_if_small,
     split_rejects,
     stage,
@@ -32,6 +33,7 @@ from linkloom.sources.tables import (
 )
 
 __all__ = [
+    "BROADCAST_BYTES",
     "STATE",
     "STATE_IN_FOLDERS",
     "authority_dump_entries",

@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from linkloom.operators.counts import analyze_table, compare_counts, latest_run, row_count
+from linkloom.operators.counts import analyze_by_fingerprint, analyze_table, compare_counts, latest_run, row_count
 from linkloom.operators.manifest import harvest_manifest
 from linkloom.operators.matching import match_sources
 from linkloom.operators.metadata import attach_metadata, duplicate_keys, key_uniqueness
@@ -53,6 +53,27 @@ def test_counts_of_empty_tables(spark):
     assert analyze_table(empty).head() == (0, 3, 0, 0)
 
 
+@pytest.mark.parametrize("prints", ["own", "all alike", "in two groups"])
+def test_fingerprints_decide_the_work_and_not_the_result(spark, prints):
+    """Planted collisions: rows that share a fingerprint are told apart as a whole."""
+    df = spark.createDataFrame(
+        [(None, "a", 0.0), ("a", None, -0.0), (None, "a", -0.0), ("a", "a", float("nan")), ("a", "a", float("nan"))]
+        + [("b", str(n % 40), 1.0) for n in range(100)],
+        "`x.1` string, y string, z double",
+    ).repartition(3)
+    chosen = {"own": None, "all alike": [F.lit(1), F.lit(2)], "in two groups": [F.length("y"), F.lit(0)]}[prints]
+    assert analyze_by_fingerprint(df, chosen).head() == analyze_table(df).head() == (105, 3, 43, 62)
+    assert analyze_by_fingerprint(df.limit(0), chosen).head() == (0, 3, 0, 0)
+
+
+def test_rows_without_a_copy_are_not_moved_whole(spark, plan):
+    df = spark.range(1000).selectExpr("id AS n", "repeat(cast(id AS string), 50) AS wide")
+    by_print = analyze_by_fingerprint(df)
+    assert by_print.head() == (1000, 2, 1000, 0)
+    assert "BroadcastHashJoin LeftSemi" in plan(by_print)
+    assert "SortMergeJoin" not in plan(by_print) and "ShuffledHashJoin" not in plan(by_print)
+
+
 def test_analyze_table_treats_nulls_as_equal(spark):
     df = spark.createDataFrame([(1, None), (1, None), (None, None), (1, "")], "a int, b string")
     assert analyze_table(df).head() == (4, 2, 3, 1)
