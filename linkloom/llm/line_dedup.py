@@ -119,14 +119,20 @@ def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int |
 
 
 def removed_runs(runs: DataFrame) -> DataFrame:
-    """``doc, print, removed``: maximal runs ``low, high`` of lines to delete, by document."""
+    """``doc, print, removed``: maximal runs ``low, high`` of lines to delete, by document.
+
+    Runs that overlap or touch are merged by the furthest end before each; a run is a row however long it is.
+    """
     place = Window.partitionBy("doc", "print").orderBy("pos")
+    before = place.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        runs.select("doc", "print", F.explode(F.sequence("pos", F.col("pos") + F.col("lines") - 1)).alias("pos"))
-        .distinct()
-        .withColumn("island", F.col("pos") - F.row_number().over(place))
+        runs.groupBy("doc", "print", "pos")
+        .agg((F.col("pos") + F.max("lines")).alias("end"))
+        .withColumn("starts", F.coalesce(F.col("pos") > F.max("end").over(before), F.lit(True)))
+        .withColumn("island", F.count_if("starts").over(so_far))
         .groupBy("doc", "print", "island")
-        .agg(F.struct(F.min("pos").alias("low"), F.max("pos").alias("high")).alias("run"))
+        .agg(F.struct(F.min("pos").alias("low"), (F.max("end") - 1).alias("high")).alias("run"))
         .groupBy("doc", "print")
         .agg(F.sort_array(F.collect_list("run")).alias("removed"))
     )

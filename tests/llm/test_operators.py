@@ -327,6 +327,21 @@ def test_line_dedup(spark, sample, min_lines):
     assert got == brute.line_dedup(sample, min_lines)
 
 
+def test_runs_are_merged_without_a_row_per_line(spark):
+    rng = np.random.default_rng(5)
+    runs = [(int(d), 0, int(p), int(n)) for d, p, n in zip(rng.integers(0, 40, 600), rng.integers(0, 300, 600), 2 ** rng.integers(0, 6, 600))]
+    runs += [(99, 0, 0, 2**20), (99, 0, 5, 2), (99, 0, 2**20, 2), (99, 1, 3, 1)]
+    merged = line_dedup.removed_runs(spark.createDataFrame(runs, "doc long, print long, pos int, lines int").repartition(4))
+    covered = {}
+    for doc, text, pos, lines in runs:
+        covered.setdefault((doc, text), set()).update(range(pos, pos + lines))
+    got = {(r.doc, r.print): [(x.low, x.high) for x in r.removed] for r in merged.collect()}
+    assert got == {
+        key: [(low, next(y for y in range(low, 2**21) if y + 1 not in at)) for low in sorted(at) if low - 1 not in at]
+        for key, at in covered.items()
+    }
+
+
 def test_line_dedup_of_hostile_rows(hostile):
     result = line_dedup.dedup_lines(hostile)
     assert result.select("row.*").columns == hostile.columns
