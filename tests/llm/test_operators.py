@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import math
+import time
 from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -537,6 +539,63 @@ def test_small_tables_are_searched_exactly(spark):
     assert nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def footrule(order, wanted, pivots):
+    """Pivot by pivot along lists of the vectors that have it."""
+    width = order.shape[1]
+    post = np.argsort(order, axis=None, kind="stable")
+    place, owner = post % width, post // width
+    edges = np.searchsorted(order.ravel()[post], np.arange(pivots + 1))
+    out = np.zeros(len(order), np.int64)
+    for mine, pivot in enumerate(wanted.tolist()):
+        at = slice(edges[pivot], edges[pivot + 1])
+        out[owner[at]] += np.abs(place[at] - mine) - abs(width - mine)
+    return out + np.abs(width - np.arange(len(wanted))).sum()
+
+
+@pytest.mark.parametrize("pivots, listed, asked", [(128, 128, 64), (600, 600, 600), (50, 7, 20)])
+def test_footrule_of_places(pivots, listed, asked):
+    """Also where the sum of all places is beyond 16 bits, and where lists are short."""
+    from linkloom.llm.permutation_index import _footrule, _places
+
+    r = np.random.default_rng(5)
+    order = np.argsort(r.random((40, pivots)), axis=1)[:, :listed]
+    places = _places(order, pivots)
+    for _ in range(5):
+        wanted = r.permutation(pivots)[:asked]
+        assert _footrule(places, wanted).tolist() == footrule(order, wanted, pivots).tolist()
+
+
+def test_a_query_costs_less_than_a_walk_along_its_lists():
+    """A shard of the registered query's size, in CPU time."""
+    from linkloom.llm.permutation_index import Pivots, _search
+
+    r = np.random.default_rng(6)
+    x = r.normal(size=(8192, 64))
+    model = Pivots(x[:128], float(np.sqrt((x * x).sum(1)).max()))
+    rows = lambda n: pa.table({"row": range(n), "vec_id": range(n), "x": x[:n].tolist()})
+    shard, asking, none = rows(8192), rows(100), rows(1)
+    search = _search(model, 128, 64, 0.35, 20)
+
+    def seconds(work):
+        start = time.process_time()
+        work()
+        return time.process_time() - start
+
+    order = model.order(x, 128)
+    walk = seconds(lambda: [footrule(order, w, 128) for w in order[:3, :64]]) - 3 * seconds(lambda: footrule(order, order[0, :0], 128))
+    taken = seconds(lambda: search(shard, asking)) - seconds(lambda: search(shard, none))
+    assert taken / 99 < 0.6 * walk / 3
+
+
+def test_equal_products_keep_their_order():
+    from linkloom.llm.permutation_index import _best
+
+    x = np.tile(np.random.default_rng(7).normal(size=(1, 64)), (500, 1))
+    x[::7] *= 0.5
+    near, scores = _best(x, np.arange(500), x[1], 20, 100.0)
+    assert near.tolist() == [i for i in range(500) if i % 7][:20] and len(set(scores)) == 1
+
+
 @pytest.mark.parametrize("shard", [2048, 100])
 def test_recall(spark, shard):
     from linkloom.llm.permutation_index import nearest
