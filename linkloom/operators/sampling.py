@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.fixed_values import PREVIEW_ROWS, SAMPLE_ROWS, SAMPLE_SEED
@@ -17,6 +17,9 @@ from linkloom.operators.slices import split_slices
 
 #: Over how many tasks the rows that scanning tasks keep are dealt before the last one takes them.
 DEALS = 64
+#: Rows that one group of a spread limit has, about, as long as there are no more groups than this.
+DEAL_ROWS = 100_000
+MOST_DEALS = 65_536
 
 
 def first_rows(df: DataFrame, n: int, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -78,8 +81,25 @@ def spread_limit(df: DataFrame, n: int) -> DataFrame:
 
     A plain limit below an aggregate moves up to ``n`` rows of every partition into one task.
     Here rows are first thinned, at random, to slightly more than ``n`` over the whole table,
-    with a margin of ten standard deviations. Counting them first is cheap on Parquet.
+    with a margin of ten standard deviations. Counting them first is cheap on Parquet. What is left is
+    dealt, at random, into groups of about :data:`DEAL_ROWS`, and each group gives its share of ``n`` or,
+    where the table was too small to be thinned, gives up its share of the rows too many.
     """
-    wanted = n + 10 * n**0.5 + 100
+    deals = min(-(-n // DEAL_ROWS), MOST_DEALS)
+    wanted = n + 10 * (n * deals) ** 0.5 + 100 * deals
     total = df.agg(F.count(F.lit(1)).cast("double")).scalar()
-    return df.where(F.rand(0) * total < wanted).limit(n)
+    thinned = df.where(F.rand(0) * total < wanted)
+    if deals <= 1:
+        return thinned.limit(n)
+
+    def share(rows: Column) -> Column:
+        return F.floor(rows * (F.col("__deal") + 1) / deals) - F.floor(rows * F.col("__deal") / deals)
+
+    place = F.row_number().over(Window.partitionBy("__deal").orderBy("__deal"))
+    stays = (
+        F.when(total <= n, F.lit(True))
+        .when(total <= wanted, F.col("__place") > share(total - n))
+        .otherwise(F.col("__place") <= share(F.lit(float(n))))
+    )
+    dealt = thinned.withColumn("__deal", F.floor(F.rand(1) * deals)).withColumn("__place", place)
+    return dealt.where(stays).drop("__deal", "__place")

@@ -7,6 +7,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from linkloom.operators import sampling
 from linkloom.operators.profiling import (
     approx_distinct,
     describe_table,
@@ -73,6 +74,18 @@ def test_spread_limit_takes_exactly_n_or_all(spark):
     assert spread_limit(df.limit(0), 10).count() == 0
 
 
+@pytest.mark.parametrize("n", [150_000, 298_000, 299_999, 300_000, 10**9])
+def test_spread_limit_moves_no_large_share_to_one_task(spark, settings, monkeypatch, n):
+    """Below, near, at and beyond the number of rows; some values are null, and values repeat."""
+    monkeypatch.setattr(sampling, "DEAL_ROWS", 10_000, raising=False)
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    df = spark.range(0, 300_000, 1, 6).select(F.when(F.col("id") % 7 > 0, F.col("id") % 1000).alias("v"), "id")
+    taken = spread_limit(df, n).withColumn("task", F.spark_partition_id()).groupBy("task")
+    tasks = taken.agg(F.count("*").alias("rows"), F.count_distinct("id").alias("ids")).collect()
+    assert sum(r.rows for r in tasks) == sum(r.ids for r in tasks) == min(n, 300_000)
+    assert max(r.rows for r in tasks) < 0.7 * min(n, 300_000)
+
+
 def test_sampled_profile_looks_at_some_rows_only(spark):
     df = spark.range(50_000).select(F.lit(None).cast("string").alias("x"))
     assert profile_columns(df, sample_rows=2000).head().null_count == 2000
