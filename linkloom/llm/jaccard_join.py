@@ -60,8 +60,9 @@ from linkloom.llm.text_blocks import (
 WORDS = 5
 LAST = 2**63 - 1
 HOT = 32
-FLUSH = 4_000_000
+FLUSH = 1_000_000
 WIDTH = 5
+PART = 4 << 20  # packed shingles, or rows of shared ones, that a task unpacks at once
 SETS_BYTES = 24 << 20  # sets of points that are sent to every executor, at most
 
 
@@ -163,93 +164,124 @@ def _read(body: bytes, points: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
 _SHARED = np.dtype([("point", "<u8"), ("shingle", "<u8"), ("size", "<u4"), ("found", "<u4")])
 
 
+def _parts(size: int) -> int:
+    return max(1, -(-size // PART))
+
+
+def _by_slot(rows: list[np.ndarray], slots: int) -> pa.RecordBatch:
+    """Rows dealt by point: a body per slot."""
+    rows = np.concatenate(rows)
+    slot = (mix(rows["point"]) % np.uint64(slots)).astype(np.int64)
+    order = np.argsort(slot, kind="stable")
+    slot, rows = slot[order], rows[order]
+    edges = np.searchsorted(slot, np.arange(slots + 1))
+    used = np.flatnonzero(np.diff(edges))
+    bodies = pa.array([rows[edges[s] : edges[s + 1]].tobytes() for s in used], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), bodies], names=["slot", "body"])
+
+
+def _repeated(packets: list[tuple[int, bytes]], part: int, parts: int, bucket: int, buckets: int) -> np.ndarray:
+    """Of a part of a bucket's shingles the rows of those found in several points."""
+    points, shingles, sizes = [], [], []
+    for n, body in packets:
+        head, low = _read(body, n, 0)
+        owner = np.repeat(np.arange(n, dtype=np.uint32), head["here"])
+        if parts > 1:
+            here = low % np.uint64(parts) == part
+            owner, low = owner[here], low[here]
+        points.append(head["point"][owner]), shingles.append(low), sizes.append(head["size"][owner])
+    points, shingles, sizes = map(np.concatenate, (points, shingles, sizes))
+    order = np.argsort(shingles, kind="stable")
+    shingles = shingles[order]
+    edge = np.flatnonzero(np.append(True, shingles[1:] != shingles[:-1])[: len(shingles)])
+    runs = np.diff(np.append(edge, len(shingles)))
+    keep = np.repeat(runs > 1, runs)
+    order, shingles = order[keep], shingles[keep]
+    points, sizes = points[order], sizes[order]
+    # One point may come from several tasks: it counts once.
+    order = np.lexsort((points, shingles))
+    shingles, points, sizes = shingles[order], points[order], sizes[order]
+    new = np.append(True, (shingles[1:] != shingles[:-1]) | (points[1:] != points[:-1]))[: len(points)]
+    shingles, points, sizes = shingles[new], points[new], sizes[new]
+    edge = np.flatnonzero(np.append(True, shingles[1:] != shingles[:-1])[: len(points)])
+    runs = np.diff(np.append(edge, len(shingles)))
+    found = np.repeat(runs, runs)
+    row = np.empty(len(points), _SHARED)
+    row["point"], row["size"], row["found"] = points, sizes, found
+    row["shingle"] = shingles * np.uint64(buckets) + np.uint64(bucket)
+    return row[found > 1]
+
+
 def _shared(buckets: int, slots: int):
-    """Of a bucket's shingles those found in several points, packed by point."""
-
-    def run(group: pa.Table) -> pa.Table:
-        out = []
-        points, shingles, sizes = [], [], []
-        for kind, n, body in zip(*(group.column(c).to_pylist() for c in ("kind", "points", "body")), strict=True):
-            head, low = _read(body, n, kind)
-            who, size = np.repeat(head["point"], head["here"]), np.repeat(head["size"], head["here"])
-            if kind:
+    """Of a bucket's shingles those found in several points, packed by point.
+
+    A bucket stays packed; of its shingles one part after the other is unpacked and sorted.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packets, bucket = [], 0
+        ready, held = [], 0
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("bucket", "kind", "points", "body"))
+            for bucket, kind, n, body in zip(*columns, strict=True):
+                if not kind:
+                    packets.append((n, body))
+                    continue
+                head, low = _read(body, n, kind)
                 row = np.zeros(len(low), _SHARED)
-                row["point"], row["shingle"], row["size"], row["found"] = who, low, size, 0
-                out.append(row)
-            else:
-                points.append(who), shingles.append(low), sizes.append(size)
-        if points:
-            bucket = np.uint64(group.column("bucket")[0].as_py())
-            points, shingles, sizes = map(np.concatenate, (points, shingles, sizes))
-            order = np.argsort(shingles, kind="stable")
-            shingles = shingles[order]
-            edge = np.flatnonzero(np.append(True, shingles[1:] != shingles[:-1]))
-            runs = np.diff(np.append(edge, len(shingles)))
-            keep = np.repeat(runs > 1, runs)
-            order, shingles = order[keep], shingles[keep]
-            points, sizes = points[order], sizes[order]
-            # One point may come from several tasks: it counts once.
-            order = np.lexsort((points, shingles))
-            shingles, points, sizes = shingles[order], points[order], sizes[order]
-            new = np.append(True, (shingles[1:] != shingles[:-1]) | (points[1:] != points[:-1]))[: len(points)]
-            shingles, points, sizes = shingles[new], points[new], sizes[new]
-            edge = np.flatnonzero(np.append(True, shingles[1:] != shingles[:-1])[: len(points)])
-            runs = np.diff(np.append(edge, len(shingles)))
-            found = np.repeat(runs, runs)
-            row = np.empty(len(points), _SHARED)
-            row["point"], row["size"], row["found"] = points, sizes, found
-            row["shingle"] = shingles * np.uint64(buckets) + bucket
-            out.append(row[found > 1])
-        rows = np.concatenate(out) if out else np.empty(0, _SHARED)
-        slot = (mix(rows["point"]) % np.uint64(slots)).astype(np.int64)
-        order = np.argsort(slot, kind="stable")
-        slot, rows = slot[order], rows[order]
-        edges = np.searchsorted(slot, np.arange(slots + 1))
-        used = np.flatnonzero(np.diff(edges))
-        return pa.table(
-            {
-                "slot": pa.array(used, pa.int32()),
-                "body": pa.array([rows[edges[s] : edges[s + 1]].tobytes() for s in used], pa.binary()),
-            }
-        )
+                row["point"], row["size"] = np.repeat(head["point"], head["here"]), np.repeat(head["size"], head["here"])
+                row["shingle"] = low
+                ready.append(row)
+                held += row.nbytes
+                if held > PART:
+                    yield _by_slot(ready, slots)
+                    ready, held = [], 0
+        if ready:
+            yield _by_slot(ready, slots)
+        parts = _parts(sum(len(body) for _, body in packets))
+        for part in range(parts if packets else 0):
+            yield _by_slot([_repeated(packets, part, parts, bucket, buckets)], slots)
 
     return run
 
 
-def _windows(percent: int):
+def _windows(percent: int, slots: int):
     """Points with their shared shingles and the window of regions they are replicated to."""
 
-    def run(group: pa.Table) -> pa.Table:
-        rows = np.concatenate([np.frombuffer(x, _SHARED) for x in group.column("body").to_pylist()])
-        # Rare shingles first, those in a large part of all documents last.
-        rank = np.where(rows["found"] == 0, np.iinfo(np.uint32).max, rows["found"])
-        order = np.lexsort((rows["shingle"], rank, rows["point"]))
-        rows = rows[order]
-        new = np.append(True, (rows["point"][1:] != rows["point"][:-1]) | (rows["shingle"][1:] != rows["shingle"][:-1]))
-        rows = rows[new[: len(rows)]]
-        edge = np.flatnonzero(np.append(True, rows["point"][1:] != rows["point"][:-1])[: len(rows)])
-        out = {"point": [], "size": [], "shared": [], "regions": []}
-        for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(rows)], strict=True):
-            n, own = int(rows["size"][a]), int(rows["size"][a]) - (b - a)
-            window = n - -(-percent * n // 100) + 1
-            if window > own:
-                shared = rows["shingle"][a:b]
-                out["point"].append(rows["point"][a : a + 1].view(np.int64)[0])
-                out["size"].append(n)
-                out["shared"].append(_packed(np.sort(mix(shared) >> np.uint64(64 - 8 * WIDTH))).tobytes())
-                out["regions"].append(shared[: window - own].view(np.int64))
-        return pa.table(
-            {
-                "point": pa.array(out["point"], pa.int64()),
-                "size": pa.array(out["size"], pa.int64()),
-                "shared": pa.array(out["shared"], pa.binary()),
-                "regions": pa.array(out["regions"], pa.list_(pa.int64())),
-            }
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bodies = [body for batch in batches for body in batch.column("body").to_pylist()]
+        parts = _parts(sum(map(len, bodies)))
+        for part in range(parts):
+            rows = [np.frombuffer(x, _SHARED) for x in bodies]
+            if parts > 1:
+                rows = [x[mix(x["point"]) // np.uint64(slots) % np.uint64(parts) == part] for x in rows]
+            yield _placed(np.concatenate(rows), percent)
 
     return run
 
 
+def _placed(rows: np.ndarray, percent: int) -> pa.RecordBatch:
+    # Rare shingles first, those in a large part of all documents last.
+    rank = np.where(rows["found"] == 0, np.iinfo(np.uint32).max, rows["found"])
+    order = np.lexsort((rows["shingle"], rank, rows["point"]))
+    rows = rows[order]
+    new = np.append(True, (rows["point"][1:] != rows["point"][:-1]) | (rows["shingle"][1:] != rows["shingle"][:-1]))
+    rows = rows[new[: len(rows)]]
+    edge = np.flatnonzero(np.append(True, rows["point"][1:] != rows["point"][:-1])[: len(rows)])
+    out = {"point": [], "size": [], "shared": [], "regions": []}
+    for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(rows)][: len(edge)], strict=True):
+        n, own = int(rows["size"][a]), int(rows["size"][a]) - (b - a)
+        window = n - -(-percent * n // 100) + 1
+        if window > own:
+            shared = rows["shingle"][a:b]
+            out["point"].append(rows["point"][a : a + 1].view(np.int64)[0])
+            out["size"].append(n)
+            out["shared"].append(_packed(np.sort(mix(shared) >> np.uint64(64 - 8 * WIDTH))).tobytes())
+            out["regions"].append(shared[: window - own].view(np.int64))
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out.values(), kinds, strict=True)], names=list(out))
+
+
 def _pack(hot: np.ndarray, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flushed():
@@ -511,7 +543,7 @@ def shared_shingles(docs: DataFrame, hot: np.ndarray, percent: int = 80) -> Data
     )
     shared = packets.groupBy("bucket").applyInArrow(_shared(buckets, slots), "slot int, body binary")
     return shared.groupBy("slot").applyInArrow(
-        _windows(percent), "point long, size long, shared binary, regions array<long>"
+        _windows(percent, slots), "point long, size long, shared binary, regions array<long>"
     )
 
 

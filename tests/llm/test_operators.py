@@ -87,6 +87,42 @@ def random_points(spark, seed, n):
     return points, linked
 
 
+def test_shared_shingles_of_a_bucket_are_unpacked_in_parts(monkeypatch):
+    """Shingles of two points each, in some packets twice: the rows are those of a dictionary, memory a fraction of all rows."""
+    import tracemalloc
+
+    from linkloom.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "PART", 1 << 19)
+    r = np.random.default_rng(8)
+    packets, owners = [], {}
+    for n in range(40):
+        points = np.unique(r.integers(0, 2**63, 300, np.uint64))
+        low = r.integers(n // 2 * 2**30, n // 2 * 2**30 + 40_000, (len(points), 100)).astype(np.uint64)
+        head = np.zeros(len(points), jaccard_join._POINT)
+        head["point"], head["size"], head["here"] = points, 100, 100
+        packets.append((5, 0, len(points), head.tobytes() + jaccard_join._packed(low.ravel()).tobytes()))
+        for p, row in zip(points.tolist(), low.tolist(), strict=True):
+            for x in row:
+                owners.setdefault(x * 7 + 5, set()).add(p)
+    packets.append(packets[0])
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    columns = [pa.array(x, t) for x, t in zip(zip(*packets, strict=True), kinds, strict=True)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["bucket", "kind", "points", "body"])
+    found = Counter()
+    for out in jaccard_join._shared(7, 3)(iter([batch])):
+        for body in out.column("body").to_pylist():
+            rows = np.frombuffer(body, jaccard_join._SHARED)
+            found.update(zip(rows["shingle"].tolist(), rows["point"].tolist(), rows["found"].tolist(), strict=True))
+    assert found == Counter((x, p, len(ps)) for x, ps in owners.items() if len(ps) > 1 for p in ps)
+    tracemalloc.start()
+    for _ in jaccard_join._shared(7, 3)(iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * sum(len(body) for *_, body in packets)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_cells_of_a_large_region_lose_no_link(spark, seed):
     """A region far larger than the number of pivots is split into cells over several rounds."""
