@@ -63,7 +63,7 @@ HOT = 32
 FLUSH = 1_000_000
 WIDTH = 5
 PART = 4 << 20  # packed shingles, or rows of shared ones, that a task unpacks at once
-SETS_BYTES = 24 << 20  # sets of points that are sent to every executor, at most
+CELL_BYTES = 8 << 20  # sets of either side of the pairs that are compared in one group, about
 
 
 def block_shingles(block: Block, words: int = WORDS) -> list[np.ndarray]:
@@ -308,44 +308,64 @@ def _pack(hot: np.ndarray, buckets: int):
     return run
 
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distances of pairs as numerator and denominator."""
-    for batch in batches:
-        shared_a, shared_b = batch.column("shared_a").to_pylist(), batch.column("shared_b").to_pylist()
-        common = np.empty(batch.num_rows, np.int64)
-        last, pivot = None, None
-        for i, (a, b) in enumerate(zip(shared_a, shared_b, strict=True)):
-            if b is not last and b != last:
-                last, pivot = b, _unpacked(np.frombuffer(b, np.uint8))
-            mine = _unpacked(np.frombuffer(a, np.uint8))
-            at = np.minimum(np.searchsorted(pivot, mine), len(pivot) - 1)
-            common[i] = np.count_nonzero(pivot[at] == mine)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), batch.column("size_a"), batch.column("size_b"), pa.array(common)],
-            names=["a", "b", "size_a", "size_b", "common"],
-        )
+def _overlaps(sets: pa.Table, pairs: pa.Table) -> pa.Table:
+    """``a, b, common, total`` of the pairs of a cell, pivot by pivot."""
+    point, size = sets.column("point").to_numpy(), sets.column("size").to_numpy()
+    order = np.argsort(point)
+    a, b, pivot = (pairs.column(c).to_numpy() for c in ("a", "b", "pivot"))
+    by_pivot = np.argsort(pivot, kind="stable")
+    a, b, pivot = a[by_pivot], b[by_pivot], pivot[by_pivot]
+    at_a, at_b, at_pivot = (order[np.searchsorted(point, x, sorter=order)] for x in (a, b, pivot))
+    member = np.where(at_a == at_pivot, at_b, at_a)
+    bodies = [_unpacked(np.frombuffer(x, np.uint8)) for x in sets.column("shared").to_pylist()]
+    lengths = np.array([len(x) for x in bodies], np.int64)
+    # Pairs of one pivot, of so many shingles at once.
+    done = np.cumsum(lengths[member]) // FLUSH
+    new = np.append(True, (at_pivot[1:] != at_pivot[:-1]) | (done[1:] != done[:-1]))[: len(a)]
+    edge = np.flatnonzero(new).tolist()
+    common = np.zeros(len(a), np.int64)
+    for first, last in zip(edge, [*edge[1:], len(a)][: len(edge)], strict=True):
+        mine, theirs = np.concatenate([bodies[i] for i in member[first:last]]), bodies[at_pivot[first]]
+        if len(theirs) and len(mine):
+            found = theirs[np.minimum(np.searchsorted(theirs, mine), len(theirs) - 1)] == mine
+            ends = np.cumsum(lengths[member[first:last]])
+            sums = np.append(0, np.cumsum(found))
+            common[first:last] = np.diff(np.append(0, sums[ends]))
+    total = size[at_a] + size[at_b] - common
+    return pa.table({"a": a, "b": b, "common": common, "total": total})
 
 
 def _distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    """``a, b, common, total`` (sizes of intersection and union) of pairs of points.
+    """``a, b, common, total`` (sizes of intersection and union) of pairs of points, one of which is the ``pivot``.
 
-    Only sets of points in a pair move. In a large family each is in many pairs: sets that take up to
-    ``SETS_BYTES`` together, as measured, go to all executors once, and pairs, a few bytes each, are dealt
-    evenly. Beyond that pairs are dealt by both ends in turn, and Spark splits the joins where one
-    end is in many pairs.
+    Pairs are dealt over cells: groups of members by groups of pivots. A set goes once to every cell in which
+    it has a pair, not with each pair, and none goes through the driver. There are as many groups as sets of
+    about ``CELL_BYTES`` need on either side; members have more of them, for the sake of small tasks, as long
+    as pivots' sets, repeated in them, take no more than twice the bytes of all sets.
     """
-    involved = pairs.select(F.col("a").alias("point")).union(pairs.select("b")).distinct()
-    sets = durable(points.select("point", "size", "shared").join(involved, "point", "left_semi"))
-    left = sets.select(F.col("point").alias("a"), F.col("size").alias("size_a"), F.col("shared").alias("shared_a"))
-    right = sets.select(F.col("point").alias("b"), F.col("size").alias("size_b"), F.col("shared").alias("shared_b"))
-    weight = sets.agg(F.sum(F.length("shared") + 64).alias("bytes")).first().bytes or 0
-    if weight <= SETS_BYTES:
-        left, right = F.broadcast(left), F.broadcast(right)
-        pairs = pairs.repartitionByRange(partitions(pairs.sparkSession), "b", "a").sortWithinPartitions("b")
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", "size_a", "size_b", "shared_a", "shared_b")
-    return met.mapInArrow(_overlaps, "a long, b long, size_a long, size_b long, common long").select(
-        "a", "b", "common", (F.col("size_a") + F.col("size_b") - F.col("common")).alias("total")
+    pairs = pairs.withColumn("member", F.when(F.col("a") == F.col("pivot"), F.col("b")).otherwise(F.col("a")))
+    ends = F.array(
+        F.struct(F.col("member").alias("point"), F.lit(0).alias("asked")),
+        F.struct(F.col("pivot").alias("point"), F.lit(1).alias("asked")),
     )
+    used = pairs.select(F.inline(ends)).groupBy("point").agg(F.count("*").alias("times"), F.sum("asked").alias("asked"))
+    sets = durable(points.select("point", "size", "shared").join(used, "point"))
+    weight = F.length("shared") + 64
+    ways = [2**k for k in range(partitions(pairs.sparkSession).bit_length())]
+    moved = sets.agg(
+        F.sum(weight).alias("all"),
+        F.sum(F.when(F.col("times") > F.col("asked"), weight)).alias("members"),
+        F.sum(F.when(F.col("asked") > 0, weight)).alias("pivots"),
+        *[F.sum(F.least("asked", F.lit(n)) * weight).alias(f"by_{n}") for n in ways],
+    ).first()
+    rows = max(-(-(moved.members or 0) // CELL_BYTES), *[n for n in ways if (moved[f"by_{n}"] or 0) <= 2 * (moved.all or 0)])
+    columns = max(1, -(-(moved.pivots or 0) // CELL_BYTES))
+    cell = F.pmod(F.xxhash64("member"), F.lit(rows)) * columns + F.pmod(F.xxhash64("pivot"), F.lit(columns))
+    placed = pairs.withColumn("cell", cell)
+    goes = placed.select(F.col("cell").alias("to"), F.explode(F.array("member", "pivot")).alias("point")).distinct()
+    sent = goes.join(sets.select("point", "size", "shared"), "point").select("to", "point", "size", "shared")
+    met = sent.groupBy("to").cogroup(placed.select("cell", "a", "b", "pivot").groupBy("cell"))
+    return met.applyInArrow(_overlaps, "a long, b long, common long, total long")
 
 
 SLACK = 1e-9
@@ -416,8 +436,8 @@ def point_links(
         pairs = durable(
             open_.join(chosen, "region")
             .where((F.col("point") != F.col("k.point")) & (F.col("split") | needed))
-            .select(F.greatest("point", "k.point").alias("a"), F.least("point", "k.point").alias("b"))
-            .distinct()
+            .groupBy(F.greatest("point", "k.point").alias("a"), F.least("point", "k.point").alias("b"))
+            .agg(F.min("k.point").alias("pivot"))
         )
         known = durable(_distances(pairs, points))
         new = known.where(100 * F.col("common") >= percent * F.col("total")).select("a", "b")

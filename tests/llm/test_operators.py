@@ -87,6 +87,22 @@ def random_points(spark, seed, n):
     return points, linked
 
 
+@pytest.mark.parametrize("cell", [300, 8 << 20])
+def test_distances_of_pairs_in_cells(spark, settings, plan, monkeypatch, cell):
+    """Every pair is compared, whatever the number of cells, and no set is broadcast."""
+    from linkloom.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "CELL_BYTES", cell, raising=False)
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    points, _ = random_points(spark, 3, 30)
+    sets = {r.point: {bytes(r.shared[i : i + 5]) for i in range(0, len(r.shared), 5)} for r in points.collect()}
+    asked = [(a, b, b if a % 3 else a) for a in range(30) for b in range(a) if b % 4 == 0 or a % 3 == 0]
+    got = jaccard_join._distances(spark.createDataFrame(asked, "a long, b long, pivot long"), points)
+    assert "Broadcast" not in plan(got)
+    expected = {(a, b, len(sets[a] & sets[b]), len(sets[a] | sets[b])) for a, b, _ in asked}
+    assert Counter(map(tuple, got.collect())) == Counter(expected)
+
+
 def test_shared_shingles_of_a_bucket_are_unpacked_in_parts(monkeypatch):
     """Shingles of two points each, in some packets twice: the rows are those of a dictionary, memory a fraction of all rows."""
     import tracemalloc
