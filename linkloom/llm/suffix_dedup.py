@@ -506,18 +506,19 @@ def suffix_dedup(docs: DataFrame, keep_text: bool = True) -> DataFrame:
 
 
 def _shared_by_text(buckets: int, slots: int):
-    """Anchors that several texts hold, by the slot of the text."""
+    """Anchors that several texts hold, by the slot of the text; a part of a bucket after the other."""
     find = _shared(buckets, 1)
 
-    def run(group: pa.Table) -> pa.Table:
-        found = [np.frombuffer(b, _SHARED) for b in find(group).column("body").to_pylist()]
-        rows = np.concatenate(found) if found else np.empty(0, _SHARED)
-        slot = (rows["point"] % np.uint64(slots)).astype(np.int64)
-        order = np.argsort(slot, kind="stable")
-        rows, edges = rows[order], np.searchsorted(slot[order], np.arange(slots + 1))
-        return pa.table(
-            _packet_rows([(int(s), 1, rows[edges[s] : edges[s + 1]].tobytes()) for s in np.flatnonzero(np.diff(edges))])
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in find(batches):
+            for body in found.column("body").to_pylist():
+                rows = np.frombuffer(body, _SHARED)
+                slot = (rows["point"] % np.uint64(slots)).astype(np.int64)
+                order = np.argsort(slot, kind="stable")
+                rows, edges = rows[order], np.searchsorted(slot[order], np.arange(slots + 1))
+                yield pa.RecordBatch.from_pydict(
+                    _packet_rows([(int(s), 1, rows[edges[s] : edges[s + 1]].tobytes()) for s in np.flatnonzero(np.diff(edges))])
+                )
 
     return run
 

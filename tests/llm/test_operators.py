@@ -551,6 +551,35 @@ def test_suffix_dedup_of_hostile_rows(hostile):
     assert suffix_dedup(hostile.limit(0)).count() == 0
 
 
+def test_shared_anchors_come_in_parts(monkeypatch):
+    """Anchors that several texts hold, by slot of the text, from a bucket that is unpacked in parts."""
+    from linkloom.llm import jaccard_join, suffix_dedup
+
+    monkeypatch.setattr(jaccard_join, "PART", 1 << 9)
+    r = np.random.default_rng(9)
+    common = ["".join(chr(c) for c in r.integers(97, 123, 400)) for _ in range(3)]
+    texts = ["".join(chr(c) for c in r.integers(97, 123, 60)) + common[k % 3] for k in range(9)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([*texts, texts[0], None, "short"])})
+    buckets, slots = 2, 4
+    owners = {}
+    for text in texts:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        for h in suffix_dedup._travelled(suffix_dedup.anchors(raw, np.array([0, len(raw)]))[0], buckets).tolist():
+            owners.setdefault(h, set()).add(suffix_dedup.text_print(text.encode()))
+    found, batches = Counter(), 0
+    packed = [out for out in suffix_dedup._pack_anchors(buckets)(iter([batch]))]
+    for bucket in range(buckets):
+        mine = [out.filter(pa.array(out.column("bucket").to_numpy() == bucket)) for out in packed]
+        for out in suffix_dedup._shared_by_text(buckets, slots)(iter(mine)):
+            batches += 1
+            for slot, kind, body in zip(*(out.column(c).to_pylist() for c in ("slot", "kind", "body")), strict=True):
+                rows = np.frombuffer(body, jaccard_join._SHARED)
+                assert kind == 1 and (rows["point"] % np.uint64(slots) == slot).all()
+                found.update(zip(rows["shingle"].tolist(), rows["point"].tolist(), strict=True))
+    assert batches > buckets
+    assert found == Counter((h, p) for h, ps in owners.items() if len(ps) > 1 for p in ps)
+
+
 def test_interleave_equals_sorting():
     """The merge of transforms gives the order of all rotations by their first symbols."""
     r = np.random.default_rng(5)
