@@ -28,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
         .distinct()
     )
     state = _state(edges)
-    while True:
+    while state[0]:
         both = edges.union(edges.select("b", "a"))
         smallest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # Large star: larger neighbours move to the smallest neighbour.

@@ -20,7 +20,9 @@ Jaccard distance is a metric, and the join is a metric-space join by pivots:
    A region whose members are all connected is finished; one whose cells would overlap too much
    stays whole, without its pivots, which are done with everyone.
 
-Rounds end when no region is left; nothing is dropped or capped. Shingles are compared by 64-bit
+Rounds end when no region is left; nothing is dropped or capped. Once all regions together hold no more
+than ``FEW`` pairs for each member of the first round, one round with all members as pivots is the last:
+many rounds over a few rows cost the driver plans, threads and broadcasts, not the tasks work. Shingles are compared by 64-bit
 hashes, of which 40 bits travel beside the number of their bucket. No region is gathered in one
 task: its members are rows that are dealt by document.
 
@@ -64,6 +66,7 @@ FLUSH = 1_000_000
 WIDTH = 5
 PART = 4 << 20  # packed shingles, or rows of shared ones, that a task unpacks at once
 CELL_BYTES = 8 << 20  # sets of either side of the pairs that are compared in one group, about
+FEW = 4  # pairs for each member of the first round that one round compares, whatever the pivots
 
 
 def block_shingles(block: Block, words: int = WORDS) -> list[np.ndarray]:
@@ -335,6 +338,11 @@ def _overlaps(sets: pa.Table, pairs: pa.Table) -> pa.Table:
     return pa.table({"a": a, "b": b, "common": common, "total": total})
 
 
+def _apart(rows: DataFrame) -> DataFrame:
+    """Rows for a join by point or pair, which is dealt evenly: small ones too come by shuffle, none through the driver."""
+    return rows.hint("merge")
+
+
 def _distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """``a, b, common, total`` (sizes of intersection and union) of pairs of points, one of which is the ``pivot``.
 
@@ -349,7 +357,7 @@ def _distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
         F.struct(F.col("pivot").alias("point"), F.lit(1).alias("asked")),
     )
     used = pairs.select(F.inline(ends)).groupBy("point").agg(F.count("*").alias("times"), F.sum("asked").alias("asked"))
-    sets = durable(points.select("point", "size", "shared").join(used, "point"))
+    sets = durable(points.select("point", "size", "shared").join(_apart(used), "point"))
     weight = F.length("shared") + 64
     ways = [2**k for k in range(partitions(pairs.sparkSession).bit_length())]
     moved = sets.agg(
@@ -363,7 +371,7 @@ def _distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
     cell = F.pmod(F.xxhash64("member"), F.lit(rows)) * columns + F.pmod(F.xxhash64("pivot"), F.lit(columns))
     placed = pairs.withColumn("cell", cell)
     goes = placed.select(F.col("cell").alias("to"), F.explode(F.array("member", "pivot")).alias("point")).distinct()
-    sent = goes.join(sets.select("point", "size", "shared"), "point").select("to", "point", "size", "shared")
+    sent = goes.join(_apart(sets.select("point", "size", "shared")), "point").select("to", "point", "size", "shared")
     met = sent.groupBy("to").cogroup(placed.select("cell", "a", "b", "pivot").groupBy("cell"))
     return met.applyInArrow(_overlaps, "a long, b long, common long, total long")
 
@@ -388,6 +396,7 @@ def point_links(
             F.col("point").alias("component"), F.lit(None).cast("double").alias("ref"), F.lit(None).cast("long").alias("met"),
         )
     )
+    budget = FEW * members.count()
     links = named = None
     while True:
         # A member leaves a region in which none can be like it for the shingles of its own. A
@@ -405,19 +414,25 @@ def point_links(
             F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
         ).where("low <> high")
         open_ = durable(members.join(state.select("region", "members"), "region"))
-        if open_.isEmpty():
+        left = open_.agg((F.sum(F.col("members") - 1) / 2).alias("pairs")).first().pairs
+        if left is None:
             break
-        weighed = open_.groupBy("region", "component").agg(F.count("*").alias("weight"))
-        largest = weighed.groupBy("region").agg(F.max("weight").alias("largest"))
-        # Regions of many members without a large component are split into cells.
-        open_ = open_.join(weighed, ["region", "component"]).join(largest, "region")
-        split = (F.lit(pivots > 1)) & (F.col("members") > 4 * pivots + 16) & (2 * F.col("largest") < F.col("members"))
-        open_ = durable(open_.withColumn("split", split))
+        last = left <= budget
+        if last:
+            open_ = open_.withColumns({"weight": F.lit(1), "split": F.lit(False)})
+        else:
+            weighed = open_.groupBy("region", "component").agg(F.count("*").alias("weight"))
+            largest = weighed.groupBy("region").agg(F.max("weight").alias("largest"))
+            # Regions of many members without a large component are split into cells.
+            open_ = open_.join(weighed, ["region", "component"]).join(largest, "region")
+            split = (F.lit(pivots > 1)) & (F.col("members") > 4 * pivots + 16) & (2 * F.col("largest") < F.col("members"))
+            open_ = durable(open_.withColumn("split", split))
         # Pivots: members of the smallest components, so that what is not yet connected with the
         # rest is compared first; among them those with the fewest shingles of their own, which
         # lie in the middle of their copies.
         order = F.struct("weight", "own", F.xxhash64("point").alias("mixed"), "point", "component", "size", "ref", "met")
-        chosen = durable(_smallest(open_.select("region", order.alias("k")), pivots))
+        ranked = open_.select("region", order.alias("k"))
+        chosen = ranked if last else durable(_smallest(ranked, pivots))
         # A member and a pivot need no comparing if they are connected or cannot be linked: for
         # their sizes and the shingles of their own, or for their places around the region's first
         # pivot: what both have in common lies in the pivot, where neither has more than it
@@ -435,7 +450,7 @@ def point_links(
         )
         pairs = durable(
             open_.join(chosen, "region")
-            .where((F.col("point") != F.col("k.point")) & (F.col("split") | needed))
+            .where((F.col("point") > F.col("k.point") if last else F.col("point") != F.col("k.point")) & (F.col("split") | needed))
             .groupBy(F.greatest("point", "k.point").alias("a"), F.least("point", "k.point").alias("b"))
             .agg(F.min("k.point").alias("pivot"))
         )
@@ -443,9 +458,11 @@ def point_links(
         new = known.where(100 * F.col("common") >= percent * F.col("total")).select("a", "b")
         links = new if links is None else links.union(new)
         named = _renamed(named, new)
+        if last:
+            break
         rest = durable(
             open_.select("region", "point", "size", "own", "ref", "met", "split").join(
-                chosen.select("region", F.col("k.point").alias("point")), ["region", "point"], "left_anti"
+                _apart(chosen.select("region", F.col("k.point").alias("point"))), ["region", "point"], "left_anti"
             )
         )
         if pivots == 1:
@@ -455,7 +472,7 @@ def point_links(
             rest.where("not split")
             .select("region", "point", "size", "own", "ref", "met")
             .union(cells)
-            .join(named, "point", "left")
+            .join(_apart(named), "point", "left")
             .select("region", "point", "size", "own", F.coalesce("component", "point").alias("component"), "ref", "met")
         )
         pivots *= growth
@@ -478,7 +495,7 @@ def _referred(rest: DataFrame, chosen: DataFrame, known: DataFrame) -> DataFrame
         .join(chosen.select("region", F.col("k.point").alias("pivot")), "region")
         .withColumn("a", F.greatest("point", "pivot"))
         .withColumn("b", F.least("point", "pivot"))
-        .join(known.select("a", "b", (1 - F.col("common") / F.col("total")).alias("ref"), F.col("common").alias("met")), ["a", "b"], "left")
+        .join(_apart(known.select("a", "b", (1 - F.col("common") / F.col("total")).alias("ref"), F.col("common").alias("met"))), ["a", "b"], "left")
         .select("region", "point", "size", "own", "ref", "met", "split")
     )
 
@@ -513,7 +530,7 @@ def _cells(members: DataFrame, chosen: DataFrame, known: DataFrame, reach: float
         members.join(pivots, "region")
         .withColumn("a", F.greatest("point", "pivot"))
         .withColumn("b", F.least("point", "pivot"))
-        .join(known, ["a", "b"])
+        .join(_apart(known), ["a", "b"])
         .select("region", "point", "size", "own", "ref", "met", F.struct(distance.alias("d"), "pivot").alias("k"))
     )
     seen = each.groupBy("region", "point", "size", "own", "ref", "met").agg(F.min("k").alias("home"), F.collect_list("k").alias("ks"))
@@ -582,7 +599,7 @@ def jaccard_join(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFra
         links = points.sparkSession.createDataFrame([], "a long, b long")
         first = first.select("point", F.col("point").alias("component"), F.col("first").alias("component_id"))
     else:
-        first = durable(first.join(named, "point", "left").withColumn("component", F.coalesce("component", "point")))
+        first = durable(first.join(_apart(named), "point", "left").withColumn("component", F.coalesce("component", "point")))
         lowest = first.groupBy("component").agg(F.min("first").alias("component_id"))
         first = first.join(lowest, "component").select("point", "component", "component_id")
     members = prints.join(first, "point", "left").select(

@@ -161,6 +161,36 @@ def test_cells_of_a_large_region_lose_no_link(spark, seed):
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, groups.values()))
 
 
+@pytest.mark.parametrize("n, rounds", [(9, 1), (10, 2)])
+def test_few_pairs_are_left_to_one_round(spark, monkeypatch, n, rounds):
+    """9 points have 36 pairs, 4 each; 10 have 45, and 36 once the first pivot is done. All links are found."""
+    from linkloom.llm import jaccard_join
+
+    distances, calls = jaccard_join._distances, []
+    monkeypatch.setattr(jaccard_join, "_distances", lambda *x: calls.append(1) or distances(*x))
+    points, linked = random_points(spark, 4, n)
+    _, named = point_links(points)
+    component = {r.point: r.component for r in named.collect()}
+    assert linked and all(component[a] == component[b] for a, b in linked)
+    parts = [{k} for k in range(n)]
+    for a, b in linked:
+        x, y = (next(p for p in parts if k in p) for k in (a, b))
+        if x is not y:
+            parts.remove(y)
+            x |= y
+    assert len(parts) == len({component.get(k, k) for k in range(n)})
+    assert len(calls) <= rounds
+
+
+def test_joins_by_point_need_no_broadcast(spark, plan):
+    """However small the tables: what the driver broadcasts costs it several MB each."""
+    from linkloom.llm import jaccard_join
+
+    points, _ = random_points(spark, 3, 12)
+    pairs = spark.createDataFrame([(a, b, b) for a in range(12) for b in range(a)], "a long, b long, pivot long")
+    assert "Broadcast" not in plan(jaccard_join._distances(pairs, points))
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(k, k + 1) for k in range(30)]
     star = [(1000, 1000 + k) for k in range(1, 40)]
