@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from linkloom.llm.tables import durable
 
 
-def _state(edges: DataFrame) -> tuple:
-    """The number of edges and two sums of their hashes: equal for equal sets."""
-    sums = [F.sum(F.xxhash64(F.lit(k), "a", "b").cast("decimal(20,0)")) for k in (1, 2)]
-    return tuple(edges.agg(F.count("*"), *sums).first())
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge, and is no smaller end: all components are stars."""
+    ends = F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up")))
+    nodes = edges.select(F.inline(ends)).groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    return not nodes.where("ups > 1 or ups > 0 and least = 0").count()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -27,18 +28,14 @@ def components(links: DataFrame) -> DataFrame:
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
-    state = _state(edges)
-    while state[0]:
+    while not _stars(edges):
         both = edges.union(edges.select("b", "a"))
         smallest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # Large star: larger neighbours move to the smallest neighbour.
-        large = both.where("b > a").join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.where("b > a").join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: smaller neighbours, and the node itself, move to the smallest of them.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         ends = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
         edges = durable(large.join(low, "a").select(F.explode(ends).alias("e")).select("e.*").where("a <> b").distinct())
-        before, state = state, _state(edges)
-        if state == before:
-            break
     members = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return members.union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -390,49 +390,29 @@ def point_links(
     """
     reach = 1 - percent / 100
     own = F.col("size") - F.length("shared") / WIDTH
-    members = durable(
-        points.select(
-            F.explode("regions").alias("region"), "point", "size", own.alias("own"),
-            F.col("point").alias("component"), F.lit(None).cast("double").alias("ref"), F.lit(None).cast("long").alias("met"),
-        )
-    )
-    budget = FEW * members.count()
+    placed = points.select(F.explode("regions").alias("region"), "point", "size", own.alias("own"))
+    counts = placed.groupBy("region").agg(F.count("*").alias("n")).where("n > 1")
+    here = counts.agg(F.sum("n").alias("members"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs")).first()
+    if here.members is None:
+        return None, None
+    budget = FEW * here.members
     links = named = None
+    if pivots == 1 and here.pairs > FEW * points.count():
+        members, links, named = _around_pivots(placed, points, percent)
+        pivots *= growth
+    else:
+        nothing = [F.lit(None).cast(kind).alias(c) for c, kind in (("ref", "double"), ("met", "long"))]
+        members = durable(placed.select("*", F.col("point").alias("component"), *nothing))
     while True:
-        # A member leaves a region in which none can be like it for the shingles of its own. A
-        # region is done when it has one member or when all its members are connected.
-        extremes = members.groupBy("region").agg(
-            F.min("size").alias("smallest"), F.max(F.col("size") - F.col("own")).alias("most")
+        # A region is done when it has one member or when all its members are connected.
+        weighed = members.groupBy("region", "component").agg(F.count("*").alias("weight"))
+        state = (
+            weighed.groupBy("region")
+            .agg(F.sum("weight").alias("members"), F.max(F.struct("weight", "component")).alias("top"), F.count("*").alias("parts"))
+            .where("parts > 1")
+            .select("region", "members", F.col("top.weight").alias("largest"), F.col("top.component").alias("core"))
         )
-        common = F.least(F.col("size") - F.col("own"), F.col("most"))
-        # The best partner has just what can be in common, or is the smallest member.
-        members = members.join(extremes, "region").where(
-            _within(F.col("size"), F.greatest("smallest", common), common, percent)
-        )
-        members = durable(members.drop("smallest", "most"))
-        state = members.groupBy("region").agg(
-            F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
-        ).where("low <> high")
-        open_ = durable(members.join(state.select("region", "members"), "region"))
-        left = open_.agg((F.sum(F.col("members") - 1) / 2).alias("pairs")).first().pairs
-        if left is None:
-            break
-        last = left <= budget
-        if last:
-            open_ = open_.withColumns({"weight": F.lit(1), "split": F.lit(False)})
-        else:
-            weighed = open_.groupBy("region", "component").agg(F.count("*").alias("weight"))
-            largest = weighed.groupBy("region").agg(F.max("weight").alias("largest"))
-            # Regions of many members without a large component are split into cells.
-            open_ = open_.join(weighed, ["region", "component"]).join(largest, "region")
-            split = (F.lit(pivots > 1)) & (F.col("members") > 4 * pivots + 16) & (2 * F.col("largest") < F.col("members"))
-            open_ = durable(open_.withColumn("split", split))
-        # Pivots: members of the smallest components, so that what is not yet connected with the
-        # rest is compared first; among them those with the fewest shingles of their own, which
-        # lie in the middle of their copies.
-        order = F.struct("weight", "own", F.xxhash64("point").alias("mixed"), "point", "component", "size", "ref", "met")
-        ranked = open_.select("region", order.alias("k"))
-        chosen = ranked if last else durable(_smallest(ranked, pivots))
+        open_ = durable(members.join(_apart(state), "region"))
         # A member and a pivot need no comparing if they are connected or cannot be linked: for
         # their sizes and the shingles of their own, or for their places around the region's first
         # pivot: what both have in common lies in the pivot, where neither has more than it
@@ -448,14 +428,39 @@ def point_links(
             & _within(F.col("size"), F.col("k.size"), shared, percent)
             & F.coalesce(F.abs(F.col("ref") - F.col("k.ref")) <= reach + SLACK, F.lit(True))
         )
-        pairs = durable(
-            open_.join(chosen, "region")
-            .where((F.col("point") > F.col("k.point") if last else F.col("point") != F.col("k.point")) & (F.col("split") | needed))
-            .groupBy(F.greatest("point", "k.point").alias("a"), F.least("point", "k.point").alias("b"))
-            .agg(F.min("k.point").alias("pivot"))
-        )
+        # Of two members that are not connected one at least is not in the largest component.
+        member = F.struct("own", "point", "component", "size", "ref", "met").alias("k")
+        loose = open_.where("component <> core").select("region", member)
+        met = open_.join(_apart(loose), "region").where(((F.col("component") == F.col("core")) | (F.col("point") > F.col("k.point"))) & needed)
+        left = met.count()
+        if not left:
+            break
+        last = left <= budget
+        if last:
+            pairs = durable(_once(met))
+        else:
+            # A member leaves a region in which none can be like it for the shingles of its own.
+            extremes = open_.groupBy("region").agg(
+                F.min("size").alias("smallest"), F.max(F.col("size") - F.col("own")).alias("most")
+            )
+            common = F.least(F.col("size") - F.col("own"), F.col("most"))
+            # The best partner has just what can be in common, or is the smallest member.
+            open_ = open_.join(extremes, "region").where(
+                _within(F.col("size"), F.greatest("smallest", common), common, percent)
+            )
+            # Regions of many members without a large component are split into cells.
+            split = (F.lit(pivots > 1)) & (F.col("members") > 4 * pivots + 16) & (2 * F.col("largest") < F.col("members"))
+            open_ = durable(
+                open_.drop("smallest", "most").join(weighed, ["region", "component"]).withColumn("split", split)
+            )
+            # Pivots: members of the smallest components, so that what is not yet connected with the
+            # rest is compared first; among them those with the fewest shingles of their own, which
+            # lie in the middle of their copies.
+            order = F.struct("weight", "own", F.xxhash64("point").alias("mixed"), "point", "component", "size", "ref", "met")
+            chosen = durable(_smallest(open_.select("region", order.alias("k")), pivots))
+            pairs = durable(_once(open_.join(chosen, "region").where((F.col("point") != F.col("k.point")) & (F.col("split") | needed))))
         known = durable(_distances(pairs, points))
-        new = known.where(100 * F.col("common") >= percent * F.col("total")).select("a", "b")
+        new = _linked(known, percent)
         links = new if links is None else links.union(new)
         named = _renamed(named, new)
         if last:
@@ -465,41 +470,64 @@ def point_links(
                 _apart(chosen.select("region", F.col("k.point").alias("point"))), ["region", "point"], "left_anti"
             )
         )
-        if pivots == 1:
-            rest = _referred(rest, chosen, known)
         cells = _cells(rest.where("split"), chosen, known, reach, far)
         members = durable(
-            rest.where("not split")
-            .select("region", "point", "size", "own", "ref", "met")
-            .union(cells)
-            .join(_apart(named), "point", "left")
-            .select("region", "point", "size", "own", F.coalesce("component", "point").alias("component"), "ref", "met")
+            _with_component(rest.where("not split").select("region", "point", "size", "own", "ref", "met").union(cells), named)
         )
         pivots *= growth
     return links, named
 
 
-def _within(size: Column, other: Column, common: Column, percent: int) -> Column:
-    """Whether sets of these sizes with so many common elements, or fewer, can be linked."""
-    common = F.least(common, size, other)
-    return (100 + percent) * common >= percent * (size + other)
+def _around_pivots(placed: DataFrame, points: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every region's members compared with its one pivot: members of the next round, links, ``point, component``.
 
+    The pivot is the member with the fewest shingles of its own, which lies in the middle of its copies. Copies
+    meet in as many regions as they share rare shingles, mostly around the same pivot: regions of one pivot
+    become one, which holds each member once, with its distance from the pivot as ``ref`` and what it shares
+    with it as ``met``. Members that met in a region still meet.
+    """
+    order = F.struct("own", (-F.col("size")).alias("small"), F.xxhash64("point").alias("mixed"), "point")
+    middle = placed.groupBy("region").agg(F.min(order).alias("k")).select("region", F.col("k.point").alias("pivot"))
+    around = durable(
+        placed.join(_apart(middle), "region")
+        .where("point <> pivot")
+        .select(F.col("pivot").alias("region"), "point", "size", "own")
+        .distinct()
+    )
+    a, b = F.greatest("point", "region"), F.least("point", "region")
+    pairs = durable(around.groupBy(a.alias("a"), b.alias("b")).agg(F.min("region").alias("pivot")))
+    known = durable(_distances(pairs, points))
+    links = _linked(known, percent)
+    named = _renamed(None, links)
+    places = known.select("a", "b", (1 - F.col("common") / F.col("total")).alias("ref"), F.col("common").alias("met"))
+    members = around.withColumns({"a": a, "b": b}).join(_apart(places), ["a", "b"]).drop("a", "b")
+    return durable(_with_component(members, named)), links, named
+
+
+def _once(met: DataFrame) -> DataFrame:
+    """``a, b, pivot`` of members that met a pivot ``k``, however many regions they met in."""
+    return met.groupBy(F.greatest("point", "k.point").alias("a"), F.least("point", "k.point").alias("b")).agg(
+        F.min("k.point").alias("pivot")
+    )
 
-def _referred(rest: DataFrame, chosen: DataFrame, known: DataFrame) -> DataFrame:
-    """Members with their distance from the region's pivot as ``ref`` and what they share with it as ``met``.
 
-    Both are null if they were not compared.
-    """
-    return (
-        rest.drop("ref", "met")
-        .join(chosen.select("region", F.col("k.point").alias("pivot")), "region")
-        .withColumn("a", F.greatest("point", "pivot"))
-        .withColumn("b", F.least("point", "pivot"))
-        .join(_apart(known.select("a", "b", (1 - F.col("common") / F.col("total")).alias("ref"), F.col("common").alias("met"))), ["a", "b"], "left")
-        .select("region", "point", "size", "own", "ref", "met", "split")
+def _linked(known: DataFrame, percent: int) -> DataFrame:
+    return known.where(100 * F.col("common") >= percent * F.col("total")).select("a", "b")
+
+
+def _with_component(members: DataFrame, named: DataFrame) -> DataFrame:
+    """Members with the component of their point, which is the point itself if it has no link."""
+    return members.join(_apart(named), "point", "left").select(
+        "region", "point", "size", "own", F.coalesce("component", "point").alias("component"), "ref", "met"
     )
 
 
+def _within(size: Column, other: Column, common: Column, percent: int) -> Column:
+    """Whether sets of these sizes with so many common elements, or fewer, can be linked."""
+    common = F.least(common, size, other)
+    return (100 + percent) * common >= percent * (size + other)
+
+
 def _renamed(named: DataFrame | None, links: DataFrame) -> DataFrame:
     """``point, component`` of linked points, after the links of one more round."""
     if named is None:

@@ -182,6 +182,67 @@ def test_few_pairs_are_left_to_one_round(spark, monkeypatch, n, rounds):
     assert len(calls) <= rounds
 
 
+def same_parts(found, linked, n):
+    """Whether points ``0..n-1`` fall into the parts that the links connect."""
+    parts = [{k} for k in range(n)]
+    for a, b in linked:
+        x, y = (next(p for p in parts if k in p) for k in (a, b))
+        if x is not y:
+            parts.remove(y)
+            x |= y
+    groups = {}
+    for k in range(n):
+        groups.setdefault(found.get(k, k), set()).add(k)
+    return sorted(map(sorted, groups.values())) == sorted(map(sorted, parts))
+
+
+def family(spark, n, regions):
+    """A text of 100 shingles, texts that lose up to 18 of them, and loose ones that lose more and have some of their own."""
+    r = np.random.default_rng(6)
+    base, sets = set(range(1, 101)), [set(range(1, 101))]
+    for k in range(1, n):
+        lost = set(r.choice(sorted(base), int(r.integers(22, 30)) if k % 3 == 0 else int(r.integers(1, 19)), replace=False).tolist())
+        sets.append(base - lost)
+    own = [6 if k % 3 == 0 and k else 0 for k in range(n)]
+    rows = [
+        (k, len(s) + o, bytearray(b"".join(x.to_bytes(5, "little") for x in sorted(s))), [x for x in sorted(s) if x <= regions])
+        for k, (s, o) in enumerate(zip(sets, own, strict=True))
+    ]
+    points = spark.createDataFrame(rows, "point long, size long, shared binary, regions array<long>")
+    linked = []
+    for a in range(n):
+        for b in range(a):
+            if set(rows[a][3]) & set(rows[b][3]):
+                common = len(sets[a] & sets[b])
+                if 100 * common >= 80 * (rows[a][1] + rows[b][1] - common):
+                    linked.append((a, b))
+    return points, linked
+
+
+def test_regions_around_one_pivot_are_one(spark, monkeypatch):
+    """Members that meet in 30 regions around one text meet it once; loose ones are told apart in one round more."""
+    from linkloom.llm import jaccard_join
+
+    distances, calls = jaccard_join._distances, []
+    monkeypatch.setattr(jaccard_join, "_distances", lambda pairs, points: calls.append(pairs.count()) or distances(pairs, points))
+    points, linked = family(spark, 40, 30)
+    _, named = point_links(points)
+    found = {r.point: r.component for r in named.collect()}
+    assert same_parts(found, linked, 40) and len(set(found.values())) < len(found)
+    assert len(calls) <= 2 and calls[0] <= 40 and sum(calls) < 40 * 39 / 2
+
+
+def test_components_that_are_stars_take_no_step(spark, monkeypatch):
+    from linkloom.llm import components as module
+
+    durable, calls = module.durable, []
+    monkeypatch.setattr(module, "durable", lambda df: calls.append(1) or durable(df))
+    links = spark.createDataFrame([(k, 1) for k in range(2, 20)] + [(k, 100) for k in range(101, 110)], "a long, b long")
+    got = {r.node: r.component for r in components(links).collect()}
+    assert got == {**dict.fromkeys(range(1, 20), 1), **dict.fromkeys(range(100, 110), 100)}
+    assert len(calls) == 1
+
+
 def test_joins_by_point_need_no_broadcast(spark, plan):
     """However small the tables: what the driver broadcasts costs it several MB each."""
     from linkloom.llm import jaccard_join
