@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm.components import components
-from linkloom.llm.tables import durable, partitions, table
+from linkloom.llm.tables import durable, partitions, stored, table
 from linkloom.llm.text_blocks import (
     LOWER,
     Block,
@@ -459,7 +459,7 @@ def point_links(
             order = F.struct("weight", "own", F.xxhash64("point").alias("mixed"), "point", "component", "size", "ref", "met")
             chosen = durable(_smallest(open_.select("region", order.alias("k")), pivots))
             pairs = durable(_once(open_.join(chosen, "region").where((F.col("point") != F.col("k.point")) & (F.col("split") | needed))))
-        known = durable(_distances(pairs, points))
+        known = stored(_distances(pairs, points))
         new = _linked(known, percent)
         links = new if links is None else links.union(new)
         named = _renamed(named, new)
@@ -471,7 +471,7 @@ def point_links(
             )
         )
         cells = _cells(rest.where("split"), chosen, known, reach, far)
-        members = durable(
+        members = stored(
             _with_component(rest.where("not split").select("region", "point", "size", "own", "ref", "met").union(cells), named)
         )
         pivots *= growth
@@ -496,12 +496,12 @@ def _around_pivots(placed: DataFrame, points: DataFrame, percent: int) -> tuple[
     )
     a, b = F.greatest("point", "region"), F.least("point", "region")
     pairs = durable(around.groupBy(a.alias("a"), b.alias("b")).agg(F.min("region").alias("pivot")))
-    known = durable(_distances(pairs, points))
+    known = stored(_distances(pairs, points))
     links = _linked(known, percent)
     named = _renamed(None, links)
     places = known.select("a", "b", (1 - F.col("common") / F.col("total")).alias("ref"), F.col("common").alias("met"))
     members = around.withColumns({"a": a, "b": b}).join(_apart(places), ["a", "b"]).drop("a", "b")
-    return durable(_with_component(members, named)), links, named
+    return stored(_with_component(members, named)), links, named
 
 
 def _once(met: DataFrame) -> DataFrame:
@@ -531,7 +531,7 @@ def _within(size: Column, other: Column, common: Column, percent: int) -> Column
 def _renamed(named: DataFrame | None, links: DataFrame) -> DataFrame:
     """``point, component`` of linked points, after the links of one more round."""
     if named is None:
-        return durable(components(links).withColumnRenamed("node", "point"))
+        return stored(components(links).withColumnRenamed("node", "point"))
     ends = links.select(F.explode(F.array("a", "b")).alias("point")).distinct()
     every = named.join(ends, "point", "full").select("point", F.coalesce("component", "point").alias("component"))
     joined = (
@@ -541,7 +541,7 @@ def _renamed(named: DataFrame | None, links: DataFrame) -> DataFrame:
         .select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     )
     moved = components(joined).select(F.col("node").alias("component"), F.col("component").alias("to"))
-    return durable(every.join(moved, "component", "left").select("point", F.coalesce("to", "component").alias("component")))
+    return stored(every.join(moved, "component", "left").select("point", F.coalesce("to", "component").alias("component")))
 
 
 def _smallest(ranked: DataFrame, n: int) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +38,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` as a table in the shared folder, for rounds: its size is known, not estimated.
+
+    A checkpoint keeps the estimate of its plan, and a join multiplies those of its sides: over several rounds they grow
+    to numbers that take the driver longer than the tasks.
+    """
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def partitions(spark: SparkSession) -> int:
     """How many partitions the session deals shuffles over."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
