@@ -671,6 +671,81 @@ def test_shared_anchors_come_in_parts(monkeypatch):
     assert found == Counter((h, p) for h, ps in owners.items() if len(ps) > 1 for p in ps)
 
 
+def passages(seed: int) -> list[tuple[int, str]]:
+    """Texts of which some share passages, two are equal and one is too short."""
+    r = np.random.default_rng(seed)
+
+    def letters(n):
+        return "".join(chr(c) for c in r.integers(97, 101, n))
+
+    common = [letters(n) for n in (49, 50, 51, 80, 300, 700)]
+    rows = [(k, letters(int(r.integers(0, 90))) + common[k % 6] + letters(30) + common[(k + 2) % 6][:120]) for k in range(40)]
+    return [*rows, (40, rows[3][1]), (41, "x" * 400), (42, "x" * 300 + "y"), (43, "short")]
+
+
+def dedup_without_spark(rows, slots, buckets):
+    """All steps in this process, dealt as Spark deals them; results, and the packets of every bucket."""
+    from linkloom.llm import suffix_dedup as s
+
+    def by(tables, column):
+        found = {}
+        for t in map(lambda t: t if isinstance(t, pa.Table) else pa.Table.from_batches([t]), tables):
+            for k in set(t.column(column).to_pylist()):
+                found.setdefault(k, []).append(t.filter(pa.array([x == k for x in t.column(column).to_pylist()])))
+        return {k: pa.concat_tables(x) for k, x in found.items()}
+
+    # Three tasks read the rows.
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [d for d, _ in x], "text": [t for _, t in x]}) for x in (rows[::3], rows[1::3], rows[2::3])]
+    packed = by([out for b in batches for out in s._pack_anchors(buckets)(iter([b]))], "bucket")
+    shared = by([out for t in packed.values() for out in s._shared_by_text(buckets, slots)(iter(t.to_batches()))], "slot")
+    texts = by([out for b in batches for out in s._pack_texts(slots)(iter([b]))], "slot")
+    nothing = pa.table(s._packet_rows([]))
+    contexts = by([s._contexts(buckets)(t, shared.get(k, nothing)) for k, t in texts.items()], "slot")
+    cuts = by([s._merged(slots)(t) for t in contexts.values()], "slot")
+    results = pa.concat_tables([s._results(True)(t, cuts.get(k, nothing)) for k, t in texts.items()])
+    return {
+        r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in results.to_pylist()
+    }, contexts
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_a_bucket_is_merged_in_parts_of_several_shards(monkeypatch, seed):
+    from linkloom.llm import suffix_dedup as s
+
+    monkeypatch.setattr(s, "CHUNK", 64)
+    monkeypatch.setattr(s, "SHARD", 600)
+    monkeypatch.setattr(s, "MERGED", 4000)
+    rows, merged = passages(seed), []
+    whole = s._lost
+    monkeypatch.setattr(s, "_lost", lambda part: merged.append(len(s._shards(*part[:2], part[5])[0])) or whole(part))
+    got, contexts = dedup_without_spark(rows, 5, 2)
+    assert got == {d: e for (d, _), e in brute.suffix_dedup(rows).items()}
+    assert len(merged) > len(contexts) and max(merged) > 1
+
+
+def test_shards_are_as_many_as_the_bytes_need_not_one_a_packet(monkeypatch):
+    """Every slot sends a packet to every bucket: their number grows with the square of the input."""
+    from linkloom.llm import suffix_dedup as s
+
+    made = []
+    init = s.Shard.__init__
+    monkeypatch.setattr(s.Shard, "__init__", lambda self, *a: made.append(self) or init(self, *a))
+    rows = passages(3)
+    got, contexts = dedup_without_spark(rows, 30, 2)
+    assert got == {d: e for (d, _), e in brute.suffix_dedup(rows).items()}
+    assert sum(t.num_rows for t in contexts.values()) > 20
+    assert len(made) == len(contexts)
+    # Slots grow with the input; a bucket takes a packet from each, and there are fewer of them.
+    assert [s._buckets(n) for n in (8, 12, 51, 600, 3000)] == [16, 24, 96, 150, 750]
+
+
+def test_texts_are_dealt_once_and_need_not_lose_anything(spark, plan):
+    docs = spark.createDataFrame([(1, "a" * 20 + "".join(chr(97 + k % 26) for k in range(90))), (2, "b" * 60)], "doc_id long, text string")
+    found = suffix_dedup(docs)
+    assert {r.doc_id: (r.n_removed, bytes(r.kept)) for r in found.collect()} == {r.doc_id: (0, r.text.encode()) for r in docs.collect()}
+    assert "ReusedExchange" in plan(found)
+
+
 def test_interleave_equals_sorting():
     """The merge of transforms gives the order of all rotations by their first symbols."""
     r = np.random.default_rng(5)
